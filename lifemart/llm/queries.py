@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import encoding
+from . import embeddings, encoding, fingerprint
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,10 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op8_bpe,)}
+QUERIES = {f.__name__: f for f in (op6_fingerprint, op7_embedding_dedup, op8_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}

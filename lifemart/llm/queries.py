@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, encoding, fingerprint
+from . import embeddings, encoding, fingerprint, packing, quality, tokencount
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -26,6 +35,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op6_fingerprint, op7_embedding_dedup, op8_bpe)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op5_quality, op6_fingerprint, op7_embedding_dedup, op8_bpe, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lifemart.session import ship_code
+
 #: Rows and bytes of an Arrow batch that goes to a Python worker: long documents must not fill a worker.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
@@ -39,7 +41,8 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keeps Arrow batches small."""
+    """Keeps Arrow batches small, and sees that tasks find this package."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

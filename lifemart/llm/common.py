@@ -10,6 +10,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,39 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit words that spreads every bit."""
+    x = x.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+class IdFilter:
+    """Tells most ids that are not in a table; never misses one that is. Eight bits an id, MOST_BITS in all at most."""
+
+    MOST_BITS = 1 << 27
+
+    def __init__(self, ids: DataFrame):
+        """ids: one column of longs, each once."""
+        name, spark = ids.columns[0], ids.sparkSession
+        self.bits = bits = min(self.MOST_BITS, 1 << max(10, (8 * ids.count()).bit_length()))
+
+        def places(batches):
+            for batch in batches:
+                at = (mix(batch.column(0).to_numpy()) & np.uint64(bits - 1)).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"word": at >> 6, "bit": np.left_shift(np.int64(1), at & 63)})
+
+        words = ids.select(name).where(F.col(name).isNotNull()).mapInArrow(places, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+        mask = np.zeros(bits >> 6, np.int64)
+        mask[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+        self.held = spark.sparkContext.broadcast(mask)
+
+    def may_hold(self, ids: np.ndarray) -> np.ndarray:
+        at = (mix(ids) & np.uint64(self.bits - 1)).astype(np.int64)
+        return self.held.value[at >> 6] >> (at & 63) & 1 > 0
+
+
 def documents(docs: DataFrame, *more: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text (null as empty) and the columns in more."""
     bounded_batches(docs.sparkSession)

@@ -2,8 +2,8 @@
 
 The model is a trie of byte contexts up to ORDER bytes, held as a table of grams (context and next symbol) with
 their counts in the training texts. A symbol is coded at the longest context that has seen it; each longer
-context costs an escape, estimated by the number of distinct symbols it has seen (method C), and symbols that a
-longer context has seen are excluded from the shorter ones. The symbols that context x has seen are a subset of
+context costs an escape, estimated at half a count for each distinct symbol it has seen, which those symbols give
+up (method D), and symbols that a longer context has seen are excluded from the shorter ones. The symbols that context x has seen are a subset of
 those that x without its first byte has, so what is left after exclusion are plain differences of counts, and
 the code length of a gram follows from that of the gram one byte shorter: one join and one window a level.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import documents, materialise
 from .quality import held_out
 
-ORDER = 4
+ORDER = 5
 END, PAD, BITS, ALPHABET = 256, 257, 9, 257
 PACKET_BYTES = 32 << 20
 CHUNK = 1 << 20
@@ -151,11 +151,11 @@ def gram_scores(grams: DataFrame, order: int) -> DataFrame:
         rows = rows.withColumn("low", F.col("key").bitwiseAND(F.lit((1 << BITS * level) - 1))).join(lower, "low")
         rows = rows.select("key", "n", "n0", "total0", "kinds0", "rest0", total.alias("total"), kinds.alias("kinds"), F.sum(F.when(F.col("n") > 0, F.col("n0")).otherwise(0)).over(context).alias("barred"))
         new = F.col("kinds0") - F.col("kinds")
-        left = (F.col("total0") - F.col("barred") + new).cast("double")
-        rest = F.when(F.col("n0") > 0, log(F.col("n0") / F.greatest(left, F.lit(1.0)))).otherwise(F.col("rest0") + F.when(new > 0, log(new / left)).otherwise(0.0))
+        left = (2 * (F.col("total0") - F.col("barred"))).cast("double")
+        rest = F.when(F.col("n0") > 0, log((2 * F.col("n0") - 1) / F.greatest(left, F.lit(1.0)))).otherwise(F.col("rest0") + F.when(new > 0, log(new / left)).otherwise(0.0))
         below = rows.select("key", "n", "total", "kinds", rest.alias("rest"))
-    whole = (F.col("total") + F.col("kinds")).cast("double")
-    value = F.when(F.col("n") > 0, log(F.col("n") / F.greatest(whole, F.lit(1.0)))).otherwise(F.col("rest") + F.when(F.col("total") > 0, log(F.col("kinds") / whole)).otherwise(0.0))
+    whole = (2 * F.col("total")).cast("double")
+    value = F.when(F.col("n") > 0, log((2 * F.col("n") - 1) / F.greatest(whole, F.lit(1.0)))).otherwise(F.col("rest") + F.when(F.col("total") > 0, log(F.col("kinds") / whole)).otherwise(0.0))
     return below.select("key", value.alias("value"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, encoding, fingerprint, packing, quality, tokencount
+from . import embeddings, encoding, fingerprint, jaccard, lmscore, packing, quality, tokencount
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -35,10 +39,14 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_decode(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_quality, op6_fingerprint, op7_embedding_dedup, op8_bpe, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ppm, op2_packing, op5_quality, op6_fingerprint, op7_embedding_dedup, op8_bpe, op9_jaccard, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embeddings, encoding, fingerprint, jaccard, lmscore, packing, quality, tokencount
+from . import embeddings, encoding, fingerprint, jaccard, lmscore, packing, passages, quality, tokencount, urlgraph
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -22,6 +22,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op3_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlgraph.judge(table(spark, sf_dir, "pages"))
+
+
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), spans=True)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -47,6 +55,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op1_ppm, op2_packing, op5_quality, op6_fingerprint, op7_embedding_dedup, op8_bpe, op9_jaccard, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_ppm, op2_packing, op3_url_trust, op4_passages, op5_quality, op6_fingerprint, op7_embedding_dedup, op8_bpe, op9_jaccard, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -2,8 +2,9 @@
 
 Documents are put into bands of set sizes. In a band the universe of shingles is hashed into m segments, and a
 document's signature of a segment is a hash of its shingles there. Two linked sets differ in few shingles
-(at most a ninth of their joint size), so a document with more filled segments than that has a segment in common
+(at most a ninth of their joint size), so a document with more filled segments than that has one in common
 with each of its partners. A document goes into its own band and, if a partner could be there, into the next.
+A segment counts as filled from FILL shingles on: single shingles are what unlike documents share most often.
 m is the least that leaves documents enough filled segments; the price of raising m is weighed against that of
 promoting segments, for which a document also shows its one-deletion neighbours (the segment's shingles without
 one), so that such a segment bears one difference and counts twice. What a document is short of in spite of
@@ -29,7 +30,7 @@ from .common import IdFilter, documents, materialise, mix
 from .components import components
 
 WIDTH, SHARE = 5, 80
-SMALL, STEP = 20, 1.25
+SMALL, STEP, FILL = 20, 1.25, 2
 BUCKET_ENTRIES, BLOCK, SKETCH_BITS = 2_000_000, 512, 2048
 WORDS_KEPT = 600_000
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
@@ -70,21 +71,22 @@ def band_tops(largest: int) -> list[int]:
 def allocate(low: int, top: int) -> tuple[int, int]:
     """(segments, promoted segments) of a band, by the expected number of signatures.
 
-    Sizes from low to top must expect enough filled (and twice filled promoted) segments, with three deviations to spare.
+    Sizes from low to top must expect enough filled segments, and promoted ones with one shingle more, with three
+    deviations to spare.
     """
     best = (math.inf, 0, 0)
     sizes = sorted({low, (low + top) // 2, top})
     least = differences(top, top) + 1
-    for m in sorted({int(least * f) + c for f in (1, 1.02, 1.04, 1.07, 1.1, 1.15, 1.2, 1.3, 1.5, 1.8, 2.5) for c in (0, 2, 5)}):
+    for m in sorted({int(least * f) + c for f in (1, 1.02, 1.04, 1.07, 1.1, 1.15, 1.2, 1.25, 1.3, 1.4, 1.5, 1.8, 2.5) for c in (0, 2, 5)}):
         for promoted in sorted({0, m // 50, m // 20, m // 8, m // 3}):
-            cost = m
+            cost = 0.0
             for n in sizes:
-                empty = (1 - 1 / m) ** n
-                one = n / m * (1 - 1 / m) ** (n - 1)
-                spread = 3 * math.sqrt(m * empty * (1 - empty) + 1)
-                if m * (1 - empty) + promoted * (1 - empty - one) - spread < differences(n, min(int(n * STEP), top)) + 1:
+                with_k = [math.comb(n, k) * (1 / m) ** k * (1 - 1 / m) ** (n - k) if m > 1 else float(n == k) for k in range(FILL + 1)]
+                filled, more = 1 - sum(with_k[:FILL]), 1 - sum(with_k)
+                spread = 3 * math.sqrt(m * filled * (1 - filled) + 1)
+                if m * filled + promoted * more - spread < differences(n, min(n * 100 // SHARE, top)) + 1:
                     cost = math.inf
-                cost = max(cost, m * (1 - empty) + promoted * n / m)
+                cost = max(cost, m * filled + promoted * n / m)
             best = min(best, (cost, m, promoted))
     return (best[1], best[2]) if best[0] < math.inf else (4 * top, 0)
 
@@ -102,25 +104,26 @@ def signatures(found: np.ndarray, band: int, low: int, top: int, spread: tuple[i
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
     sums, count = np.add.reduceat(inside, first), np.diff(np.append(first, n))
     key = mix(part[first] * np.uint64(0xC2B2AE3D27D4EB4F) + tag)
-    shown = [mix(sums ^ key)]
-    more = (part[first] < promoted) & (count > 1)
+    filled = count >= FILL
+    shown = [mix(sums ^ key)[filled]]
+    more = (part[first] < promoted) & (count > FILL)
     if more.any():
         at = np.repeat(more, count)
         shown.append(mix((np.repeat(sums, count)[at] - inside[at]) ^ np.repeat(key, count)[at]))
-    if len(first) + int(more.sum()) <= differences(n, min(n * 100 // SHARE, top)):
+    if int(filled.sum()) + int(more.sum()) <= differences(n, min(n * 100 // SHARE, top)):
         shown.append(alone)
     return np.concatenate(shown)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, d1, d2: the size of each set and a 128-bit digest of it."""
+    """doc_id, n, d1, d2, sketch: the size of each set, a 128-bit digest of it and its parity sketch."""
 
     def run(batches):
         for batch in batches:
             made = [shingles(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in made], pa.int64()), *(pa.array([int(mix(x + np.uint64(k)).sum(dtype=np.uint64)) - (1 << 63) for x in made], pa.int64()) for k in (1, 2))], ["doc_id", "n", "d1", "d2"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in made], pa.int64()), *(pa.array([int(mix(x + np.uint64(k)).sum(dtype=np.uint64)) - (1 << 63) for x in made], pa.int64()) for k in (1, 2)), pa.array([_sketch(x) for x in made], pa.binary())], ["doc_id", "n", "d1", "d2", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sketch binary")
 
 
 def _shown(docs: DataFrame, largest: int, buckets: int) -> DataFrame:
@@ -199,7 +202,7 @@ def _sketch(found: np.ndarray) -> bytes:
 
 
 def _whole(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc, n, sketch, shingles of the wanted documents (and of few others)."""
+    """doc, n, shingles of the wanted documents (and of few others)."""
     kept = IdFilter(wanted)
 
     def run(batches):
@@ -207,13 +210,28 @@ def _whole(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             batch = batch.filter(batch.column("doc_id").is_valid())
             batch = batch.filter(pa.array(kept.may_hold(batch.column("doc_id").to_numpy()), pa.bool_()))
             made = [shingles(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in made], pa.int64()), pa.array([_sketch(x) for x in made], pa.binary()), pa.array([x.tobytes() for x in made], pa.binary())], ["doc", "n", "sketch", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in made], pa.int64()), pa.array([x.tobytes() for x in made], pa.binary())], ["doc", "n", "shingles"])
 
-    return docs.mapInArrow(run, "doc long, n long, sketch binary, shingles binary")
+    return docs.mapInArrow(run, "doc long, n long, shingles binary")
 
 
-def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are linked."""
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches allow."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(batch), -1) for c in ("x", "y"))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(apart <= batch.column("most").to_numpy(), pa.bool_()))
+
+    own = lambda c, n, s: sets.where("n > 0").select(F.col("doc_id").alias(c), F.col("n").alias(n), F.col("sketch").alias(s))
+    both = pairs.join(own("a", "na", "x"), "a").join(own("b", "nb", "y"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE)
+    most = F.floor((100 - SHARE) * (F.col("na") + F.col("nb")) / (100 + SHARE)).cast("long")
+    return both.select("a", "b", "x", "y", most.alias("most")).mapInArrow(run, "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are linked; the sets of their documents are made once more and travel to them."""
 
     def run(batches):
         for batch in batches:
@@ -226,11 +244,11 @@ def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
                 keep.append(100 * common >= SHARE * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = whole.select("doc", "n", "shingles")
-    left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("y")), "b")
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE
-    return both.where(fits).select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "wanted")
+    sets = materialise(_whole(docs, wanted), "whole").select("doc", "shingles")
+    left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x")), "a")
+    both = left.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _apart(block: pa.Table) -> pa.Table:
@@ -264,18 +282,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = max(24, (size["all"] or 0) * 6 // 10 // BUCKET_ENTRIES)
     shape = "gid long, doc long"
     groups = materialise(_shown(docs, size["largest"] or 0, buckets).groupBy("bucket").applyInArrow(_groups, shape).distinct(), "groups")
-    whole = materialise(_whole(docs, materialise(groups.select("doc").distinct(), "wanted")), "whole")
     stars = materialise(groups.join(groups.groupBy("gid").agg(F.min("doc").alias("b")), "gid").where("doc <> b").select(F.col("doc").alias("a"), "b").distinct(), "stars")
-    links = materialise(_verified(stars, whole), "links")
+    links = materialise(_verified(materialise(_possible(stars, sets), "possible"), docs), "links")
     known = materialise(components(links), "components")
     placed = groups.join(known, F.col("doc") == F.col("id"), "left").select("gid", "doc", F.coalesce("component", "doc").alias("component"))
     placed = materialise(placed, "placed")
     mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2").select("gid", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    spread = placed.join(mixed, "gid").join(whole.select("doc", "n", "sketch"), "doc")
+    spread = placed.join(mixed, "gid").join(sets.select(F.col("doc_id").alias("doc"), "n", "sketch").where("n > 0"), "doc")
     spread = spread.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     blocks = spread.select("gid", "doc", "component", "n", "sketch", "part", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
     rest = materialise(blocks.groupBy("gid", "first", "second").applyInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    every = components(links.unionByName(_verified(rest, whole)))
+    every = components(links.unionByName(_verified(rest, docs)))
+    sets = sets.drop("sketch")
     classes = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
     classes = materialise(classes.join(every, F.col("rep") == F.col("id"), "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component")), "classes")
     return sets.join(classes, ["d1", "d2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -31,7 +31,7 @@ from .components import components
 
 WIDTH, SHARE = 5, 80
 SMALL, STEP, FILL = 20, 1.25, 2
-BUCKET_ENTRIES, BLOCK, SKETCH_BITS = 2_000_000, 512, 2048
+BUCKET_ENTRIES, BLOCK, BUNDLE, SKETCH_BITS = 2_000_000, 512, 10_000, 2048
 WORDS_KEPT = 600_000
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -252,20 +252,25 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _apart(block: pa.Table) -> pa.Table:
-    """Pairs across components in one block, or between two, that sizes and sketches allow."""
-    first, second = block.column("first")[0].as_py(), block.column("second")[0].as_py()
-    doc, n, group, part = (block.column(c).to_numpy() for c in ("doc", "n", "component", "part"))
+    """Pairs across components that sizes and sketches allow: in each group of a bundle, or between two parts of one group."""
+    block = block.sort_by("gid")
+    gid, doc, n, group, part, first, second = (block.column(c).to_numpy() for c in ("gid", "doc", "n", "component", "part", "first", "second"))
     sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint64).reshape(len(doc), -1)
-    left = np.flatnonzero(part == first)
-    right = left if first == second else np.flatnonzero(part == second)
+    cuts = [*np.flatnonzero(np.append(True, gid[1:] != gid[:-1])).tolist(), len(gid)]
     found = []
-    for i in left:
-        j = right[(group[right] != group[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * SHARE)]
-        if first == second:
-            j = j[doc[j] < doc[i]]
-        j = j[np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64) <= (100 - SHARE) * (n[j] + n[i]) // (100 + SHARE)]
-        found.append(np.stack([np.maximum(doc[i], doc[j]), np.minimum(doc[i], doc[j])]))
-    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    for lo, hi in zip(cuts, cuts[1:]):
+        at = np.arange(lo, hi)
+        left, right = at[part[at] == first[lo]], at[part[at] == second[lo]]
+        step = max(1, 32_768 // max(1, len(right)))
+        for k in range(0, len(left), step):
+            i, j = np.repeat(left[k : k + step], len(right)), np.tile(right, len(left[k : k + step]))
+            keep = (group[i] != group[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * SHARE)
+            if first[lo] == second[lo]:
+                keep &= doc[j] < doc[i]
+            i, j = i[keep], j[keep]
+            keep = np.bitwise_count(sketch[j] ^ sketch[i]).sum(1, dtype=np.int64) <= (100 - SHARE) * (n[j] + n[i]) // (100 + SHARE)
+            found.append(np.stack([np.maximum(doc[i[keep]], doc[j[keep]]), np.minimum(doc[i[keep]], doc[j[keep]])]))
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
     return pa.table({"a": pairs[0], "b": pairs[1]})
 
 
@@ -287,11 +292,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = materialise(components(links), "components")
     placed = groups.join(known, F.col("doc") == F.col("id"), "left").select("gid", "doc", F.coalesce("component", "doc").alias("component"))
     placed = materialise(placed, "placed")
-    mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2").select("gid", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    spread = placed.join(mixed, "gid").join(sets.select(F.col("doc_id").alias("doc"), "n", "sketch").where("n > 0"), "doc")
+    mixed = placed.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size")).where("lo < hi and size > 2").select("gid", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    mixed = materialise(mixed, "mixed")
+    spread = placed.join(mixed.drop("size"), "gid").join(sets.select(F.col("doc_id").alias("doc"), "n", "sketch").where("n > 0"), "doc")
     spread = spread.withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = spread.select("gid", "doc", "component", "n", "sketch", "part", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
-    rest = materialise(blocks.groupBy("gid", "first", "second").applyInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+    blocks = spread.select("gid", "parts", "doc", "component", "n", "sketch", "part", F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"))
+    bundles = max(1, (mixed.agg(F.sum("size")).first()[0] or 0) // BUNDLE)
+    bundle = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("gid"), F.lit(bundles))).otherwise(-1)
+    alone = F.when(F.col("parts") == 1, 0).otherwise(F.col("gid"))
+    rest = materialise(blocks.groupBy(bundle.alias("bundle"), alone.alias("alone"), "first", "second").applyInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
     every = components(links.unionByName(_verified(rest, docs)))
     sets = sets.drop("sketch")
     classes = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))

@@ -44,12 +44,12 @@ def dp10(t: Tables) -> DataFrame:
     return t.part.groupBy(F.col("p_brand").alias("project"), F.col("p_type").alias("typology")).agg(F.count("*").alias("units"), F.round(F.avg("p_retailprice"), 6).alias("mean_price"), F.round(F.percentile("p_retailprice", 0.5), 6).alias("median_price"), F.round(F.avg(ratio(F.col("p_retailprice"), F.col("p_size"))), 6).alias("price_per_area"))
 
 
-@query("dp11_stock_export", "WITH sold AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate>=TIMESTAMP '2001-06-01') SELECT p_brand AS project, count(*) FILTER (l_partkey IS NULL) AS available, count(*) FILTER (l_partkey IS NOT NULL) AS sold, round(sum(CASE WHEN l_partkey IS NULL THEN p_retailprice*(CASE WHEN p_name LIKE '%red%' THEN 0.95 ELSE 1 END) ELSE 0 END),2) AS list_value FROM part LEFT JOIN sold ON p_partkey=l_partkey GROUP BY 1")
+@query("dp11_stock_export", "WITH sold AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate>=TIMESTAMP '2001-06-01') SELECT p_brand AS project, count(*) FILTER (l_partkey IS NULL) AS available, count(*) FILTER (l_partkey IS NOT NULL) AS sold, round(sum(CASE WHEN l_partkey IS NULL THEN p_retailprice*(CASE WHEN p_name LIKE '%red%' THEN 0.95 ELSE 1 END) ELSE 0 END),6) AS list_value FROM part LEFT JOIN sold ON p_partkey=l_partkey GROUP BY 1")
 def dp11(t: Tables) -> DataFrame:
     sold = t.lineitem.where(F.col("l_shipdate") >= F.lit("2001-06-01").cast("timestamp_ntz")).select("l_partkey").distinct()
     free = F.col("l_partkey").isNull()
     price = F.col("p_retailprice") * F.when(F.col("p_name").contains("red"), 0.95).otherwise(1.0)
-    return t.part.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy(F.col("p_brand").alias("project")).agg(F.count_if(free).alias("available"), F.count_if(~free).alias("sold"), F.round(F.sum(F.when(free, price).otherwise(0.0)), 2).alias("list_value"))
+    return t.part.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy(F.col("p_brand").alias("project")).agg(F.count_if(free).alias("available"), F.count_if(~free).alias("sold"), F.round(F.sum(F.when(free, price).otherwise(0.0)), 6).alias("list_value"))
 
 
 @query("dp12_monthly_stock_movement", f"WITH RECURSIVE {STOCK}, x AS (SELECT *, CAST(date_trunc('week', day) AS DATE) AS week FROM stock) SELECT project, week, arg_min(closing-delta, day) AS opening, CAST(sum(entries) AS BIGINT) AS entries, CAST(sum(sales) AS BIGINT) AS sales, arg_max(closing, day) AS closing FROM x GROUP BY 1,2")
@@ -221,7 +221,13 @@ def dp31(t: Tables) -> DataFrame:
     return a.join(b, ["project", "month"], "full_outer").select("project", "month", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("leads", "people", "sales")))
 
 
-@query("dp32_cohort_funnel", f"WITH {LC} SELECT project, CAST(date_trunc('quarter', d) AS DATE) AS cohort, h, count(*) FILTER (d+h<=DATE '2001-06-01') AS matured, count(*) FILTER (d+h<=DATE '2001-06-01' AND days BETWEEN 0 AND h) AS converted, count(*) FILTER (days<0) AS anomalies, round(count(*) FILTER (d+h<=DATE '2001-06-01' AND days BETWEEN 0 AND h)/nullif(CAST(count(*) FILTER (d+h<=DATE '2001-06-01') AS DOUBLE),0),6) AS rate FROM lc CROSS JOIN (VALUES (30),(60),(90)) x(h) GROUP BY 1,2,3")
+def cohort_sql(h: int) -> str:
+    ripe = f"d+{h}<=DATE '2001-06-01'"
+    hit = f"count(*) FILTER ({ripe} AND converted-d BETWEEN 0 AND {h})"
+    return f"SELECT project, CAST(date_trunc('quarter', d) AS DATE) AS cohort, {h} AS h, count(*) FILTER ({ripe}) AS matured, {hit} AS converted, count(*) FILTER (converted-d<0) AS anomalies, round({hit}/nullif(CAST(count(*) FILTER ({ripe}) AS DOUBLE),0),6) AS rate FROM (SELECT c_nationkey AS project, CAST(o_orderdate AS DATE) AS d, converted FROM orders JOIN customer ON o_custkey=c_custkey LEFT JOIN conv ON lead=o_orderkey) GROUP BY 1,2"
+
+
+@query("dp32_cohort_funnel", f"WITH {CONV} " + " UNION ALL ".join(map(cohort_sql, (30, 60, 90))))
 def dp32(t: Tables) -> DataFrame:
     rows = lead_conversions(t).withColumn("h", F.explode(F.array(*map(F.lit, (30, 60, 90)))))
     ripe = F.date_add("d", F.col("h")) <= "2001-06-01"

@@ -22,7 +22,7 @@ def plain(value):
     return value
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def duck():
     connection = duckdb.connect()
     for name in TABLES:

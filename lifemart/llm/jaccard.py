@@ -32,7 +32,7 @@ from .components import components
 WIDTH, SHARE = 5, 80
 SMALL, STEP, FILL = 20, 1.25, 2
 BUCKET_ENTRIES, BLOCK, BUNDLE, SKETCH_BITS = 2_000_000, 512, 10_000, 2048
-WORDS_KEPT = 600_000
+WORDS_KEPT = 200_000
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 
 _words: dict[bytes, int] = {}

@@ -9,6 +9,7 @@ the number of documents. A piece then finds its place by its rank among the piec
 from __future__ import annotations
 
 import json
+import math
 import zlib
 
 import numpy as np
@@ -22,9 +23,6 @@ from .common import documents, materialise
 from .encoding import read_vocabulary
 from .merges import SPLIT, byte_symbols
 
-#: Pieces of a length that are ranked in one task.
-RANKED = 50_000
-
 _encoders: dict[int, object] = {}
 
 
@@ -129,11 +127,12 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2
 
     Documents longer than capacity are cut so that the first piece is the short one. A null or empty text is the
     end id alone. Repeated rows are packed one by one. Whole pieces of one length, a hot one too, are ranked in
-    hash parts of about RANKED; only the counts of lengths (capacity rows) go to the driver.
+    hash parts, as many as a part of the most frequent length has rows (the root of its count), so neither the parts nor
+    the sums over them grow large; only the counts of lengths (capacity rows) go to the driver.
     """
     cut = materialise(pieces(docs, vocabulary, capacity, end_id, ids), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    parts = max(1, -(-max(counts.values(), default=0) // RANKED))
+    parts = math.isqrt(max(counts.values(), default=0)) + 1
     salted = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = salted.groupBy("length", "part").agg(F.count("*").alias("n")).select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))

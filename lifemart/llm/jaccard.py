@@ -301,8 +301,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bundle = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("gid"), F.lit(bundles))).otherwise(-1)
     alone = F.when(F.col("parts") == 1, 0).otherwise(F.col("gid"))
     rest = materialise(blocks.groupBy(bundle.alias("bundle"), alone.alias("alone"), "first", "second").applyInArrow(_apart, "a long, b long").distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    every = components(links.unionByName(_verified(rest, docs)))
     sets = sets.drop("sketch")
-    classes = sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = materialise(classes.join(every, F.col("rep") == F.col("id"), "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component")), "classes")
-    return sets.join(classes, ["d1", "d2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    reps = materialise(sets.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "reps")
+    one = F.struct("n", "d1", "d2")
+    unlike = sets.where("doc_id is not null").groupBy("doc_id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).where("lo < hi").select("doc_id")
+    same_id = sets.join(unlike, "doc_id").join(reps, ["d1", "d2", "n"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    every = materialise(components(links.unionByName(_verified(rest, docs)).unionByName(same_id)), "every")
+    classes = materialise(reps.join(every, F.col("rep") == F.col("id"), "left").select("d1", "d2", "n", F.coalesce("component", "rep").alias("component")), "classes")
+    placed = sets.where("n > 0").join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", "component")
+    placed = placed.unionByName(sets.where("n = 0").join(every, F.col("doc_id") == F.col("id"), "left").select("doc_id", "n", "component"))
+    return placed.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -241,3 +241,24 @@ def test_pipeline(spark):
     for r in corpus_pipeline.run(spark, folder).collect():
         found[str(r["doc_id"])] += r["length"]
     assert found == {i: len(code.encode(t)) + 1 for i, t in cleaned}
+
+
+def test_jaccard_ids_that_repeat(spark):
+    a, b = "a b c d e f g h", "m n o p q r s t"
+    rows = [(1, a), (2, b), (5, a), (5, b), (6, a), (7, b), (7, ""), (7, "zz"), (8, ""), (9, "zz")]
+    found = sorted((r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(frame(spark, rows)).collect())
+    assert found == sorted((i, 8 if i == 8 else 1) for i, _ in rows)
+
+
+def test_pipeline_rows_that_repeat(spark):
+    import corpus_pipeline
+
+    kept = lambda rows: Counter(tuple(r) for r in corpus_pipeline.one_of_near_duplicates(spark, frame(spark, rows), FOLDER).collect())
+    a, b, c = "a b c d e f g h", "m n o p q r s t", "only here is this text kept"
+    assert kept([(1, a), (5, a), (5, c), (6, b), (6, b), (7, b)]) == Counter([(1, a), (5, c), (6, b)])
+    assert kept([(None, c), (None, c), (None, a), (3, a), (None, ""), (None, None), (4, ""), (4, None), (5, "")])[(3, a)] == 1
+    assert sum(kept([(None, c), (None, c), (None, a), (3, a), (None, ""), (None, None), (4, ""), (4, None), (5, "")]).values()) == 5
+    rows = [(i, f"{a} {i} {i % 3} x") for i in range(9)] + [(20 + i, f"{i} " * 9) for i in range(9)]
+    assert kept(rows * 2) == kept(rows)
+    assert kept([(1, a), (1 << 62, a), (1 << 62, c)]) == Counter([(1, a), (1 << 62, c)])
+    assert kept([]) == Counter()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import difflib
 import math
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
@@ -13,7 +14,7 @@ from pyspark.ml.feature import IDF, CountVectorizer, RobustScaler, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import AFTSurvivalRegression, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import first_of, ratio
@@ -295,21 +296,40 @@ def ml31(t: Tables) -> DataFrame:
     return b.crossJoin(F.broadcast(grid)).select("project", "dd", "dp", F.round(F.col("base") * (1 + F.col("dd")) * (1 - 1.2 * F.col("dp")), 4).alias("units"))
 
 
+#: Rows of one brand that one task compares with the whole brand.
+BRAND_ROWS = 500
+
+
+@lru_cache(maxsize=1 << 16)
+def _ratio(x: str, y: str) -> float:
+    return difflib.SequenceMatcher(None, x, y).ratio()
+
+
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
+    return pd.Series([_ratio(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+
+
+def brand_pairs(part: DataFrame, value: Column) -> DataFrame:
+    """a, x, b, y: every pair a < b of ids of one brand with the value of each; a brand's rows are dealt out in parts, each of which meets the whole brand."""
+    rows = part.select("p_brand", F.col("p_partkey").alias("id"), value.alias("value"))
+    parts = rows.groupBy("p_brand").agg(F.ceil(F.count("*") / BRAND_ROWS).cast("int").alias("parts"))
+    rows = rows.join(parts, "p_brand")
+    left = rows.select("p_brand", F.col("id").alias("a"), F.col("value").alias("x"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    right = rows.select("p_brand", F.col("id").alias("b"), F.col("value").alias("y"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return left.join(right, ["p_brand", "part"]).where("a < b").select("a", "x", "b", "y")
 
 
 @query("udf03_pair_similarity")
 def udf03(t: Tables) -> DataFrame:
-    """Sequence ratios of names, on blocked pairs only."""
+    """Sequence ratios of names, for every pair of one brand: rows grow with the square of a brand's size."""
     ship_code(t.spark)
     similar = F.pandas_udf(sequence_ratio, "double")
-    pairs = t.part.select("p_brand", F.col("p_partkey").alias("a"), F.col("p_name").alias("x")).join(t.part.select("p_brand", F.col("p_partkey").alias("b"), F.col("p_name").alias("y")), "p_brand").where("a < b and b < a + 40")
-    return pairs.select("a", "b", similar("x", "y").alias("ratio"))
+    return brand_pairs(t.part, F.col("p_name")).select("a", "b", similar("x", "y").alias("ratio"))
 
 
 @query("sc09_name_similarity", "WITH w AS (SELECT p_partkey AS a, p_brand, list_distinct(string_split(p_name,' ')) AS x FROM part) SELECT w.a, v.a AS b, round(len(list_intersect(w.x, v.x))/CAST(len(list_distinct(list_concat(w.x, v.x))) AS DOUBLE),6) AS jaccard FROM w JOIN w v ON w.p_brand=v.p_brand AND w.a<v.a AND v.a<w.a+40")
 def sc09(t: Tables) -> DataFrame:
+    """Only pairs whose ids lie less than 40 apart, as the SQL has it; sc09_name_similarity_all has every pair of a brand."""
     words = F.array_distinct(F.split("p_name", " "))
     a = t.part.select("p_brand", F.col("p_partkey").alias("a"), words.alias("x"))
     b = t.part.select("p_brand", F.col("p_partkey").alias("b"), words.alias("y"))
@@ -317,6 +337,13 @@ def sc09(t: Tables) -> DataFrame:
     return j.select("a", "b", F.round(F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y")), 6).alias("jaccard"))
 
 
+@query("sc09_name_similarity_all")
+def sc09_all(t: Tables) -> DataFrame:
+    """Token Jaccard of names, for every pair of one brand: rows grow with the square of a brand's size."""
+    both = brand_pairs(t.part, F.array_distinct(F.split("p_name", " ")))
+    return both.select("a", "b", F.round(F.size(F.array_intersect("x", "y")) / F.size(F.array_union("x", "y")), 6).alias("jaccard"))
+
+
 @query("jn20_blocked_fuzzy", "WITH k AS (SELECT c_custkey AS id, unnest(['P:'||(c_custkey%500), 'N:'||c_nationkey||':'||c_mktsegment||':'||(c_custkey%20)]) AS k FROM customer), s AS (SELECT s_suppkey AS id, unnest(['P:'||(s_suppkey%500), 'N:'||s_nationkey||':BUILDING:'||(s_suppkey%20)]) AS k FROM supplier) SELECT DISTINCT k.id AS client, s.id AS supplier FROM k JOIN s ON k.k=s.k")
 def jn20(t: Tables) -> DataFrame:
     """Candidates that share any block key, each once; the keys are chosen narrow enough that no block is cut."""

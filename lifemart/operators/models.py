@@ -72,3 +72,26 @@ def holt(df: DataFrame, key: str, time: str, value: str, horizon: int) -> DataFr
 def lift_by_decile(scored: DataFrame, score: str, label: str, tie: str, by: str) -> DataFrame:
     decile = F.ntile(10).over(Window.partitionBy(by).orderBy(F.desc(score), tie))
     return scored.withColumn("decile", decile).groupBy("decile").agg(F.count("*").alias("n"), F.avg(F.col(label).cast("double")).alias("rate"))
+
+
+def synthetic_weights(panel: DataFrame, treated: int, date: str, ridge: float = 0.001) -> DataFrame:
+    """project, weight: non-negative ridge weights, sum 1, over all other projects of panel (project, month, sales), fitted on months before date.
+
+    A project without a row in a month sold 0. The Gram matrix is summed by Spark and has one number for each pair of projects;
+    descent by coordinates on it ends when no weight moves.
+    """
+    before = panel.where(F.col("month") < date)
+    a, b = (before.select("month", F.col("project").alias(p), F.col("sales").cast("double").alias(v)) for p, v in (("p", "x"), ("q", "y")))
+    gram = {(r["p"], r["q"]): r["s"] for r in a.join(b, "month").groupBy("p", "q").agg(F.sum(F.col("x") * F.col("y")).alias("s")).collect()}
+    donors = sorted(r["project"] for r in panel.select("project").distinct().collect() if r["project"] is not None and r["project"] != treated)
+    g = np.array([[gram.get((p, q), 0.0) for q in donors] for p in donors]).reshape(len(donors), len(donors))
+    c = np.array([gram.get((treated, q), 0.0) for q in donors])
+    w = np.zeros(len(donors))
+    for _ in range(100_000):
+        old = w.copy()
+        for i in range(len(donors)):
+            w[i] = max(0.0, w[i] + (c[i] - g[i] @ w - ridge * w[i]) / (g[i, i] + ridge))
+        if np.abs(w - old).max(initial=0.0) < 1e-12:
+            break
+    w = w / w.sum() if w.sum() else w
+    return panel.sparkSession.createDataFrame(list(zip(donors, map(float, w))), f"project {panel.schema['project'].dataType.simpleString()}, weight double")

@@ -195,20 +195,9 @@ def ml20(t: Tables) -> DataFrame:
 
 
 @query("ml21_synthetic_control")
-def ml21(t: Tables) -> DataFrame:
-    """Non-negative weights over donor projects from the Gram matrix that Spark sums; a few projected gradient steps on it."""
-    import numpy as np
-
-    donors = [1, 2, 3, 4, 5]
-    wide = project_months(t).where("month < '2000-01-01'").groupBy("month").pivot("project", [0, *donors]).agg(F.first("sales")).na.fill(0)
-    gram = wide.agg(*(F.sum(F.col(str(a)) * F.col(str(b))).cast("double").alias(f"{a}_{b}") for a in [0, *donors] for b in donors)).first()
-    g = np.array([[gram[f"{a}_{b}"] or 0.0 for b in donors] for a in donors])
-    c = np.array([gram[f"0_{b}"] or 0.0 for b in donors])
-    w, step = np.full(len(donors), 1 / len(donors)), 1 / (np.trace(g) + 1)
-    for _ in range(500):
-        w = np.maximum(w - step * (g @ w - c + 0.001 * w), 0)
-    w = w / w.sum() if w.sum() else w
-    weights = t.spark.createDataFrame([(d, float(x)) for d, x in zip(donors, w)], "project int, weight double")
+def ml21(t: Tables, treated: int = 0, date: str = "2000-01-01") -> DataFrame:
+    """The treated project's months as a weighted sum of all other projects."""
+    weights = models.synthetic_weights(project_months(t), treated, date)
     return project_months(t).join(F.broadcast(weights), "project").groupBy("month").agg(F.sum(F.col("sales") * F.col("weight")).alias("synthetic"))
 
 

@@ -1,8 +1,11 @@
 """Outputs that no SQL holds, against brute force."""
 
+import datetime
 import difflib
+import random
 
 from lifemart import registry
+from lifemart.operators.models import synthetic_weights
 from lifemart.plans import load_all, models
 
 load_all()
@@ -23,3 +26,21 @@ def test_name_pairs_whole_brands(spark, monkeypatch):
     found = registry.QUERIES["sc09_name_similarity_all"](spark, FOLDER).collect()
     brute = lambda x, y: round(len(x & y) / len(x | y), 6)
     assert sorted((r["a"], r["b"], r["jaccard"]) for r in found) == sorted((*k, brute(*(set(n.split(" ")) for n in v))) for k, v in pairs.items())
+
+
+def test_synthetic_control_all_donors(spark, monkeypatch):
+    draw, rows = random.Random(5), []
+    for m in range(60):
+        month = datetime.date(1995 + m // 12, 1 + m % 12, 1)
+        sales = {p: draw.randrange(100, 900) for p in range(1, 25)}
+        sales[0] = 0.6 * sales[7] + 0.4 * sales[19] if m < 40 else 1e6
+        rows += [(p, month, float(v)) for p, v in sales.items()]
+    panel = spark.createDataFrame(rows, "project int, month date, sales double")
+    found = {r["project"]: r["weight"] for r in synthetic_weights(panel, 0, "1998-05-01").collect()}
+    assert set(found) == set(range(1, 25))
+    assert all(abs(w - {7: 0.6, 19: 0.4}.get(p, 0)) < 1e-6 for p, w in found.items())
+    monkeypatch.setattr(models, "project_months", lambda t: panel)
+    real = {(p, m): v for p, m, v in rows}
+    for r in models.ml21(registry.Tables(spark, FOLDER), 0, "1998-05-01").collect():
+        assert abs(r["synthetic"] - 0.6 * real[7, r["month"]] - 0.4 * real[19, r["month"]]) < 1e-3
+    assert {r["project"] for r in synthetic_weights(panel, 3, "1998-05-01").collect()} == set(range(25)) - {3}

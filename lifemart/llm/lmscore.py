@@ -16,24 +16,27 @@ from __future__ import annotations
 
 import math
 import os
-from collections import Counter
+import re
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialise
+from .common import documents, materialise, mix
 from .quality import held_out
 
 ORDER = 5
 END, PAD, BITS, ALPHABET = 256, 257, 9, 257
 PACKET_BYTES = 32 << 20
 CHUNK = 1 << 20
+#: Keys that wait to be merged into those of a packet.
+MOST_WAITING = 1 << 20
 GRAM, WORD, TEXTS = 0, 1, 2
+SPACES = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
+SPACE = re.compile(rb"[ \t-\r]")
+_TABLE = mix(np.arange(1, (64 << 8) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def folded(text: str) -> bytes:
@@ -41,9 +44,63 @@ def folded(text: str) -> bytes:
     return text.encode().lower()
 
 
-def word_key(word: bytes) -> int:
-    """64 bits for a word; the empty word stands for the end of a text."""
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def word_pieces(texts: list[bytes]):
+    """Lists of (text number, piece) of some CHUNK bytes: texts, or parts of long ones that end where a word does."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        lo = 0
+        while lo < len(text):
+            hi = len(text)
+            found = SPACE.search(text, lo + CHUNK) if hi - lo > CHUNK else None
+            hi = found.end() if found else hi
+            cuts = [lo, hi]
+            if hi - lo > 2 * CHUNK:  # the word at lo + CHUNK is that long: it goes apart
+                hi = found.start() if found else hi
+                cuts = [lo, max(text.rfind(c, lo, lo + CHUNK) for c in SPACES) + 1 or lo, hi]
+            for a, b in zip(cuts, cuts[1:]):
+                held += [(i, text[a:b])] if b > a else []
+                size += b - a
+                if held and size >= CHUNK:
+                    yield held
+                    held, size = [], 0
+            lo = hi
+    if held:
+        yield held
+
+
+def _spread(part: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """64 bits for each byte and its place in its word."""
+    values = _TABLE[(place & 63) << 8 | part]
+    far = np.flatnonzero(place >= 64)
+    if len(far):
+        values[far] = mix(values[far] + (place[far] >> 6).astype(np.uint64))
+    return values
+
+
+def word_keys(held: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """(text numbers, keys) of the words of pieces: a key sums up the bytes of the word and is 0 for no word, as it stands for the end of a text."""
+    owners, keys = [], []
+    short = [x for x in held if len(x[1]) <= 2 * CHUNK]
+    for i, piece in held:
+        if len(piece) > 2 * CHUNK:  # one word
+            part = np.frombuffer(piece, np.uint8)
+            sums = [_spread(part[lo : lo + CHUNK], np.arange(lo, min(lo + CHUNK, len(part)))).sum(dtype=np.uint64) for lo in range(0, len(part), CHUNK)]
+            owners.append(np.array([i]))
+            keys.append(mix(np.array([*sums, len(piece)], np.uint64).sum(keepdims=True)))
+    stream = np.frombuffer(b" ".join([*(x[1] for x in short), b""]), np.uint8)
+    inside = (stream > 32) | (stream < 9) | (stream > 13) & (stream < 32)
+    first = np.flatnonzero(inside & np.append(True, ~inside[:-1])) if len(stream) else np.zeros(0, np.int64)
+    if len(first):
+        lengths = np.flatnonzero(~inside & np.append(False, inside[:-1])) - first
+        starts = np.cumsum(lengths) - lengths
+        values = _spread(stream[inside], np.arange(lengths.sum()) - np.repeat(starts, lengths))
+        keys.append(mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64)))
+        ends = np.cumsum([len(x[1]) + 1 for x in short])
+        owners.append(np.array([x[0] for x in short])[np.searchsorted(ends, first, side="right")])
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = np.concatenate(keys)
+    return np.concatenate(owners), np.where(key == 0, np.uint64(1), key).view(np.int64)
 
 
 def gram_chunks(texts: list[bytes], order: int):
@@ -51,7 +108,7 @@ def gram_chunks(texts: list[bytes], order: int):
     owner, parts, counts, size = [], [], [], 0
 
     def made():
-        stream = np.concatenate(parts)
+        stream = np.concatenate(parts).astype(np.int64)
         grams = np.zeros(len(stream) - order, np.int64)
         for k in range(order + 1):
             grams = grams << BITS | stream[k : k + len(grams)]
@@ -59,7 +116,7 @@ def gram_chunks(texts: list[bytes], order: int):
         return np.repeat(owner, counts), grams[keep]
 
     for i, text in enumerate(texts):
-        body = np.concatenate([np.full(order, PAD), np.frombuffer(text, np.uint8), [END]]).astype(np.int64)
+        body = np.concatenate([np.full(order, PAD, np.uint16), np.frombuffer(text, np.uint8), np.array([END], np.uint16)])
         for lo in range(0, len(body) - order, CHUNK):
             part = body[lo : lo + order + CHUNK]
             owner.append(i)
@@ -73,12 +130,28 @@ def gram_chunks(texts: list[bytes], order: int):
         yield made()
 
 
-def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(first) else count
+class Tally:
+    """Sorted keys and their counts; what is added waits until it is as much as what is there."""
+
+    def __init__(self):
+        self.key, self.count, self.waiting, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+    def add(self, keys: np.ndarray, weight: int) -> None:
+        key, count = np.unique(keys, return_counts=True)
+        self.waiting.append((key, count * weight))
+        self.size += len(key)
+        if self.size >= max(MOST_WAITING, len(self.key)):
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.waiting:
+            key, count = (np.concatenate(x) for x in zip((self.key, self.count), *self.waiting, strict=True))
+            self.waiting, self.size = [], 0
+            order = np.argsort(key, kind="stable")
+            key, count = key[order], count[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+            self.key, self.count = key[first], np.add.reduceat(count, first) if len(first) else count
+        return self.key, self.count
 
 
 def _packets(docs: DataFrame, order: int) -> DataFrame:
@@ -86,48 +159,41 @@ def _packets(docs: DataFrame, order: int) -> DataFrame:
     shape = pa.schema([("packet", pa.int64()), ("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()), ("texts", pa.binary())])
 
     def rows(packet: int, kind: int, keys: np.ndarray, n: np.ndarray):
-        for lo in range(0, len(keys), 100_000):
-            k = keys[lo : lo + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), packet)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[lo : lo + 100_000]), pa.nulls(len(k), pa.binary())], schema=shape)
-
-    def close(held: list[pa.RecordBatch]):
-        packet = int.from_bytes(os.urandom(8), "little", signed=True)
-        table = pa.Table.from_batches(held)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as out:
-            out.write_table(table)
-        yield pa.RecordBatch.from_pydict({"packet": [packet], "kind": [TEXTS], "key": [0], "n": [0], "texts": [zstandard.compress(sink.getvalue().to_pybytes(), 3)]}, schema=shape)
-        texts, apart = [folded(t) for t in table.column("text").to_pylist()], table.column("held_out").to_numpy()
-        keys, counts = [], []
-        for owner, grams in gram_chunks(texts, order):
-            for part, weight in ((grams[~apart[owner]], 1), (grams[apart[owner]], 0)):
-                k, n = np.unique(part, return_counts=True)
-                keys.append(k)
-                counts.append(n * weight)
-            if len(keys) > 32:
-                k, n = _merge(keys, counts)
-                keys, counts = [k], [n]
-        yield from rows(packet, GRAM, *_merge(keys, counts))
-        seen: Counter = Counter()
-        for text, out in zip(texts, apart, strict=True):
-            words = text.split()
-            if out:
-                seen.update(dict.fromkeys(words, 0))
-            else:
-                seen.update(words)
-        seen.update({b"": int((~apart).sum())})
-        yield from rows(packet, WORD, np.fromiter(map(word_key, seen), np.int64, len(seen)), np.fromiter(seen.values(), np.int64, len(seen)))
+        for lo in range(0, len(keys), 50_000):
+            k = keys[lo : lo + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), packet)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[lo : lo + 50_000]), pa.nulls(len(k), pa.binary())], schema=shape)
 
     def run(batches):
-        held, size = [], 0
+        sink = None
         for batch in batches:
-            held.append(batch)
+            if not len(batch):
+                continue
+            if sink is None:
+                sink, size, grams, words = pa.BufferOutputStream(), 0, Tally(), Tally()
+                out = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            out.write_batch(batch)
             size += batch.column("text").nbytes
+            texts, apart = [folded(t) for t in batch.column("text").to_pylist()], batch.column("held_out").to_numpy(zero_copy_only=False)
+            for tally, parts in ((grams, gram_chunks(texts, order)), (words, map(word_keys, word_pieces(texts)))):
+                for owner, keys in parts:
+                    out_of_it = apart[owner]
+                    tally.add(keys[~out_of_it], 1)
+                    tally.add(keys[out_of_it], 0)
+            words.add(np.zeros(int((~apart).sum()), np.int64), 1)
+            words.add(np.zeros(1, np.int64), 0)
+            del texts, batch
             if size >= PACKET_BYTES:
-                yield from close(held)
-                held, size = [], 0
-        if held and sum(map(len, held)):
-            yield from close(held)
+                yield from close(sink, out, grams, words)
+                sink = None
+        if sink is not None:
+            yield from close(sink, out, grams, words)
+
+    def close(sink: pa.BufferOutputStream, out: pa.ipc.RecordBatchStreamWriter, grams: Tally, words: Tally):
+        out.close()
+        packet = int.from_bytes(os.urandom(8), "little", signed=True)
+        yield pa.RecordBatch.from_arrays([pa.array([packet]), pa.array([TEXTS], pa.int8()), pa.array([0]), pa.array([0]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=shape)
+        yield from rows(packet, GRAM, *grams.settle())
+        yield from rows(packet, WORD, *words.settle())
 
     return docs.mapInArrow(run, "packet long, kind byte, key long, n long, texts binary")
 
@@ -165,27 +231,22 @@ def _score(order: int):
     def run(texts: pa.Table, values: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return shape.empty_table()
-        with pa.ipc.open_stream(zstandard.decompress(texts.column("texts")[0].as_py())) as file:
-            table = file.read_all()
         kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-        gram, gram_value = pd.Index(key[kind == GRAM]), value[kind == GRAM]
-        known = dict(zip(key[kind == WORD].tolist(), value[kind == WORD].tolist(), strict=True))
-        raw = [folded(t) for t in table.column("text").to_pylist()]
-        score = np.zeros(len(raw))
-        for owner, grams in gram_chunks(raw, order):
-            score += np.bincount(owner, gram_value[gram.get_indexer(grams)], len(raw))
-        of_word: dict[bytes, float] = {}
-        n_tokens, n_known, logs = [], [], []
-        for text in raw:
-            words = text.split()
-            words.append(b"")
-            for w in set(words).difference(of_word):
-                of_word[w] = known[word_key(w)]
-            found = list(map(of_word.__getitem__, words))
-            n_tokens.append(len(words))
-            n_known.append(len(words) - found.count(0.0))
-            logs.append(math.fsum(found))
-        return pa.table([table.column("doc_id"), table.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(score)], schema=shape)
+        (gram, gram_value), (word, word_value) = ((pd.Index(key[kind == k]), value[kind == k]) for k in (GRAM, WORD))
+        end, parts = word_value[word.get_loc(0)], []
+        with pa.ipc.open_stream(texts.column("texts")[0].as_py()) as file:
+            for batch in file:
+                raw = [folded(t) for t in batch.column("text").to_pylist()]
+                score, logs, n_tokens, n_known = np.zeros(len(raw)), np.full(len(raw), end), np.ones(len(raw), np.int64), np.full(len(raw), int(end > 0))
+                for owner, grams in gram_chunks(raw, order):
+                    score += np.bincount(owner, gram_value[gram.get_indexer(grams)], len(raw))
+                for owner, keys in map(word_keys, word_pieces(raw)):
+                    found = word_value[word.get_indexer(keys)]
+                    logs += np.bincount(owner, found, len(raw))
+                    n_tokens += np.bincount(owner, minlength=len(raw))
+                    n_known += np.bincount(owner[found > 0], minlength=len(raw))
+                parts.append(pa.table([batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(score)], schema=shape))
+        return pa.concat_tables(parts)
 
     return run
 
@@ -202,11 +263,11 @@ def score_texts(docs: DataFrame, order: int = ORDER, parts: int = 7) -> DataFram
     grams, words = made.where(F.col("kind") == GRAM), made.where(F.col("kind") == WORD)
     summed = materialise(grams.groupBy("key").agg(F.sum("n").alias("n")), "grams")
     gram_values = grams.select("packet", "key").join(materialise(gram_scores(summed, order), "scores"), "key")
-    every = Window.partitionBy("key")
-    counted = materialise(words.select("packet", "key", "n", F.sum("n").over(every).alias("c"), F.row_number().over(every.orderBy("packet")).alias("place")), "words")
-    totals = counted.agg(F.sum("n").alias("n"), F.count(F.when((F.col("place") == 1) & (F.col("c") > 0), 1)).alias("v")).first()
+    counted = materialise(words.groupBy("key").agg(F.sum("n").alias("c")), "words")
+    totals = counted.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
-    values = gram_values.select("packet", F.lit(GRAM).cast("byte").alias("kind"), "key", "value").unionByName(counted.select("packet", F.lit(WORD).cast("byte").alias("kind"), "key", F.log10(F.col("c") + 1.0).alias("value")))
+    word_values = words.select("packet", "key").join(counted, "key").select("packet", F.lit(WORD).cast("byte").alias("kind"), "key", F.log10(F.col("c") + 1.0).alias("value"))
+    values = gram_values.select("packet", F.lit(GRAM).cast("byte").alias("kind"), "key", "value").unionByName(word_values)
     texts = made.where(F.col("kind") == TEXTS).select(F.col("packet").alias("owner"), "texts")
     scored = texts.groupBy("owner").cogroup(values.groupBy("packet")).applyInArrow(_score(order), "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"), "score")

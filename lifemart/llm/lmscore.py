@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialise, mix
+from .common import documents, give_back, materialise, mix, tidy
 from .quality import held_out
 
 ORDER = 5
 END, PAD, BITS, ALPHABET = 256, 257, 9, 257
 PACKET_BYTES = 32 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Keys that wait to be merged into those of a packet.
 MOST_WAITING = 1 << 20
 GRAM, WORD, TEXTS = 0, 1, 2
@@ -184,7 +184,8 @@ def _packets(docs: DataFrame, order: int) -> DataFrame:
             del texts, batch
             if size >= PACKET_BYTES:
                 yield from close(sink, out, grams, words)
-                sink = None
+                sink = out = grams = words = None
+                give_back()
         if sink is not None:
             yield from close(sink, out, grams, words)
 
@@ -195,7 +196,7 @@ def _packets(docs: DataFrame, order: int) -> DataFrame:
         yield from rows(packet, GRAM, *grams.settle())
         yield from rows(packet, WORD, *words.settle())
 
-    return docs.mapInArrow(run, "packet long, kind byte, key long, n long, texts binary")
+    return docs.mapInArrow(tidy(run), "packet long, kind byte, key long, n long, texts binary")
 
 
 def gram_scores(grams: DataFrame, order: int) -> DataFrame:
@@ -246,6 +247,8 @@ def _score(order: int):
                     n_tokens += np.bincount(owner, minlength=len(raw))
                     n_known += np.bincount(owner[found > 0], minlength=len(raw))
                 parts.append(pa.table([batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(score)], schema=shape))
+        del gram, gram_value, word, word_value, key, value, kind
+        give_back()
         return pa.concat_tables(parts)
 
     return run

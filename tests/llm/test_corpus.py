@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lifemart.llm import components, embeddings, fingerprint, jaccard, lmscore, passages, quality, urlgraph
 
@@ -205,25 +206,68 @@ def test_url_rules_and_ranks(spark):
     assert found[1] == ("www.example.com", "/en/x", "www.example.com/en/", "allow")
     assert found[2] == found[3] == ("", "", None, "allow")
     assert found[4][2:] == ("net/fr/", "block") and found[7][2:] == ("example.com/en/", "block") and found[8] == ("com", "", None, "allow")
+    assert urlgraph.judge(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     hosts = [f"h{i}" for i in range(12)]
     draw = random.Random(1)
     edges = {(a, b): draw.randrange(1, 4) for a in hosts for b in hosts if a != b and draw.random() < 0.2}
     seeds = {h: (draw.random() * (draw.random() < 0.4), draw.random() * (draw.random() < 0.4)) for h in hosts}
     got = {r["host"]: (r["trust"], r["distrust"]) for r in urlgraph.propagate(spark.createDataFrame([(h, *v) for h, v in seeds.items()], "host string, trust double, distrust double"), spark.createDataFrame([(*k, n) for k, n in edges.items()], "src string, dst string, n long"), rounds=4, tolerance=0.0).collect()}
-    trust, distrust = ({h: v[k] for h, v in seeds.items()} for k in (0, 1))
-    out, into = Counter(), Counter()
-    for (a, b), n in edges.items():
-        out[a] += n
-        into[b] += n
-    for _ in range(4):
-        t, d = ({h: v[k] for h, v in seeds.items()} for k in (0, 1))
-        for (a, b), n in edges.items():
-            t[b] += 0.85 * trust[a] * n / out[a]
-            d[a] += 0.85 * distrust[b] * n / into[b]
-        trust, distrust = t, d
+    trust, distrust = brute_walks(seeds, edges, 4)
     assert all(abs(got[h][0] - trust[h]) + abs(got[h][1] - distrust[h]) < 1e-9 for h in hosts)
 
 
+def brute_walks(seeds, edges, rounds):
+    """Shares of the rank with all hosts as seeds, of trust along the edges and of distrust against them."""
+    out = []
+    for kind, way in ((0, edges), (1, {(b, a): n for (a, b), n in edges.items()})):
+        total, hosts = Counter(), {*seeds, *(h for e in edges for h in e)}
+        for (a, _), n in way.items():
+            total[a] += n
+        walks = []
+        for start in ({h: seeds.get(h, (0, 0))[kind] for h in hosts}, dict.fromkeys(hosts, 1.0)):
+            rank = start
+            for _ in range(rounds):
+                new = dict(start)
+                for (a, b), n in way.items():
+                    new[b] += 0.85 * rank[a] * n / total[a]
+                rank = new
+            walks.append(rank)
+        out.append({h: walks[0][h] / walks[1][h] for h in hosts})
+    return out
+
+
+def test_graph_verdicts(spark):
+    bad = [*((i, f"http://bad.net/fr/{i}", None) for i in range(4)), (4, "http://u@bad.net:80/en", None)]
+    rows = [*bad, (10, "http://links.org/1", "<a href=//BAD.net:8080/x> <a href='http://bad.net'>"), (11, "http://plain.org/1", "<a href='/x'>"), (12, "http://shop.farm.net/en/", "<p>"), (13, "http://farm.net/fr/1", ""), (14, "http://a.farm.net/es/1", ""), (15, "http://ok.com/fr", "<a href=http://plain.org>"), (15, "http://plain.org:99/2", "x" * 300_000 + " href=//links.org")]
+    found = sorted((r["page_id"], r["host"], r["verdict"]) for r in urlgraph.judge(spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, node int, said string")).collect())
+    assert found[:5] == [*((i, "bad.net", "block") for i in range(4)), (4, "u@bad.net:80", "block")]
+    assert found[5:] == [(10, "links.org", "block"), (11, "plain.org", "allow"), (12, "shop.farm.net", "block"), (13, "farm.net", "block"), (14, "a.farm.net", "block"), (15, "ok.com", "allow"), (15, "plain.org:99", "allow")]
+
+
+def test_graph_on_pages(spark):
+    """All verdicts of sf0.1, whose pages have no links, against the walks over the hosts and those above them."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    found = urlgraph.judge(pages).collect()
+    hosts = defaultdict(list)
+    for r in found:
+        hosts[r["host"]].append({"net/es/": "block", "net/fr/": "block", "example.com/en/": "block", None: None}.get(r["rule"], "allow"))
+    edges = {}
+    for h in hosts:
+        names = h.split(".")
+        while len(names) > 2:
+            edges[".".join(names), ".".join(names[1:])] = edges[".".join(names[1:]), ".".join(names)] = 1
+            names = names[1:]
+    assert edges
+    trust, distrust = brute_walks({h: (v.count("allow") / len(v), v.count("block") / len(v)) for h, v in hosts.items()}, edges, 60)
+    said = {"allow": "allow", "block": "block"}
+    for r in found:
+        own = "block" if distrust[r["host"]] - trust[r["host"]] > urlgraph.THRESHOLD else "allow"
+        assert abs(distrust[r["host"]] - trust[r["host"]] - urlgraph.THRESHOLD) > 0.01
+        assert r["verdict"] == (own if r["rule"] is None else said["block" if r["rule"] in ("net/es/", "net/fr/", "example.com/en/") else "allow"])
+    edge_rows = urlgraph.host_edges(pages, urlgraph.host_and_path(F.col("url"))[0]).collect()
+    assert {(r["src"], r["dst"]): r["n"] for r in edge_rows} == edges
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     from lifemart.llm import packing

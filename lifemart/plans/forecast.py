@@ -11,11 +11,11 @@ from ..registry import Tables, query
 from .mapping import PM, project_months
 
 HORIZONS = (1, 2, 3)
-CELLS = f"""{PM}, b AS (SELECT project, month, sales, avg(sales) OVER w AS mean3, count(*) OVER w AS n3, first_value(sales) OVER w12 AS s12, count(*) OVER w12 AS n12 FROM pm WINDOW w AS (PARTITION BY project ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), w12 AS (PARTITION BY project ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)),
-cells AS (SELECT project, month AS origin, h, CAST(month + INTERVAL (h) MONTH AS DATE) AS target, 'last' AS model, CAST(sales AS DOUBLE) AS prediction FROM b, (VALUES (1),(2),(3)) x(h)
+CELLS = f"""{PM}, b AS MATERIALIZED (SELECT project, month, sales, avg(sales) OVER w AS mean3, count(*) OVER w AS n3, first_value(sales) OVER w12 AS s12, count(*) OVER w12 AS n12 FROM pm WINDOW w AS (PARTITION BY project ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), w12 AS (PARTITION BY project ORDER BY month ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)),
+cells AS MATERIALIZED (SELECT project, month AS origin, h, CAST(month + INTERVAL (h) MONTH AS DATE) AS target, 'last' AS model, CAST(sales AS DOUBLE) AS prediction FROM b, (VALUES (1),(2),(3)) x(h)
  UNION ALL SELECT project, month, h, CAST(month + INTERVAL (h) MONTH AS DATE), 'mean3', mean3 FROM b, (VALUES (1),(2),(3)) x(h) WHERE n3=3
  UNION ALL SELECT project, month, h, CAST(month + INTERVAL (h) MONTH AS DATE), 'season12', CAST(s12 AS DOUBLE) FROM b, (VALUES (1),(2),(3)) x(h) WHERE n12=12),
-pairs AS (SELECT c.*, p.sales AS actual, abs(c.prediction-p.sales) AS err FROM cells c LEFT JOIN pm p ON p.project=c.project AND p.month=c.target)"""
+pairs AS MATERIALIZED (SELECT c.*, p.sales AS actual, abs(c.prediction-p.sales) AS err FROM cells c LEFT JOIN pm p ON p.project=c.project AND p.month=c.target)"""
 METRICS = """count(actual) AS n, round(sum(err) FILTER (actual IS NOT NULL)/nullif(CAST(sum(actual) AS DOUBLE),0),6) AS wape, round(sum(prediction-actual)/nullif(CAST(sum(actual) AS DOUBLE),0),6) AS bias, round(avg(err),6) AS mae, round(sqrt(avg(err*err)),6) AS rmse"""
 
 

@@ -23,7 +23,7 @@ led AS (
   (p.kind='ALTA' AND l.after_state='NOT_OFFERED') OR (p.kind='SEPARACION' AND l.after_state='AVAILABLE') OR (p.kind='VENTA' AND l.after_state='SEPARATED') OR (p.kind='CAIDA' AND l.after_state IN ('SEPARATED','SOLD'))
  FROM led l JOIN pn p ON p.unit=l.unit AND p.n=l.n+1),
 ledger AS (SELECT *, CASE WHEN NOT applied THEN 0 WHEN kind IN ('ALTA','CAIDA') THEN 1 WHEN kind='SEPARACION' THEN -1 ELSE 0 END AS delta_stock FROM led)"""
-PM = """pm AS (SELECT s_nationkey AS project, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sales, count(*) AS n_lines,
+PM = """pm AS MATERIALIZED (SELECT s_nationkey AS project, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS sales, count(*) AS n_lines,
  CAST(sum(CASE WHEN l_returnflag='R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS BIGINT) AS falls
  FROM lineitem JOIN supplier ON l_suppkey=s_suppkey GROUP BY 1,2)"""
 LEADS = """leads AS (SELECT o_orderkey AS lead, o_custkey AS client, CAST(o_orderdate AS DATE) AS d, c_mktsegment AS channel, o_orderpriority AS seller, c_nationkey AS project, o_totalprice AS amount, o_orderstatus AS status

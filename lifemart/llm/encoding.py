@@ -7,7 +7,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, tidy
 from .merges import MergeAutomaton, TextEncoder
 
 _compiled: dict[int, TextEncoder] = {}
@@ -61,4 +61,4 @@ def encode_decode(docs: DataFrame, vocabulary: str, ids: bool = False) -> DataFr
 
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
     schema = pa.schema(fields + ([("ids", pa.list_(pa.int32())), ("decoded", pa.string())] if ids else []))
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if ids else ""))
+    return docs.mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if ids else ""))

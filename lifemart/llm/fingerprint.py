@@ -9,19 +9,17 @@ from the bucket's first, by id, gets a suffix, so that equal fingerprints always
 from __future__ import annotations
 
 import hashlib
-import math
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.ml.feature import Bucketizer
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import block_count, documents, materialise
+from .common import documents, materialise, tidy
 
-BLOCK_BYTES = 8 << 20
 #: Bits of the filter that spares unique forms the shuffle: eight for each repeated digest, this many at most.
 FILTER_BITS = 1 << 27
 
@@ -56,10 +54,9 @@ def later_forms(docs: DataFrame, digests: DataFrame) -> DataFrame:
             at = np.array([_bit(x) & (bits - 1) for x in batch.column("fingerprint").to_pylist()], np.int64)
             yield pa.RecordBatch.from_pydict({"word": at >> 6, "bit": np.left_shift(np.int64(1), at & 63)})
 
-    words = again.mapInArrow(places, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    words = again.mapInArrow(places, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # as many as the filter has words at most
     mask = np.zeros(bits >> 6, np.int64)
-    for row in words:
-        mask[row["word"]] = row["bits"]
+    mask[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     held = docs.sparkSession.sparkContext.broadcast(mask)
 
     def forms(batches):
@@ -85,49 +82,65 @@ def later_forms(docs: DataFrame, digests: DataFrame) -> DataFrame:
     return members.join(later, ["fingerprint", "form"]).select("doc_id", "fingerprint", "variant").distinct()
 
 
-def _compare(block: pa.Table) -> pa.Table:
-    """The rows of a block and, after them, the row that follows its last."""
-    rows = list(zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist(), block.column("after").to_pylist(), strict=True))
-    rows.sort(key=lambda r: (r[2], r[0] is None, -(r[0] or 0), r[1]))
-    own = sum(not r[2] for r in rows)
-    out: dict[str, list] = {name: [] for name in ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")}
-    forms = [canonical(r[1]) for r in rows[: own + 1]]
-    for i in range(own):
-        (doc_id, text, _), following = rows[i], rows[i + 1][1]
-        cut = len(text) // 3
-        edited = text[: len(text) - cut] + following[:cut]
-        form = canonical(edited)
-        out["doc_id"].append(doc_id)
-        out["n_chars"].append(len(text))
-        out["edited_sha256"].append(hashlib.sha256(edited.encode()).hexdigest())
-        out["fingerprint"].append(own_digest := digest(forms[i]))
-        out["edited_fingerprint"].append(own_digest if form == forms[i] else digest(form))
-        out["near_edited"].append(float(form == forms[i]))
-        out["near_next"].append(float(forms[i + 1] == forms[i]))
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-    return pa.table(out, schema=pa.schema(list(zip(out, kinds, strict=True))))
+def _row(doc_id, text: str, form: str, following: str, next_form: str) -> tuple:
+    cut = len(text) // 3
+    edited = text[: len(text) - cut] + following[:cut]
+    same = (edited_form := canonical(edited)) == form
+    name = digest(form)
+    return doc_id, len(text), hashlib.sha256(edited.encode()).hexdigest(), name, name if same else digest(edited_form), float(same), float(next_form == form)
+
+
+def _in_order(batches):
+    """ROW: the rows of a sorted part but its last, each with the one after it; FIRST and LAST: the texts at its ends."""
+    part, held, rows = TaskContext.get().partitionId(), None, []
+    for batch in batches:
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            own = (doc_id, text, canonical(text))
+            if held is None:
+                yield _table([(FIRST, part, doc_id, *[None] * 6, text)], _PART)
+            else:
+                rows.append((ROW, part, *_row(*held, *own[1:]), None))
+            held = own
+        yield _table(rows, _PART)
+        rows = []
+    if held:
+        yield _table([(LAST, part, held[0], *[None] * 6, held[1])], _PART)
+
+
+def _at_seams(batches):
+    for batch in batches:
+        yield _table([_row(doc_id, text, canonical(text), following, canonical(following)) for doc_id, text, following in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "following")), strict=True)], _OWN)
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), schema, strict=True)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+
+
+ROW, FIRST, LAST = 0, 1, 2
+_OWN = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+_PART = pa.schema([("kind", pa.int8()), ("part", pa.int32()), *_OWN, ("text", pa.string())])
+SHAPE = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each document.
 
-    The next document is the one with the next smaller id (null ids come last, equal ids by text); after the
-    last comes the first. An exact fingerprint is like another (1) only if the canonical forms are equal, else 0.
-    Texts are dealt to ranges of ids, so that each meets its follower; of each range the first row goes to the
-    range before as well. Null text: empty; a single document follows itself.
+    The next document is the one with the next smaller id (null ids come last, equal ids by a hash of the text); after
+    the last comes the first. An exact fingerprint is like another (1) only if the canonical forms are equal, else 0.
+    Texts are dealt to sorted ranges of ids and hashes, so that each meets its follower and no id makes a range large;
+    only the texts at the ends of ranges meet in a join. Null text: empty; a single document follows itself; an empty
+    table gives an empty one.
     """
     docs = documents(docs)
-    blocks = block_count(docs, BLOCK_BYTES)
-    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("double"), [i / blocks for i in range(1, blocks)], 100 * blocks).alias("at")).first()["at"] or []
-    splits = [-math.inf, *sorted({0.0, *cuts}), math.inf]
-    docs_in = Bucketizer(splits=splits, inputCol="place", outputCol="range", handleInvalid="keep").transform(docs.withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf))))
-    ranged = docs_in.select("doc_id", "text", F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("range").cast("int")).alias("block"))
-    firsts = sorted(ranged.groupBy("block").agg(F.max("doc_id").alias("first")).collect(), key=lambda r: -r["block"])
-    spark = docs.sparkSession
-    to = spark.createDataFrame([(r["block"], r["first"], firsts[i - 1]["block"]) for i, r in enumerate(firsts)], "block int, first long, target int")
-    heads = ranged.join(F.broadcast(to), "block").where(F.col("doc_id").eqNullSafe(F.col("first"))).select("doc_id", "text", F.col("target").alias("block"), F.lit(True).alias("after"))
-    shape = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    found = materialise(ranged.withColumn("after", F.lit(False)).unionByName(heads).groupBy("block").applyInArrow(_compare, shape), "fingerprints")
+    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
+    made = materialise(ranged.mapInArrow(tidy(_in_order), f"kind byte, part int, {SHAPE}, text string"), "ranges")
+    first, last = (made.where(F.col("kind") == k).select("part", "doc_id", "text") for k in (FIRST, LAST))
+    parts = Window.orderBy("part")  # one number for each range
+    after = first.select("part", F.coalesce(F.lead("part").over(parts), F.min("part").over(parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next"))
+    seams = last.join(after, "part").join(first.select(F.col("part").alias("next"), F.col("text").alias("following")), "next")
+    names = SHAPE.replace(" long", "").replace(" string", "").replace(" double", "").split(", ")
+    found = made.where(F.col("kind") == ROW).select(*names).unionByName(seams.select("doc_id", "text", "following").mapInArrow(_at_seams, SHAPE))
     later = later_forms(docs, found.select("doc_id", "fingerprint"))
     named = F.concat_ws("-", "fingerprint", "variant")
     same = F.col("near_edited") == 1

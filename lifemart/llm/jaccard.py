@@ -10,7 +10,8 @@ promoting segments, for which a document also shows its one-deletion neighbours
 one), so that such a segment bears one difference and counts twice. What a document is short of in spite of
 that, it makes up for by showing each of its shingles. All this is exact: no frequent signature is dropped.
 
-Signatures meet in hash buckets. Copies (equal sets) are one there. A group of documents that share signatures is first
+Signatures meet in hash buckets. Copies (equal sets) are one there. Signatures of very many sets, which a sample of the
+documents tells, are dealt to buckets by document as well, and their sets meet as rows of one group. A group of documents that share signatures is first
 linked to its smallest member; only groups that the verified links leave in several components have their other
 pairs looked at, in blocks, and parity sketches (which never differ in more bits than the sets do in shingles)
 keep the pairs few that have to be verified. Verification compares the whole sets.
@@ -22,38 +23,54 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IdFilter, documents, materialise, mix
+from .common import IdFilter, documents, materialise, mix, tidy
 from .components import components
+from .words import CHUNK, folded, words_of
 
 WIDTH, SHARE = 5, 80
 SMALL, STEP, FILL = 20, 1.25, 2
-BUCKET_ENTRIES, BLOCK, BUNDLE, SKETCH_BITS = 2_000_000, 512, 10_000, 2048
-WORDS_KEPT = 200_000
+BUCKET_ENTRIES, BLOCK, BUNDLE, SKETCH_BITS = 2_000_000, 2048, 10_000, 2048
+#: One document of so many is looked at for frequent signatures; those of so many sets (more, where there would be over MOST_FREQUENT of them) count as such.
+RATE, FREQUENT, MOST_FREQUENT = 64, 20_000, 1_000_000
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
 
-_words: dict[bytes, int] = {}
+
+def shingle_sets(texts: list[str], width: int = WIDTH):
+    """Of each text, in order, the sorted 64-bit hashes of its distinct shingles; of its whole sequence if that is shorter than one."""
+    group, size = [], 0
+    for text in texts:
+        group.append(folded(text))
+        size += len(group[-1])
+        if size >= 2 * CHUNK:
+            yield from _sets_of(group, width)
+            group, size = [], 0
+    yield from _sets_of(group, width)
+
+
+def _sets_of(texts: list[bytes], width: int):
+    words = list(words_of(texts)) or [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    owner, h = (np.concatenate(x) for x in zip(*words, strict=True))
+    starts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    last = max(0, len(h) - width + 1)
+    acc = np.zeros(last, np.uint64)
+    for k in range(width):
+        acc += h[k : k + last] * _FACTORS[k]
+    acc = mix(acc)
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if b - a >= width:
+            found = np.sort(acc[a : b - width + 1])
+            yield found[np.append(True, found[1:] != found[:-1])]
+        elif b > a:
+            yield mix(np.array([(h[a:b] * _FACTORS[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)]))
+        else:
+            yield np.zeros(0, np.uint64)
 
 
 def shingles(text: str, width: int = WIDTH) -> np.ndarray:
-    """The sorted 64-bit hashes of the distinct shingles; of the whole sequence if it is shorter than one."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_words) > WORDS_KEPT:
-        _words.clear()
-    for w in set(words).difference(_words):
-        _words[w] = xxhash.xxh3_64_intdigest(w)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    if len(h) < width:
-        return mix(np.array([(h * _FACTORS[: len(h)]).sum(dtype=np.uint64) + np.uint64(len(h))]))
-    acc = h[: len(h) - width + 1] * _FACTORS[0]
-    for k in range(1, width):
-        acc = acc + h[k : len(h) - width + 1 + k] * _FACTORS[k]
-    return np.unique(mix(acc))
+    return next(shingle_sets([text], width))
 
 
 def differences(a: int, b: int, share: int = SHARE) -> int:
@@ -94,12 +111,12 @@ def allocate(low: int, top: int) -> tuple[int, int]:
 def signatures(found: np.ndarray, band: int, low: int, top: int, spread: tuple[int, int]) -> np.ndarray:
     """What a set shows in a band."""
     n, tag = len(found), np.uint64(band * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-    alone = mix(found ^ tag) ^ np.uint64(0x5BD1E995)
+    alone = lambda: mix(found ^ tag) ^ np.uint64(0x5BD1E995)
     if band == 0:
-        return alone
+        return alone()
     m, promoted = spread
     part = mix(found + tag) % np.uint64(m)
-    order = np.argsort(part)
+    order = np.argsort(part.astype(np.uint16) if m < 1 << 16 else part, kind="stable")
     part, inside = part[order], mix(found[order] + np.uint64(band))
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
     sums, count = np.add.reduceat(inside, first), np.diff(np.append(first, n))
@@ -111,7 +128,7 @@ def signatures(found: np.ndarray, band: int, low: int, top: int, spread: tuple[i
         at = np.repeat(more, count)
         shown.append(mix((np.repeat(sums, count)[at] - inside[at]) ^ np.repeat(key, count)[at]))
     if int(filled.sum()) + int(more.sum()) <= differences(n, min(n * 100 // SHARE, top)):
-        shown.append(alone)
+        shown.append(alone())
     return np.concatenate(shown)
 
 
@@ -120,23 +137,52 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            made = [shingles(t) for t in batch.column("text").to_pylist()]
+            made = list(shingle_sets(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in made], pa.int64()), *(pa.array([int(mix(x + np.uint64(k)).sum(dtype=np.uint64)) - (1 << 63) for x in made], pa.int64()) for k in (1, 2)), pa.array([_sketch(x) for x in made], pa.binary())], ["doc_id", "n", "d1", "d2", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sketch binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, d1 long, d2 long, sketch binary")
+
+
+class Bands:
+    """What sets of each size show."""
+
+    def __init__(self, largest: int):
+        self.tops = band_tops(max(largest, SMALL))
+        self.lows = [1, *(t + 1 for t in self.tops)]
+        self.spreads = [(0, 0), *(allocate(max(1, self.lows[k] * SHARE // 100), self.tops[k]) for k in range(1, len(self.tops)))]
 
+    def shown(self, found: np.ndarray) -> np.ndarray:
+        """In the own band and, if a partner could be there, in the next."""
+        band = int(np.searchsorted(self.tops, len(found)))
+        own = [signatures(found, k, self.lows[k], self.tops[k], self.spreads[k]) for k in (band, band + 1) if k == band or len(found) * 100 // SHARE >= self.lows[k]]
+        return np.concatenate(own)
 
-def _shown(docs: DataFrame, largest: int, buckets: int) -> DataFrame:
+
+def _frequent(docs: DataFrame, bands: Bands, entries: int) -> np.ndarray:
+    """The sorted signatures that more than FREQUENT different sets are expected to show, MOST_FREQUENT at most: there are entries in all."""
+
+    def run(batches):
+        for batch in batches:
+            for found in shingle_sets(batch.column("text").to_pylist()):
+                if len(found):
+                    sigs = np.unique(bands.shown(found)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(np.full(len(sigs), mix(found).sum(dtype=np.uint64)).view(np.int64))], ["signature", "digest"])
+
+    least = max(FREQUENT, entries // MOST_FREQUENT) / RATE
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("frequent")), F.lit(RATE)) == 0)
+    shown = sample.mapInArrow(tidy(run), "signature long, digest long").distinct()
+    found = shown.groupBy("signature").agg(F.count("*").alias("n")).where(F.col("n") > least).select("signature").toArrow()
+    return np.sort(found.column("signature").to_numpy().view(np.uint64))
+
+
+def _shown(docs: DataFrame, bands: Bands, frequent: np.ndarray, buckets: int) -> DataFrame:
     """bucket, ids, digests, counts, signatures: of a batch, what each document shows in each bucket, copies once."""
-    tops = band_tops(max(largest, SMALL))
-    lows = [1, *(t + 1 for t in tops)]
-    spreads = [(0, 0), *(allocate(max(1, lows[k] * SHARE // 100), tops[k]) for k in range(1, len(tops)))]
+    held = docs.sparkSession.sparkContext.broadcast(frequent)  # MOST_FREQUENT at most
 
     def run(batches):
         for batch in batches:
             ids, digests, kept, seen = [], [], [], {}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                found = shingles(text)
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text").to_pylist()), strict=True):
                 if doc_id is None or not len(found):
                     continue
                 digest = int(mix(found).sum(dtype=np.uint64)) - (1 << 63)
@@ -144,21 +190,20 @@ def _shown(docs: DataFrame, largest: int, buckets: int) -> DataFrame:
                     ids[seen[digest]] = min(ids[seen[digest]], doc_id)
                     continue
                 seen[digest] = len(ids)
-                band = int(np.searchsorted(tops, len(found)))
-                own = [signatures(found, band, lows[band], tops[band], spreads[band])]
-                if len(found) * 100 // SHARE >= lows[band + 1]:
-                    own.append(signatures(found, band + 1, lows[band + 1], tops[band + 1], spreads[band + 1]))
                 ids.append(doc_id)
                 digests.append(digest)
-                kept.append(np.concatenate(own))
+                kept.append(bands.shown(found))
             if not ids:
                 continue
             every, owner = np.concatenate(kept), np.repeat(np.arange(len(ids)), [len(x) for x in kept])
             del kept
+            id_of, digest_of = np.array(ids), np.array(digests)
             bucket = (every % np.uint64(buckets)).astype(np.int32)
+            if len(held.value):
+                hot = np.flatnonzero(held.value[np.minimum(np.searchsorted(held.value, every), len(held.value) - 1)] == every)
+                bucket[hot] = buckets + (mix(every[hot] + mix(id_of)[owner[hot]]) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            every, owner, cut = every[order], owner[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-            id_of, digest_of = np.array(ids), np.array(digests)
+            every, owner, cut = every[order], owner[order], np.searchsorted(bucket[order], np.arange(2 * buckets + 1))
             out: dict[str, list] = {name: [] for name in ("bucket", "ids", "digests", "counts", "signatures")}
             for b in np.flatnonzero(np.diff(cut)):
                 docs_in, counts = np.unique(owner[cut[b] : cut[b + 1]], return_counts=True)
@@ -167,11 +212,15 @@ def _shown(docs: DataFrame, largest: int, buckets: int) -> DataFrame:
                 out["bucket"].append(int(b))
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int32()), *((n, pa.binary()) for n in list(out)[1:])]))
 
-    return docs.mapInArrow(run, "bucket int, ids binary, digests binary, counts binary, signatures binary")
+    return docs.mapInArrow(tidy(run), "bucket int, ids binary, digests binary, counts binary, signatures binary")
+
+
+def _groups(buckets: int):
+    return lambda bucket: _group_rows(bucket, bucket.column("bucket")[0].as_py() >= buckets)
 
 
-def _groups(bucket: pa.Table) -> pa.Table:
-    """gid, doc: the sets of two or more documents (no two of them copies) that share a signature; equal sets once."""
+def _group_rows(bucket: pa.Table, frequent: bool) -> pa.Table:
+    """gid, doc: the sets of two or more documents (no two of them copies) that share a signature; equal sets once. Of frequent signatures, all documents, as others are elsewhere."""
     ids, digests, counts, sigs = (np.frombuffer(b"".join(bucket.column(n).to_pylist()), t) for n, t in (("ids", np.int64), ("digests", np.int64), ("counts", np.uint32), ("signatures", np.uint64)))
     _, first, same = np.unique(digests, return_index=True, return_inverse=True)
     low = np.full(len(first), np.iinfo(np.int64).max)
@@ -184,6 +233,8 @@ def _groups(bucket: pa.Table) -> pa.Table:
     sigs, doc = sigs[order], doc[order]
     new = np.append(True, (sigs[1:] != sigs[:-1]) | (doc[1:] != doc[:-1])) if len(sigs) else np.zeros(0, bool)
     sigs, doc = sigs[new], doc[new]
+    if frequent:
+        return pa.table({"gid": mix(sigs + np.uint64(1)).view(np.int64), "doc": doc})
     start = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1])) if len(sigs) else np.zeros(0, np.int64)
     size = np.diff(np.append(start, len(sigs)))
     start, size = start[size > 1], size[size > 1]
@@ -209,10 +260,10 @@ def _whole(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(batch.column("doc_id").is_valid())
             batch = batch.filter(pa.array(kept.may_hold(batch.column("doc_id").to_numpy()), pa.bool_()))
-            made = [shingles(t) for t in batch.column("text").to_pylist()]
+            made = list(shingle_sets(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in made], pa.int64()), pa.array([x.tobytes() for x in made], pa.binary())], ["doc", "n", "shingles"])
 
-    return docs.mapInArrow(run, "doc long, n long, shingles binary")
+    return docs.mapInArrow(tidy(run), "doc long, n long, shingles binary")
 
 
 def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -227,7 +278,7 @@ def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     own = lambda c, n, s: sets.where("n > 0").select(F.col("doc_id").alias(c), F.col("n").alias(n), F.col("sketch").alias(s))
     both = pairs.join(own("a", "na", "x"), "a").join(own("b", "nb", "y"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SHARE)
     most = F.floor((100 - SHARE) * (F.col("na") + F.col("nb")) / (100 + SHARE)).cast("long")
-    return both.select("a", "b", "x", "y", most.alias("most")).mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "x", "y", most.alias("most")).mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -248,7 +299,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sets = materialise(_whole(docs, wanted), "whole").select("doc", "shingles")
     left = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(tidy(run), "a long, b long")
 
 
 def _apart(block: pa.Table) -> pa.Table:
@@ -286,7 +337,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     size = sets.agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
     buckets = max(24, (size["all"] or 0) * 6 // 10 // BUCKET_ENTRIES)
     shape = "gid long, doc long"
-    groups = materialise(_shown(docs, size["largest"] or 0, buckets).groupBy("bucket").applyInArrow(_groups, shape).distinct(), "groups")
+    bands = Bands(size["largest"] or 0)
+    frequent = _frequent(docs, bands, (size["all"] or 0) * 6 // 10)
+    groups = materialise(_shown(docs, bands, frequent, buckets).groupBy("bucket").applyInArrow(_groups(buckets), shape).distinct(), "groups")
     stars = materialise(groups.join(groups.groupBy("gid").agg(F.min("doc").alias("b")), "gid").where("doc <> b").select(F.col("doc").alias("a"), "b").distinct(), "stars")
     links = materialise(_verified(materialise(_possible(stars, sets), "possible"), docs), "links")
     known = materialise(components(links), "components")

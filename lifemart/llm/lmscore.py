@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 import os
-import re
 
 import numpy as np
 import pandas as pd
@@ -24,83 +23,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, give_back, materialise, mix, tidy
+from .common import documents, give_back, materialise, tidy
 from .quality import held_out
+from .words import folded, words_of
 
 ORDER = 5
 END, PAD, BITS, ALPHABET = 256, 257, 9, 257
 PACKET_BYTES = 32 << 20
 CHUNK = 1 << 19
 #: Keys that wait to be merged into those of a packet.
-MOST_WAITING = 1 << 20
-GRAM, WORD, TEXTS = 0, 1, 2
-SPACES = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
-SPACE = re.compile(rb"[ \t-\r]")
-_TABLE = mix(np.arange(1, (64 << 8) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+MOST_WAITING = 1 << 19
+#: The key of a text's end as a token.
+END_KEY = -(1 << 63)
 
 
-def folded(text: str) -> bytes:
-    """UTF-8 with A-Z in lower case."""
-    return text.encode().lower()
-
-
-def word_pieces(texts: list[bytes]):
-    """Lists of (text number, piece) of some CHUNK bytes: texts, or parts of long ones that end where a word does."""
-    held, size = [], 0
-    for i, text in enumerate(texts):
-        lo = 0
-        while lo < len(text):
-            hi = len(text)
-            found = SPACE.search(text, lo + CHUNK) if hi - lo > CHUNK else None
-            hi = found.end() if found else hi
-            cuts = [lo, hi]
-            if hi - lo > 2 * CHUNK:  # the word at lo + CHUNK is that long: it goes apart
-                hi = found.start() if found else hi
-                cuts = [lo, max(text.rfind(c, lo, lo + CHUNK) for c in SPACES) + 1 or lo, hi]
-            for a, b in zip(cuts, cuts[1:]):
-                held += [(i, text[a:b])] if b > a else []
-                size += b - a
-                if held and size >= CHUNK:
-                    yield held
-                    held, size = [], 0
-            lo = hi
-    if held:
-        yield held
-
-
-def _spread(part: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """64 bits for each byte and its place in its word."""
-    values = _TABLE[(place & 63) << 8 | part]
-    far = np.flatnonzero(place >= 64)
-    if len(far):
-        values[far] = mix(values[far] + (place[far] >> 6).astype(np.uint64))
-    return values
-
-
-def word_keys(held: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """(text numbers, keys) of the words of pieces: a key sums up the bytes of the word and is 0 for no word, as it stands for the end of a text."""
-    owners, keys = [], []
-    short = [x for x in held if len(x[1]) <= 2 * CHUNK]
-    for i, piece in held:
-        if len(piece) > 2 * CHUNK:  # one word
-            part = np.frombuffer(piece, np.uint8)
-            sums = [_spread(part[lo : lo + CHUNK], np.arange(lo, min(lo + CHUNK, len(part)))).sum(dtype=np.uint64) for lo in range(0, len(part), CHUNK)]
-            owners.append(np.array([i]))
-            keys.append(mix(np.array([*sums, len(piece)], np.uint64).sum(keepdims=True)))
-    stream = np.frombuffer(b" ".join([*(x[1] for x in short), b""]), np.uint8)
-    inside = (stream > 32) | (stream < 9) | (stream > 13) & (stream < 32)
-    first = np.flatnonzero(inside & np.append(True, ~inside[:-1])) if len(stream) else np.zeros(0, np.int64)
-    if len(first):
-        lengths = np.flatnonzero(~inside & np.append(False, inside[:-1])) - first
-        starts = np.cumsum(lengths) - lengths
-        values = _spread(stream[inside], np.arange(lengths.sum()) - np.repeat(starts, lengths))
-        keys.append(mix(np.add.reduceat(values, starts) + lengths.astype(np.uint64)))
-        ends = np.cumsum([len(x[1]) + 1 for x in short])
-        owners.append(np.array([x[0] for x in short])[np.searchsorted(ends, first, side="right")])
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = np.concatenate(keys)
-    return np.concatenate(owners), np.where(key == 0, np.uint64(1), key).view(np.int64)
+def spelled(texts: list[bytes]):
+    """(text numbers, keys) of the words: negative, where grams aren't, and never that of the end."""
+    for owner, keys in words_of(texts):
+        keys = (keys | np.uint64(1 << 63)).view(np.int64)
+        yield owner, np.where(keys == END_KEY, END_KEY + 1, keys)
 
 
 def gram_chunks(texts: list[bytes], order: int):
@@ -140,7 +81,7 @@ class Tally:
         key, count = np.unique(keys, return_counts=True)
         self.waiting.append((key, count * weight))
         self.size += len(key)
-        if self.size >= max(MOST_WAITING, len(self.key)):
+        if self.size >= max(MOST_WAITING, len(self.key) // 2):
             self.settle()
 
     def settle(self) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +96,8 @@ class Tally:
 
 
 def _packets(docs: DataFrame, order: int) -> DataFrame:
-    """packet, kind, key, n (count in training texts) of each packet's distinct grams and words, and its texts as one row."""
-    shape = pa.schema([("packet", pa.int64()), ("kind", pa.int8()), ("key", pa.int64()), ("n", pa.int64()), ("texts", pa.binary())])
-
-    def rows(packet: int, kind: int, keys: np.ndarray, n: np.ndarray):
-        for lo in range(0, len(keys), 50_000):
-            k = keys[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), packet)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[lo : lo + 50_000]), pa.nulls(len(k), pa.binary())], schema=shape)
+    """packet, key, n (count in training texts) of each packet's distinct grams and words, and its texts as one row."""
+    shape = pa.schema([("packet", pa.int64()), ("key", pa.int64()), ("n", pa.int64()), ("texts", pa.binary())])
 
     def run(batches):
         sink = None
@@ -169,34 +105,36 @@ def _packets(docs: DataFrame, order: int) -> DataFrame:
             if not len(batch):
                 continue
             if sink is None:
-                sink, size, grams, words = pa.BufferOutputStream(), 0, Tally(), Tally()
-                out = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+                sink, size, tally = pa.BufferOutputStream(), 0, Tally()
+                out = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6)))
             out.write_batch(batch)
             size += batch.column("text").nbytes
             texts, apart = [folded(t) for t in batch.column("text").to_pylist()], batch.column("held_out").to_numpy(zero_copy_only=False)
-            for tally, parts in ((grams, gram_chunks(texts, order)), (words, map(word_keys, word_pieces(texts)))):
+            for parts in (gram_chunks(texts, order), spelled(texts)):
                 for owner, keys in parts:
                     out_of_it = apart[owner]
                     tally.add(keys[~out_of_it], 1)
                     tally.add(keys[out_of_it], 0)
-            words.add(np.zeros(int((~apart).sum()), np.int64), 1)
-            words.add(np.zeros(1, np.int64), 0)
+            tally.add(np.full(int((~apart).sum()), END_KEY), 1)
+            tally.add(np.array([END_KEY]), 0)
             del texts, batch
             if size >= PACKET_BYTES:
-                yield from close(sink, out, grams, words)
-                sink = out = grams = words = None
+                yield from close(sink, out, tally)
+                sink = out = tally = None
                 give_back()
         if sink is not None:
-            yield from close(sink, out, grams, words)
+            yield from close(sink, out, tally)
 
-    def close(sink: pa.BufferOutputStream, out: pa.ipc.RecordBatchStreamWriter, grams: Tally, words: Tally):
+    def close(sink: pa.BufferOutputStream, out: pa.ipc.RecordBatchStreamWriter, tally: Tally):
         out.close()
         packet = int.from_bytes(os.urandom(8), "little", signed=True)
-        yield pa.RecordBatch.from_arrays([pa.array([packet]), pa.array([TEXTS], pa.int8()), pa.array([0]), pa.array([0]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=shape)
-        yield from rows(packet, GRAM, *grams.settle())
-        yield from rows(packet, WORD, *words.settle())
+        yield pa.RecordBatch.from_arrays([pa.array([packet]), pa.array([0]), pa.array([0]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=shape)
+        keys, n = tally.settle()
+        for lo in range(0, len(keys), 50_000):
+            k = keys[lo : lo + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), packet)), pa.array(k), pa.array(n[lo : lo + 50_000]), pa.nulls(len(k), pa.binary())], schema=shape)
 
-    return docs.mapInArrow(tidy(run), "packet long, kind byte, key long, n long, texts binary")
+    return docs.mapInArrow(tidy(run), "packet long, key long, n long, texts binary")
 
 
 def gram_scores(grams: DataFrame, order: int) -> DataFrame:
@@ -232,22 +170,21 @@ def _score(order: int):
     def run(texts: pa.Table, values: pa.Table) -> pa.Table:
         if not texts.num_rows:
             return shape.empty_table()
-        kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-        (gram, gram_value), (word, word_value) = ((pd.Index(key[kind == k]), value[kind == k]) for k in (GRAM, WORD))
-        end, parts = word_value[word.get_loc(0)], []
+        known, value = pd.Index(values.column("key").to_numpy()), np.append(values.column("value").to_numpy(), 0.0)  # words that aren't known have no value: at -1
+        end, parts = value[known.get_indexer([END_KEY])[0]], []
         with pa.ipc.open_stream(texts.column("texts")[0].as_py()) as file:
             for batch in file:
                 raw = [folded(t) for t in batch.column("text").to_pylist()]
                 score, logs, n_tokens, n_known = np.zeros(len(raw)), np.full(len(raw), end), np.ones(len(raw), np.int64), np.full(len(raw), int(end > 0))
                 for owner, grams in gram_chunks(raw, order):
-                    score += np.bincount(owner, gram_value[gram.get_indexer(grams)], len(raw))
-                for owner, keys in map(word_keys, word_pieces(raw)):
-                    found = word_value[word.get_indexer(keys)]
+                    score += np.bincount(owner, value[known.get_indexer(grams)], len(raw))
+                for owner, keys in spelled(raw):
+                    found = value[known.get_indexer(keys)]
                     logs += np.bincount(owner, found, len(raw))
                     n_tokens += np.bincount(owner, minlength=len(raw))
                     n_known += np.bincount(owner[found > 0], minlength=len(raw))
                 parts.append(pa.table([batch.column("doc_id"), batch.column("held_out"), pa.array(n_tokens), pa.array(n_known), pa.array(logs), pa.array(score)], schema=shape))
-        del gram, gram_value, word, word_value, key, value, kind
+        del known, value
         give_back()
         return pa.concat_tables(parts)
 
@@ -263,14 +200,13 @@ def score_texts(docs: DataFrame, order: int = ORDER, parts: int = 7) -> DataFram
     """
     docs = documents(docs).withColumn("held_out", held_out(parts=parts))
     made = materialise(_packets(docs, order), "packets")
-    grams, words = made.where(F.col("kind") == GRAM), made.where(F.col("kind") == WORD)
-    summed = materialise(grams.groupBy("key").agg(F.sum("n").alias("n")), "grams")
-    gram_values = grams.select("packet", "key").join(materialise(gram_scores(summed, order), "scores"), "key")
-    counted = materialise(words.groupBy("key").agg(F.sum("n").alias("c")), "words")
-    totals = counted.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    rows = made.where("texts is null").select("packet", "key", "n")
+    summed = materialise(rows.groupBy("key").agg(F.sum("n").alias("n")), "sums")
+    words, grams = summed.where("key < 0 and n > 0"), summed.where("key >= 0")
+    totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
-    word_values = words.select("packet", "key").join(counted, "key").select("packet", F.lit(WORD).cast("byte").alias("kind"), "key", F.log10(F.col("c") + 1.0).alias("value"))
-    values = gram_values.select("packet", F.lit(GRAM).cast("byte").alias("kind"), "key", "value").unionByName(word_values)
-    texts = made.where(F.col("kind") == TEXTS).select(F.col("packet").alias("owner"), "texts")
+    every = materialise(gram_scores(grams, order).unionByName(words.select("key", F.log10(F.col("n") + 1.0).alias("value"))), "values")
+    values = rows.select("packet", "key").join(every, "key").select("packet", "key", "value")
+    texts = made.where("texts is not null").select(F.col("packet").alias("owner"), "texts")
     scored = texts.groupBy("owner").cogroup(values.groupBy("packet")).applyInArrow(_score(order), "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"), "score")

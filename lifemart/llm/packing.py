@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialise
+from .common import documents, materialise, tidy
 from .encoding import read_vocabulary
 from .merges import SPLIT, byte_symbols
 
@@ -119,7 +119,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
 
     fields = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     schema = pa.schema(fields + ([("ids", pa.list_(pa.int32()))] if ids else []))
-    return docs.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if ids else ""))
+    return docs.mapInArrow(tidy(run), "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if ids else ""))
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, ids: bool = False) -> DataFrame:
@@ -156,4 +156,4 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(row[:, 2] + rank - row[:, 1]), pa.array(row[:, 3])], [*own, "sequence_id", "offset"])
 
     kept = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if ids else []), F.col("rank").cast("long").alias("rank"))
-    return kept.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, " + ("ids array<int>, " if ids else "") + "sequence_id long, offset long")
+    return kept.mapInArrow(tidy(place), "doc_id long, piece int, start long, length long, ids_crc32 long, " + ("ids array<int>, " if ids else "") + "sequence_id long, offset long")

@@ -1,10 +1,10 @@
 """op4: removal of text units that occur earlier, by hashing lines and the sentences in them.
 
 A unit is a sentence with what follows it up to the next, or a line's rest; units tile the text, and their offsets
-are those of the original. Its normal form is lower case with single spaces. Digests of all units are grouped
-globally; the occurrence with the smallest (doc_id, offset) is kept. A unit that occurs earlier goes if it and
-the adjoining units that also do have MIN_WORDS words or more together: long passages go whole, wherever in a line
-they start, while short phrases that many texts share by chance stay.
+are those of the original. Its normal form is lower case with single spaces. Digests (128 bits) of all units are
+grouped globally; the occurrence with the smallest (doc_id, offset) is kept. A unit that occurs earlier goes if it and
+the adjoining units that also do have MIN_WORDS words or more together, so that short phrases that many texts share by
+chance stay. A long passage goes from its first whole sentence to its last; a sentence with one word changed stays.
 """
 
 from __future__ import annotations
@@ -15,15 +15,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bounded_batches, materialise
+from .common import bounded_batches, materialise, tidy
 
-MIN_WORDS = 10
-PACKET_BYTES = 16 << 20
+MIN_WORDS = 20
+PACKET_BYTES = 8 << 20
 REMOVED, LAST = "removed_spans", (1 << 63) - 1
 #: The end of a unit: line breaks, or the white space after a sentence's end mark.
 ENDS = regex.compile(r"\n\s*|(?<=[.!?…。！？])[^\S\n]+")
@@ -39,13 +39,13 @@ def normal(unit: str) -> bytes:
     return " ".join(unit.lower().split()).encode()
 
 
-def digest(form: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(form) - (1 << 63)
+def digest(form: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(form)
 
 
 def _pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """packet, digest, doc, place (of the earliest occurrence there), n of each packet's units; its rows as one value."""
-    shape = pa.schema([("packet", pa.int64()), ("digest", pa.int64()), ("doc", pa.int64()), ("place", pa.int64()), ("n", pa.int64()), ("rows", pa.binary())])
+    shape = pa.schema([("packet", pa.int64()), ("digest", pa.binary()), ("doc", pa.int64()), ("place", pa.int64()), ("n", pa.int64()), ("rows", pa.binary())])
 
     def close(held: list[pa.RecordBatch]):
         packet = int.from_bytes(os.urandom(8), "little", signed=True)
@@ -53,8 +53,8 @@ def _pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(table)
-        yield pa.RecordBatch.from_pydict({"packet": [packet], "digest": [0], "doc": [0], "place": [0], "n": [0], "rows": [sink.getvalue().to_pybytes()]}, schema=shape)
-        first: dict[int, list] = {}
+        yield pa.RecordBatch.from_pydict({"packet": [packet], "digest": [b""], "doc": [0], "place": [0], "n": [0], "rows": [sink.getvalue().to_pybytes()]}, schema=shape)
+        first: dict[bytes, list] = {}
         for doc, text in zip(table.column(id_col).to_pylist(), table.column(text_col).to_pylist(), strict=True):
             doc, cuts = LAST if doc is None else doc, units(text or "")
             for a, b in zip(cuts, cuts[1:]):
@@ -71,7 +71,7 @@ def _pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for lo in range(0, len(keys), 50_000):
             part = keys[lo : lo + 50_000]
             own = np.array([first[k] for k in part], np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), packet)), pa.array(part, pa.int64()), *(pa.array(own[:, i]) for i in range(3)), pa.nulls(len(part), pa.binary())], schema=shape)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), packet)), pa.array(part, pa.binary()), *(pa.array(own[:, i]) for i in range(3)), pa.nulls(len(part), pa.binary())], schema=shape)
 
     def run(batches):
         held, size = [], 0
@@ -84,10 +84,10 @@ def _pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if sum(map(len, held)):
             yield from close(held)
 
-    return docs.mapInArrow(run, "packet long, digest long, doc long, place long, n long, rows binary")
+    return docs.mapInArrow(tidy(run), "packet long, digest binary, doc long, place long, n long, rows binary")
 
 
-def removals(doc: int, text: str, earlier: dict[int, tuple[int, int]], least: int) -> list[tuple[int, int]]:
+def removals(doc: int, text: str, earlier: dict[bytes, tuple[int, int]], least: int) -> list[tuple[int, int]]:
     """The spans of text to remove. earlier: by digest, where a unit that occurs more than once occurs first."""
     cuts, spans, start, words = units(text), [], None, 0
     for a, b in zip(cuts, cuts[1:]):
@@ -119,7 +119,7 @@ def _cleaner(names: list[str], id_col: str, text_col: str, least: int, fields: p
                 texts[i] = "".join(texts[i][a:b] for a, b in zip(cuts[::2], cuts[1::2]))
             spans.append([{"start": a, "end": b} for a, b in found])
         new = {text_col: pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64()), REMOVED: pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
-        return pa.table([new[n] if n in (text_col, "n_chars", REMOVED) else table.column(n) for n in names], names=names)
+        return pa.table([new[n] if n in (text_col, "n_chars", REMOVED) else table.column(n) for n in names], names=names).cast(fields)
 
     return run
 
@@ -128,16 +128,20 @@ def remove_repeats(docs: DataFrame, least: int = MIN_WORDS, spans: bool = False,
     """docs, with all its columns, without units that occur earlier; n_chars, if there, is set anew.
 
     spans adds removed_spans: (start, end) of what went, in characters of the original text. Null texts stay null, empty ones empty; a text
-    may become empty and its row stays. Null ids rank last. Rows with one id and the same text tie: both keep it.
+    may become empty and its row stays. Null ids rank last. Rows with one id tie: what they share at one offset stays in all of
+    them. An empty table stays so, and other columns, whatever their names, are carried on (one named removed_spans is
+    replaced if spans are asked for).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     if isinstance(docs.schema[id_col].dataType, T.LongType) is False:
         docs = docs.withColumn(id_col, F.col(id_col).cast("long"))
+    if spans:
+        docs = docs.drop(REMOVED)
     out = T.StructType([*docs.schema.fields, *([T.StructField(REMOVED, T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))] if spans else [])])
     made = materialise(_pack(docs, id_col, text_col), "packets")
-    same = Window.partitionBy("digest")
-    ranked = made.where("rows is null").select("packet", "digest", F.min(F.struct("doc", "place")).over(same).alias("first"), F.sum("n").over(same).alias("n"))
-    earlier = ranked.where("n > 1").select("packet", "digest", "first.doc", "first.place")
+    own = made.where("rows is null")
+    first = own.groupBy("digest").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "place")).alias("first")).where("n > 1")
+    earlier = own.select("packet", "digest").join(materialise(first.select("digest", "first.doc", "first.place"), "first"), "digest")
     packets = made.where("rows is not null").select(F.col("packet").alias("owner"), "rows")
     return packets.groupBy("owner").cogroup(earlier.groupBy("packet")).applyInArrow(_cleaner(out.names, id_col, text_col, least, to_arrow_schema(out)), out)

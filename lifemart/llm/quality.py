@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, tidy
 
 #: Labelled rows that the fit sees at most, and its other settings.
 SAMPLE, BINS, PAIRS, ROUNDS, RATE, LEAST = 20_000, 32, 6, 150, 0.15, 8
@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> GamModel:
             x = _matrix(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
 
-    rows = docs.join(F.broadcast(taken), "doc_id").select("doc_id", "text", "quality").mapInArrow(run, "doc_id long, quality double, x array<double>")
+    rows = docs.join(F.broadcast(taken), "doc_id").select("doc_id", "text", "quality").mapInArrow(tidy(run), "doc_id long, quality double, x array<double>")
     rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").limit(sample).toArrow()
     x = np.array(rows.column("x").to_pylist(), float).reshape(rows.num_rows, len(FEATURES))
     return fit(x, rows.column("quality").to_numpy())
@@ -191,7 +191,7 @@ def classify(docs: DataFrame, model: GamModel, threshold: float = THRESHOLD) ->
             score = held.value.score(_matrix(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, score double, predicted int").select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return documents(docs).mapInArrow(tidy(run), "doc_id long, score double, predicted int").select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def keep_good(docs: DataFrame, model: GamModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -206,4 +206,4 @@ def keep_good(docs: DataFrame, model: GamModel, threshold: float = THRESHOLD) ->
             score = held.value.score(_matrix([t or "" for t in batch.column("text").to_pylist()]))
             yield batch.filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, tidy
 from .encoding import read_vocabulary
 from .merges import SPLIT, byte_symbols
 
@@ -111,4 +111,4 @@ def token_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64()), ("n_unknown", pa.int64())])
-    return docs.mapInArrow(run, "doc_id long, n_words long, n_tokens long, n_unknown long")
+    return docs.mapInArrow(tidy(run), "doc_id long, n_words long, n_tokens long, n_unknown long")

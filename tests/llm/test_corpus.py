@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lifemart.llm import components, embeddings, fingerprint, jaccard, lmscore, passages, quality, urlgraph
@@ -86,19 +87,25 @@ def test_language_model(spark, monkeypatch):
 
 
 def test_fingerprints(spark):
-    rows = [(i, t) for i, t in EDGE if i not in (None, 2)]
-    found = {r["doc_id"]: r for r in fingerprint.fingerprints(frame(spark, rows)).collect()}
-    order = sorted(rows, key=lambda r: -r[0])
-    for at, (i, text) in enumerate(order):
-        text, following = text or "", order[(at + 1) % len(order)][1] or ""
-        cut = len(text) // 3
-        edited = text[: len(text) - cut] + following[:cut]
-        r = found[i]
-        assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
-        assert (r["near_edited"] == 1) == (fingerprint.canonical(edited) == fingerprint.canonical(text)) == (r["fingerprint"] == r["edited_fingerprint"])
-        assert (r["near_next"] == 1) == (fingerprint.canonical(following) == fingerprint.canonical(text))
-    assert found[4]["fingerprint"] == found[5]["fingerprint"] != found[6]["fingerprint"]
-    assert fingerprint.fingerprints(frame(spark, EDGE)).count() == len(EDGE)
+    edge = [(i, t) for i, t in EDGE if i not in (None, 2)]
+    more = [(100 + r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60).collect()]
+    for rows, one_range in ((edge, "true"), (edge + more, "false"), (edge[:1], "false")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", one_range)
+        found = {r["doc_id"]: r for r in fingerprint.fingerprints(frame(spark, rows)).collect()}
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        order = sorted(rows, key=lambda r: -r[0])
+        for at, (i, text) in enumerate(order):
+            text, following = text or "", order[(at + 1) % len(order)][1] or ""
+            cut = len(text) // 3
+            edited = text[: len(text) - cut] + following[:cut]
+            r = found[i]
+            assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
+            assert (r["near_edited"] == 1) == (fingerprint.canonical(edited) == fingerprint.canonical(text)) == (r["fingerprint"] == r["edited_fingerprint"])
+            assert (r["near_next"] == 1) == (fingerprint.canonical(following) == fingerprint.canonical(text))
+        if len(rows) > 1:
+            assert found[4]["fingerprint"] == found[5]["fingerprint"] != found[6]["fingerprint"]
+    odd = [*EDGE, (None, None), (None, "b"), (2, "y")]
+    assert Counter(r["doc_id"] for r in fingerprint.fingerprints(spark.createDataFrame([(*r, 1, 2.0) for r in odd], "doc_id long, text string, part int, kind double")).collect()) == Counter(i for i, _ in odd)
     assert fingerprint.fingerprints(frame(spark, [])).count() == 0
 
 
@@ -132,7 +139,11 @@ def brute_jaccard(rows):
     return {i: (len(sets[i]), top[i]) for i in ids}
 
 
-def test_jaccard(spark):
+@pytest.mark.parametrize("frequent", [False, True])
+def test_jaccard(spark, monkeypatch, frequent):
+    if frequent:  # nearly all signatures are dealt by document, and groups are cut into parts
+        for name, value in (("RATE", 1), ("FREQUENT", 1), ("BLOCK", 2)):
+            monkeypatch.setattr(jaccard, name, value)
     draw = random.Random(3)
     words, rows = [str(i) for i in range(3000)], [(0, None), (1, ""), (2, "a b"), (3, "A B"), (4, "a b c d e"), (5, "a b c d e f")]
     for _ in range(60):
@@ -149,7 +160,7 @@ def test_jaccard(spark):
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in jaccard.near_duplicates(frame(spark, [(None, "a b"), (7, "a b"), (7, "a b")])).collect()) == [("7", "7"), ("7", "7"), ("None", "None")]
 
 
-def brute_passages(rows, least=10):
+def brute_passages(rows, least=passages.MIN_WORDS):
     first, out = {}, []
     rank = lambda i: 1 << 70 if i is None else i
     for i, t in rows:
@@ -175,7 +186,8 @@ def brute_passages(rows, least=10):
 
 def test_passages(spark):
     table = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    rows = [(r["doc_id"], r["text"]) for r in table.collect()] + [(-3, None), (None, "B."), (9001, ""), (9002, "One two three four five six seven eight nine ten eleven. A b"), (9003, "z. one two three  four five six seven eight nine ten ELEVEN. A c\n\n")]
+    rows = [(r["doc_id"], r["text"]) for r in table.collect()] + [(-3, None), (None, "B."), (9001, ""), (9002, "One two three four five six seven eight nine ten eleven. One two three four five six seven eight nine. A b"), (9003, "z. one two three  four five six seven eight nine ten ELEVEN. One two three four five six seven eight nine.  A c\n\n"), (9004, "q " * 200_000 + ". x\n" + "r " * 30)]
+    rows += [(9005, rows[-1][1]), (9006, "a b")]
     result = passages.remove_repeats(frame(spark, [(*r, 1) for r in rows], ", packet int"), spans=True).collect()
     assert sorted([(str(r["doc_id"]), r["text"]) for r in result], key=str) == brute_passages(rows)
     texts = dict(rows)
@@ -185,6 +197,10 @@ def test_passages(spark):
             kept, at = kept + texts[r["doc_id"]][at : s["start"]], s["end"]
         assert r["text"] is None or kept + texts[r["doc_id"]][at:] == r["text"]
     assert passages.remove_repeats(frame(spark, [])).count() == 0
+    odd = spark.createDataFrame([(r[0], r[1], 7, "s", "d") for r in rows[-4:]], "doc_id int, text string, n_chars int, removed_spans string, digest string")
+    again = {r["doc_id"]: r for r in passages.remove_repeats(odd, spans=True).collect()}
+    assert again[9005]["text"] == "" and again[9005]["n_chars"] == 0 and again[9006]["removed_spans"] == [] and again[9004]["digest"] == "d"
+    assert again[9005]["removed_spans"] == [(0, len(rows[-2][1]))]
 
 
 def test_quality(spark):

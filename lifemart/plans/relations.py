@@ -144,10 +144,10 @@ def jn09(t: Tables) -> DataFrame:
     return every.withColumn("open", F.sum("delta").over(running(["project"], "month"))).where(F.col("month").between(lo, hi)).select("month", "project", "open", "sold")
 
 
-@query("jn10_projects_by_scenarios", "SELECT n_nationkey AS project, code, round(n_nationkey*(1+uplift),6) AS v FROM nation CROSS JOIN (VALUES ('BASE',0.0::DOUBLE),('UP5',0.05::DOUBLE),('UP10',0.1::DOUBLE)) s(code, uplift)")
+@query("jn10_projects_by_scenarios", "SELECT c_custkey AS client, code, round(c_acctbal*(1+uplift),6) AS v FROM customer CROSS JOIN (VALUES ('BASE',0.0::DOUBLE),('UP5',0.05::DOUBLE),('UP10',0.1::DOUBLE)) s(code, uplift)")
 def jn10(t: Tables) -> DataFrame:
     scenarios = t.spark.createDataFrame([("BASE", 0.0), ("UP5", 0.05), ("UP10", 0.1)], "code string, uplift double")
-    return t.nation.crossJoin(F.broadcast(scenarios)).select(F.col("n_nationkey").alias("project"), "code", rnd(F.col("n_nationkey") * (1 + F.col("uplift"))).alias("v"))
+    return t.customer.crossJoin(F.broadcast(scenarios)).select(F.col("c_custkey").alias("client"), "code", rnd(F.col("c_acctbal") * (1 + F.col("uplift"))).alias("v"))
 
 
 @query("jn11_exists_positive", "SELECT DISTINCT o_custkey FROM orders o WHERE EXISTS (SELECT 1 FROM lineitem JOIN part ON l_partkey=p_partkey WHERE l_orderkey=o.o_orderkey AND p_type='ECONOMY')")
@@ -170,10 +170,10 @@ def jn13(t: Tables) -> DataFrame:
     return leads(t).join(conversions(t), "lead", "left").select("lead", F.when(F.date_add("d", 60) <= F.lit(AS_OF).cast("date"), hit).alias("label"))
 
 
-@query("jn14_substring_rule", "WITH r AS (SELECT * FROM (VALUES ('AL',1),('AN',2),('UN',3)) r(k, rule)) SELECT n_name, rule FROM nation LEFT JOIN r ON contains(upper(n_name), k)")
+@query("jn14_substring_rule", "WITH r AS (SELECT * FROM (VALUES ('RING',1),('RED',2),('GET',3)) r(k, rule)) SELECT p_partkey, rule FROM part LEFT JOIN r ON contains(upper(p_name), k)")
 def jn14(t: Tables) -> DataFrame:
-    rules = t.spark.createDataFrame([("AL", 1), ("AN", 2), ("UN", 3)], "k string, rule int")
-    return t.nation.join(F.broadcast(rules), F.upper("n_name").contains(F.col("k")), "left").select("n_name", "rule")
+    rules = t.spark.createDataFrame([("RING", 1), ("RED", 2), ("GET", 3)], "k string, rule int")
+    return t.part.join(F.broadcast(rules), F.upper("p_name").contains(F.col("k")), "left").select("p_partkey", "rule")
 
 
 @query("jn15_null_safe_segment", "WITH a AS (SELECT nullif(c_mktsegment,'BUILDING') AS s, count(*) AS n FROM customer GROUP BY 1), b AS (SELECT nullif(c_mktsegment,'BUILDING') AS s, round(sum(c_acctbal),2) AS v FROM customer GROUP BY 1) SELECT a.s AS segment, n, v FROM a JOIN b ON a.s IS NOT DISTINCT FROM b.s")

@@ -9,6 +9,7 @@ from ..functions import rules, text
 from ..operators.temporal import latest, month_of
 from ..registry import Tables, query
 from ..sources import ingest
+from ..streaming.streams import shared
 from .mapping import LEADS, PM, leads, project_months
 
 
@@ -17,6 +18,12 @@ def src01(t: Tables) -> DataFrame:
     return ingest.scan_since(t.orders, ["o_orderkey", "o_orderdate"], "o_orderdate", "2000-06-01 00:00:00", "48 HOURS")
 
 
+@query("src01_initial_scan", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus='F' ORDER BY o_orderdate, o_orderkey LIMIT 5000")
+def src01_initial(t: Tables) -> DataFrame:
+    """The first load: its own condition, and a batch of 5,000 rows from the oldest on."""
+    return ingest.scan_since(t.orders, ["o_orderkey", "o_orderdate"], "o_orderdate", initial_where=F.col("o_orderstatus") == "F", batch=5000, keys=["o_orderkey"])
+
+
 @query("src02_merge_incremental", "WITH b AS (SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE o_orderdate>=TIMESTAMP '2000-01-01'), n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) r FROM b) WHERE r=1) SELECT o_custkey, o_orderkey FROM n UNION ALL SELECT o_custkey, min(o_orderkey) FROM orders WHERE o_orderdate<TIMESTAMP '2000-01-01' AND o_custkey NOT IN (SELECT o_custkey FROM n) GROUP BY 1")
 def src02(t: Tables) -> DataFrame:
     cut = F.lit("2000-01-01").cast("timestamp_ntz")
@@ -25,10 +32,11 @@ def src02(t: Tables) -> DataFrame:
     return ingest.merge_incremental(target.withColumn("o_orderdate", F.lit(None).cast("timestamp_ntz")), batch, ["o_custkey"], F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc()).select("o_custkey", "o_orderkey")
 
 
-@query("src03_merge_append", "SELECT r_regionkey, r_name, CAST(NULL AS VARCHAR) AS run FROM region UNION ALL SELECT r_regionkey, r_name, 'r1' FROM region WHERE r_regionkey<2")
+@query("src03_merge_append", "SELECT o_orderkey, CAST(NULL AS VARCHAR) AS run FROM orders WHERE o_orderdate<TIMESTAMP '2000-01-01' UNION ALL SELECT o_orderkey, 'r1' FROM orders WHERE o_orderdate>=TIMESTAMP '2000-01-01'")
 def src03(t: Tables) -> DataFrame:
-    out = ingest.merge_append(t.region, t.region.where("r_regionkey < 2"), "r1", "2024-01-01 00:00:00")
-    return out.select("r_regionkey", "r_name", F.col("_etl_source_run_id").alias("run"))
+    cut = F.lit("2000-01-01").cast("timestamp_ntz")
+    out = ingest.merge_append(t.orders.where(F.col("o_orderdate") < cut), t.orders.where(F.col("o_orderdate") >= cut), "r1", "2024-01-01 00:00:00")
+    return out.select("o_orderkey", F.col("_etl_source_run_id").alias("run"))
 
 
 @query("src05_next_watermark", "SELECT strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS watermark, count(*) AS n FROM orders")
@@ -42,10 +50,10 @@ def src06(t: Tables) -> DataFrame:
     return ingest.cast_to_contract(rows, {"p_type": "int", "p_size": "int", "brand_no": "int"})[1]
 
 
-@query("src07_evolve_schema", "SELECT r_regionkey AS k, r_name AS name, CAST(NULL AS INTEGER) AS region FROM region UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("src07_evolve_schema", "SELECT s_suppkey AS k, s_name AS name, CAST(NULL AS VARCHAR) AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
 def src07(t: Tables) -> DataFrame:
-    a = t.region.select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))
-    return ingest.evolve_schema(a, t.nation.select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")), ["k"])
+    a = t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"))
+    return ingest.evolve_schema(a, t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")), ["k"])
 
 
 @query("src08_key_audit", "SELECT (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL) AS null_keys, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*)>1)) AS duplicate_groups, min(l_shipdate) AS min_watermark, max(l_shipdate) AS max_watermark FROM lineitem")
@@ -93,7 +101,19 @@ def src17(t: Tables) -> DataFrame:
 
 @query("src18_panel_export", f"WITH {PM} SELECT project, strftime(month, '%Y-%m') AS period, sales, falls FROM pm")
 def src18(t: Tables) -> DataFrame:
-    return project_months(t).select("project", F.date_format("month", "yyyy-MM").alias("period"), "sales", "falls")
+    """Writes the panel as one folder a project, rows by period, and reads all projects back."""
+    panel = project_months(t).select("project", F.date_format("month", "yyyy-MM").alias("period"), "sales", "falls")
+    path = ingest.export_by(panel, shared(t.spark, "panel"), "project", "period")
+    return t.spark.read.option("header", True).schema("period string, sales long, falls long, project int").csv(path).select("project", "period", "sales", "falls")
+
+
+@query("src18_one_project", f"WITH {PM} SELECT strftime(month, '%Y-%m') AS period, sales, falls FROM pm WHERE project=(SELECT min(project) FROM pm)")
+def src18_one(t: Tables) -> DataFrame:
+    """The export of one project is a table of its own: only its folder is read."""
+    pm = project_months(t)
+    panel = pm.select("project", F.date_format("month", "yyyy-MM").alias("period"), "sales", "falls")
+    path = ingest.export_by(panel, shared(t.spark, "panel"), "project", "period")
+    return t.spark.read.option("header", True).schema("period string, sales long, falls long").csv(f"{path}/project={pm.agg(F.min('project')).first()[0]}")
 
 
 @query("sc01_business_date", "WITH x AS (SELECT o_orderkey, CASE o_orderkey%4 WHEN 0 THEN strftime(o_orderdate,'%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate,'%d-%m-%Y') WHEN 2 THEN '31-02-2024' ELSE strftime(o_orderdate,'%Y/%m/%d') END AS s FROM orders) SELECT o_orderkey, CASE WHEN regexp_matches(s,'^\\d{4}-\\d{2}-\\d{2}$') THEN CAST(try_strptime(s,'%Y-%m-%d') AS DATE) WHEN regexp_matches(s,'^\\d{2}-\\d{2}-\\d{4}$') THEN CAST(try_strptime(s,'%d-%m-%Y') AS DATE) END AS d FROM x")
@@ -181,9 +201,9 @@ def sc15(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.from_json("props", "k long")["k"].alias("k"))
 
 
-@query("sc16_json_build", "SELECT r_regionkey, '{\"k\":'||r_regionkey||',\"name\":\"'||r_name||'\"}' AS payload FROM region")
+@query("sc16_json_build", "SELECT p_partkey, '{\"k\":'||p_partkey||',\"name\":\"'||p_name||'\"}' AS payload FROM part")
 def sc16(t: Tables) -> DataFrame:
-    return t.region.select("r_regionkey", F.to_json(F.struct(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name"))).alias("payload"))
+    return t.part.select("p_partkey", F.to_json(F.struct(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"))).alias("payload"))
 
 
 @query("sc17_reason_text", f"WITH {LEADS} SELECT lead, concat_ws('; ', CASE WHEN status='P' THEN 'pendiente' END, CASE WHEN amount>150000 THEN 'monto alto '||CAST(floor(amount/1000) AS BIGINT) END) AS reason FROM leads")
@@ -208,9 +228,9 @@ def sc20(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", risk.alias("risk")).withColumn("action", rules.first_of((F.col("risk") >= 0.7, "LLAMAR"), (F.col("risk") >= 0.45, "SEGUIR"), otherwise="OBSERVAR"))
 
 
-@query("sc24_freshness", "WITH f AS (SELECT event_type, date_diff('hour', max(ts), TIMESTAMP '2024-01-31 12:00:00') AS lag_hours FROM events WHERE user_id%7=0 GROUP BY 1) SELECT event_type, lag_hours, CASE WHEN lag_hours<=12 THEN 'OK' WHEN lag_hours<=18 THEN 'WARN' ELSE 'FAIL' END AS health FROM f")
+@query("sc24_freshness", "WITH f AS (SELECT event_type, date_diff('hour', max(ts), TIMESTAMP '2024-01-31 12:00:00') AS lag_hours FROM events GROUP BY 1) SELECT event_type, lag_hours, CASE WHEN lag_hours<=12 THEN 'OK' WHEN lag_hours<=18 THEN 'WARN' ELSE 'FAIL' END AS health FROM f")
 def sc24(t: Tables) -> DataFrame:
-    f = t.events.where("user_id % 7 = 0").groupBy("event_type").agg(F.max("ts").alias("last"))
+    f = t.events.groupBy("event_type").agg(F.max("ts").alias("last"))
     hour = lambda c: F.expr(f"timestampdiff(HOUR, date_trunc('hour', {c}), timestamp_ntz'2024-01-31 12:00:00')")
     return f.select("event_type", hour("last").alias("lag_hours")).withColumn("health", rules.freshness(F.col("lag_hours"), 12))
 

@@ -34,18 +34,23 @@ def timed(df: DataFrame) -> DataFrame:
     return df.withColumn("at", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(conv_id * 60 + turn * 7 as int), 0)"))
 
 
-@query("st03_conversation_reactions", "SELECT a.conv_id, a.turn AS announcement, b.turn AS answer FROM conversations a JOIN conversations b ON a.conv_id=b.conv_id AND a.turn%2=0 AND b.turn%2=1 AND (b.turn-a.turn)*7*60>0 AND (b.turn-a.turn)*7*60<=900")
+@query("st03_conversation_reactions", "WITH x AS (SELECT a.conv_id, a.turn AS announcement, b.turn AS answer, b.turn%4=1 AS explicit, (b.turn-a.turn)*7*60 AS s, a.turn=(b.turn//3)*2 AS named FROM conversations a JOIN conversations b ON a.conv_id=b.conv_id AND a.turn%2=0 AND b.turn%2=1 AND b.turn>a.turn), e AS (SELECT conv_id, announcement, answer, 'EXPLICIT' AS how FROM x WHERE explicit AND named AND s<=86400), i AS (SELECT conv_id, min(announcement) AS announcement, answer, 'INTERVAL' AS how FROM x WHERE NOT explicit AND s<=900 GROUP BY conv_id, answer HAVING count(*)=1) SELECT * FROM e UNION ALL SELECT * FROM i")
 def st03(t: Tables) -> DataFrame:
+    """Even turns announce, odd ones answer; every other answer names the announcement that it means."""
     rows = timed(streams.file_stream(t.conversations, f"{t.folder}/conversations.parquet"))
     a = rows.where("turn % 2 = 0").select("conv_id", F.col("turn").alias("announcement"), F.col("at").alias("said_at"))
-    b = rows.where("turn % 2 = 1").select("conv_id", F.col("turn").alias("answer"), "at")
-    return streams.run_to_table(streams.reactions(a, b))
+    named = F.when(F.col("turn") % 4 == 1, F.floor(F.col("turn") / 3) * 2)
+    b = rows.where("turn % 2 = 1").select("conv_id", F.col("turn").alias("answer"), "at", named.alias("named"))
+    return streams.single_reactions(streams.run_to_table(streams.reactions(a, b)))
 
 
-@query("st04_append_only_guard", "SELECT count(*) AS suffix, 0::BIGINT AS changed FROM conversations WHERE conv_id>=50")
+@query("st04_append_only_guard", "WITH m AS (SELECT max(conv_id)//2 AS m FROM conversations) SELECT count(*) FILTER (conv_id>m) AS suffix, count(*) FILTER (conv_id<=m AND turn=0 AND conv_id%50=0) AS changed FROM conversations, m")
 def st04(t: Tables) -> DataFrame:
-    rows = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("ordinal"), "conv_id", "text")
-    changed, suffix = streams.append_only(rows.where("conv_id < 50"), rows, "ordinal", "text")
+    """The first half of the conversations was known, and some openings read otherwise then."""
+    rows = t.conversations.select(F.concat_ws(":", "conv_id", "turn").alias("ordinal"), "conv_id", "turn", "text")
+    half = t.conversations.agg(F.floor(F.max("conv_id") / 2).alias("half"))
+    known = rows.crossJoin(F.broadcast(half)).where("conv_id <= half").withColumn("text", F.when((F.col("turn") == 0) & (F.col("conv_id") % 50 == 0), F.concat("text", F.lit("!"))).otherwise(F.col("text"))).drop("half")
+    changed, suffix = streams.append_only(known, rows, "ordinal", "text")
     return suffix.agg(F.count("*").alias("suffix")).crossJoin(changed.agg(F.count("*").alias("changed")))
 
 
@@ -71,41 +76,84 @@ def st07(t: Tables) -> DataFrame:
     return streams.parse_chat_lines(lines).select("source", "ordinal", "sender", "sent_at", (F.length("body") >= 0).alias("parsed"))
 
 
-@query("src04_replace_full", "SELECT r_regionkey, r_name FROM region")
+@query("src04_replace_full", "SELECT c_custkey AS k, c_acctbal*2 AS v FROM customer WHERE c_acctbal>0")
 def src04(t: Tables) -> DataFrame:
+    """The second table is made from the first, which it replaces."""
     path = streams.shared(t.spark, "full")
-    ingest.replace_full(t.nation.select(F.col("n_nationkey").alias("r_regionkey"), F.col("n_name").alias("r_name")), path)
-    ingest.replace_full(t.region, path)
+    ingest.replace_full(t.customer.select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v")), path)
+    ingest.replace_full(t.spark.read.parquet(path).where("v > 0").select("k", (F.col("v") * 2).alias("v")), path)
     return t.spark.read.parquet(path)
 
 
-@query("src09_csv_canonical_load", "SELECT c_custkey AS code, nullif(trim(c_name),'') AS name, c_nationkey AS nation FROM customer")
+UNITS_CSV = "WITH x AS (SELECT 'U-'||c_custkey AS code, CASE WHEN c_custkey%25=1 THEN c_custkey-1 WHEN c_custkey%40=2 THEN NULL ELSE c_custkey END AS id, CASE WHEN c_custkey%3=0 THEN 'Departamento '||c_custkey ELSE trim(c_name) END AS name, c_nationkey AS nation FROM customer), z AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM x)"
+
+
+def units_csv(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(raw, rows, rejected): a file with headers under other names, some ids missing or written twice, some names to derive."""
+    path, k = streams.shared(t.spark, "csv"), F.col("c_custkey")
+    unit = F.when(k % 25 == 1, k - 1).when(k % 40 == 2, F.lit(None)).otherwise(k)
+    name = F.when(k % 3 == 0, F.lit("  ")).otherwise(F.col("c_name"))
+    t.customer.select(F.concat(F.lit("U-"), k).alias("Código"), unit.alias(" ID "), name.alias(" Nombre "), F.lit("Departamento").alias("tipo"), F.col("c_nationkey").alias("PAIS")).write.option("header", True).csv(path)
+    raw = t.spark.read.option("header", True).csv(path)
+    aliases = {"code": ["codigo", "código", "codigo_unidad"], "id": ["id"], "name": ["nombre", "unidad"], "nation": ["pais"], "kind": ["tipo"]}
+    number = F.when(F.col("code").rlike(r"-\d+$"), F.substring_index("code", "-", -1)).otherwise(F.col("code"))
+    rows, rejected = ingest.canonical_rows(raw, aliases, ["code", "id"], ["code", "id", "name"], {"name": F.concat_ws(" ", F.coalesce("kind", F.lit("Unidad")), number)})
+    return raw, rows, rejected
+
+
+@query("src09_csv_canonical_load", f"{UNITS_CSV} SELECT code, CAST(id AS BIGINT) AS id, name, nation FROM z WHERE id IS NOT NULL AND n=1")
 def src09(t: Tables) -> DataFrame:
-    """Writes headers under other names, and loads them by alias; the counts must agree."""
-    path = streams.shared(t.spark, "csv")
-    t.customer.select(F.col("c_custkey").alias("Código"), F.col("c_name").alias(" Nombre "), F.col("c_nationkey").alias("PAIS")).write.option("header", True).csv(path)
-    raw = t.spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
-    alias = {"código": "code", "codigo": "code", "nombre": "name", "pais": "nation"}
-    named = raw.select(*(F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(alias[c.strip().lower()]) for c in raw.columns))
-    return named.select(F.col("code").try_cast("long").alias("code"), "name", F.col("nation").try_cast("int").alias("nation"))
+    """The accepted rows, by canonical names; blank names are derived from kind and code."""
+    return units_csv(t)[1].select("code", F.col("id").try_cast("long").alias("id"), "name", F.col("nation").try_cast("int").alias("nation"))
+
 
+@query("src09_load_gate", f"{UNITS_CSV} SELECT count(*) AS read, count(*) FILTER (id IS NOT NULL AND n=1) AS loaded, count(*) FILTER (id IS NULL) AS missing, count(*) FILTER (id IS NOT NULL AND n>1) AS duplicate, count(*) FILTER (id IS NOT NULL AND n=1)=count(*) AS passes FROM z")
+def src09_gate(t: Tables) -> DataFrame:
+    """A load passes only if all rows that were read were loaded."""
+    raw, rows, rejected = units_csv(t)
+    counts = raw.agg(F.count("*").alias("read")).crossJoin(rows.agg(F.count("*").alias("loaded")))
+    reason = lambda r: F.count_if(F.exists("reasons", lambda x: x.startswith(r)))
+    return counts.crossJoin(rejected.agg(reason("MISSING").alias("missing"), reason("DUPLICATE").alias("duplicate"))).withColumn("passes", F.col("read") == F.col("loaded"))
 
-@query("src10_contract_csv", "SELECT count(*) FILTER (c_custkey%10<>0) AS good, count(*) FILTER (c_custkey%10=0) AS bad FROM customer")
+
+def offers_csv(t: Tables) -> tuple[DataFrame, DataFrame]:
+    path, k = streams.shared(t.spark, "contract"), F.col("o_orderkey")
+    price = F.when(k % 10 == 0, F.lit("n/a")).when(k % 11 == 0, F.lit("-5")).otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(k % 13 == 0, F.lit("2024-02-30")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    since = F.when(k % 17 == 0, F.lit("2024-01-01T00:00:00")).otherwise(F.lit("2024-01-01T00:00:00Z"))
+    kind = F.when(k % 19 == 0, F.lit("OTRO")).otherwise(F.lit("LISTA"))
+    t.orders.select(k.alias("unit"), kind.alias("kind"), day.alias("day"), since.alias("since"), price.alias("price"), F.lit("").alias("discount")).write.option("header", True).csv(path)
+    raw = t.spark.read.option("header", True).schema("unit string, kind string, day string, since string, price string, discount string").csv(path)
+    rules = {"kind": F.col("kind").isin("LISTA", "OFERTADO", "CIERRE"), "price": F.col("price") > 0}
+    return ingest.contract_rows(raw, ["day"], ["since"], ["price", "discount"], ["discount"], rules)
+
+
+@query("src10_contract_csv", "WITH x AS (SELECT o_orderkey AS k, list_filter([CASE WHEN o_orderkey%13=0 THEN 'INVALID:day' END, CASE WHEN o_orderkey%17=0 THEN 'INVALID:since' END, CASE WHEN o_orderkey%10=0 THEN 'INVALID:price' END, CASE WHEN o_orderkey%19=0 THEN 'RULE:kind' END, CASE WHEN o_orderkey%10<>0 AND o_orderkey%11=0 THEN 'RULE:price' END], lambda v: v IS NOT NULL) AS r FROM orders) SELECT reason, count(*) AS n FROM (SELECT unnest(CASE WHEN len(r)>0 THEN r ELSE ['ACCEPTED'] END) AS reason FROM x) GROUP BY 1")
 def src10(t: Tables) -> DataFrame:
-    """Rows whose decimal or date doesn't parse strictly are split out."""
-    path = streams.shared(t.spark, "contract")
-    t.customer.select("c_custkey", F.when(F.col("c_custkey") % 10 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string")).alias("balance"), F.lit("2024-01-31").alias("day")).write.option("header", True).csv(path)
-    raw = t.spark.read.option("header", True).schema("c_custkey string, balance string, day string").csv(path)
-    ok = F.col("balance").try_cast("decimal(20,2)").isNotNull() & F.try_to_timestamp("day", F.lit("yyyy-MM-dd")).isNotNull()
-    return raw.agg(F.count_if(ok).alias("good"), F.count_if(~ok).alias("bad"))
+    """Why rows are split out: what doesn't parse strictly, what lacks a zone, and what breaks a rule of the domain."""
+    rows, rejected = offers_csv(t)
+    why = rejected.select(F.explode("reasons").alias("reason")).unionByName(rows.select(F.lit("ACCEPTED").alias("reason")))
+    return why.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("src10_key_conflicts", "WITH x AS (SELECT o_orderkey AS k FROM orders) SELECT count(*) FILTER (k%5=0) AS added, count(*) FILTER (k%5<>0 AND k%7=0) AS conflicts FROM x")
+def src10_conflicts(t: Tables) -> DataFrame:
+    """A key with other content is a conflict, one with the same content is left, and new keys are added."""
+    price = F.col("o_totalprice")
+    batch = t.orders.select(F.col("o_orderkey").alias("k"), F.when((F.col("o_orderkey") % 7 == 0) & (F.col("o_orderkey") % 5 != 0), price + 1).otherwise(price).alias("price"))
+    target = t.orders.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("k"), price.alias("price"))
+    added, conflicts = ingest.append_new_keys(target, batch.unionByName(batch), ["k"])
+    return added.agg(F.count("*").alias("added")).crossJoin(conflicts.agg(F.count("*").alias("conflicts")))
 
 
-@query("src16_mart_sink", f"WITH {PM} SELECT project, month, sales FROM pm WHERE month<>DATE '1999-01-01' UNION ALL SELECT project, month, sales+1 FROM pm WHERE month=DATE '1999-01-01'")
+@query("src16_mart_sink", f"WITH {PM} SELECT project, month, CASE WHEN month=DATE '2000-01-01' AND project%2=0 THEN -sales ELSE sales+(month=DATE '1999-01-01')::BIGINT END AS sales FROM pm UNION ALL SELECT 1000+project, month, -sales FROM pm WHERE month=DATE '2000-01-01' AND project%2=0")
 def src16(t: Tables) -> DataFrame:
-    """Rewrites one partition of the mart and leaves the others."""
+    """Rewrites one partition of the mart, then upserts rows of another by (month, project), and leaves the rest."""
     path, pm = streams.shared(t.spark, "mart"), project_months(t).select("project", "month", "sales")
     ingest.write_partitions(pm, path, "month")
     ingest.write_partitions(pm.where("month = '1999-01-01'").withColumn("sales", F.col("sales") + 1), path, "month")
+    some = pm.where("month = '2000-01-01' and project % 2 = 0").withColumn("sales", -F.col("sales"))
+    ingest.upsert_partitions(some.unionByName(some.withColumn("project", F.col("project") + 1000)), path, "month", ["project"])
     return t.spark.read.schema("project int, sales long, month date").parquet(path).select("project", "month", "sales")
 
 

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.temporal import latest
 
 
-def scan_since(df: DataFrame, columns: list[str], watermark: str, since, lookback: str | None = None, strategy: str = "incremental") -> DataFrame:
-    """Pruned to columns; incremental re-reads the look-back, append reads what is newer. The bound stays on the raw column and is pushed down."""
+def scan_since(df: DataFrame, columns: list[str], watermark: str, since=None, lookback: str | None = None, strategy: str = "incremental", initial_where: Column | None = None, batch: int | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Pruned to columns; incremental re-reads the look-back, append reads what is newer. The bound stays on the raw column and is pushed down.
+
+    Without since it is the first load: initial_where instead of a bound. batch: the rows of one load, the oldest first by
+    watermark and keys, so that the next one goes on from its watermark.
+    """
+    if batch is not None:
+        rows = scan_since(df, list(dict.fromkeys([*columns, watermark, *(keys or [])])), watermark, since, lookback, strategy, initial_where)
+        return rows.orderBy(watermark, *(keys or [])).limit(batch).select(*columns)
+    if since is None:
+        return (df if initial_where is None else df.where(initial_where)).select(*columns)
     bound = F.lit(since).cast(df.schema[watermark].dataType)
     if strategy == "append":
         return df.where(F.col(watermark) > bound).select(*columns)
@@ -34,7 +45,95 @@ def merge_append(target: DataFrame, batch: DataFrame, run_id: str, loaded_at) ->
 
 
 def replace_full(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Writes beside path and swaps the folders once all is written: a job that fails leaves the old table, and df may read it."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    df.write.parquet(f"{path}.new-{mark}")
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    now, new, old = place(path), place(f"{path}.new-{mark}"), place(f"{path}.old-{mark}")
+    files = now.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(now)
+    if had and not files.rename(now, old):
+        raise OSError(f"{path} can't be moved aside")
+    if not files.rename(new, now):
+        if had:
+            files.rename(old, now)
+        raise OSError(f"{path} can't be replaced")
+    if had:
+        files.delete(old, True)
+
+
+def upsert_partitions(df: DataFrame, path: str, by: str, keys: list[str]) -> None:
+    """df's rows in place of those with the same (by, keys) in the table at path; only the partitions that df has are read and written."""
+    spark = df.sparkSession
+    old = spark.read.schema(df.schema).parquet(path).select(*df.columns).join(df.select(by).distinct(), by, "left_semi")
+    merged = old.join(df.select(by, *keys), [by, *keys], "left_anti").select(*df.columns).unionByName(df)
+    staged = f"{path}.new-{uuid.uuid4().hex}"
+    merged.write.parquet(staged)  # the partitions to replace are read before they go
+    write_partitions(spark.read.schema(df.schema).parquet(staged), path, by)
+
+
+def export_by(df: DataFrame, path: str, by: str, *order: str) -> str:
+    """One folder of CSV files for each value of by, with the columns in df's order and rows in the given one."""
+    df.repartition(by).sortWithinPartitions(by, *order).write.option("header", True).partitionBy(by).csv(path)
+    return path
+
+
+def canonical_rows(raw: DataFrame, aliases: dict[str, list[str]], required: list[str], unique: list[str], derived: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of a raw table of strings. Headers are matched trimmed and without case, blanks are null, and each
+    name takes the first of its aliases that has a value; derived fills what is still null.
+
+    A row without a required value is rejected (MISSING), and so are all rows of a value that unique says is there once
+    (DUPLICATE; compared without case): rejected has their reasons.
+    """
+    there = {c.strip().lower(): c for c in raw.columns}
+    value = lambda c: F.nullif(F.trim(F.col(f"`{there[c]}`")), F.lit(""))
+    named = raw.select(*(F.coalesce(*(value(a) for a in names if a in there), F.lit(None).cast("string")).alias(name) for name, names in aliases.items()))
+    for name, fill in (derived or {}).items():
+        named = named.withColumn(name, F.coalesce(name, fill))
+    marked = named
+    for c in unique:
+        twice = named.groupBy(F.lower(c).alias(f"_{c}")).count().where(f"_{c} is not null and count > 1").select(f"_{c}", F.lit(True).alias(f"_{c}_twice"))
+        marked = marked.join(twice, F.lower(c) == F.col(f"_{c}"), "left")
+    reasons = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(f"MISSING:{c}")) for c in required), *(F.when(F.col(f"_{c}_twice"), F.lit(f"DUPLICATE:{c}")) for c in unique)))
+    marked = marked.select(*named.columns, reasons.alias("reasons"))
+    return marked.where(F.size("reasons") == 0).drop("reasons"), marked.where(F.size("reasons") > 0)
+
+
+def contract_rows(raw: DataFrame, dates: list[str] = (), times: list[str] = (), numbers: list[str] = (), optional: list[str] = (), rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected) of a table of strings under a contract: strict dates, times with a zone, finite decimals, values
+    where they aren't optional, and rules (name to condition over the parsed columns). rejected has the reasons."""
+    text = {c: F.nullif(F.trim(c), F.lit("")) for c in raw.columns}
+    parsed, bad = {}, []
+    for c in raw.columns:
+        if c in dates:
+            parsed[c] = F.when(text[c].rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_timestamp(text[c], F.lit("yyyy-MM-dd")).cast("date"))
+        elif c in times:
+            parsed[c] = F.when(text[c].rlike(r"(Z|[+-]\d{2}:\d{2})$"), text[c].try_cast("timestamp"))
+        elif c in numbers:
+            parsed[c] = text[c].try_cast("decimal(38,6)")
+        else:
+            parsed[c] = text[c]
+        bad.append(F.when(text[c].isNotNull() & parsed[c].isNull(), F.lit(f"INVALID:{c}")))
+        if c not in optional:
+            bad.append(F.when(text[c].isNull(), F.lit(f"MISSING:{c}")))
+    rows = raw.select(*(v.alias(c) for c, v in parsed.items()), F.array_compact(F.array(*bad)).alias("_bad"))
+    broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(True)), F.lit(f"RULE:{name}")) for name, ok in (rules or {}).items()), F.lit(None).cast("string")))
+    rows = rows.withColumn("reasons", F.concat("_bad", broken)).drop("_bad")
+    return rows.where(F.size("reasons") == 0).drop("reasons"), rows.where(F.size("reasons") > 0)
+
+
+def append_new_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows of batch to add, conflicts): a key that is there with the same content is left as it is, one with other content is a conflict,
+    in the target or inside the batch."""
+    content = [c for c in batch.columns if c not in keys]
+    once = batch.distinct()
+    twice = once.groupBy(*keys).count().where("count > 1").select(*keys)
+    same = F.lit(True)
+    for c in content:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    both = once.join(target.select(*keys, *(F.col(c).alias(f"_{c}") for c in content), F.lit(True).alias("_there")), keys, "left")
+    conflicts = both.where(F.col("_there") & ~same).select(*batch.columns).unionByName(once.join(twice, keys, "left_semi").select(*batch.columns)).distinct()
+    return both.where("_there is null").select(*batch.columns).join(twice, keys, "left_anti").select(*batch.columns), conflicts
 
 
 def cast_to_contract(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:

@@ -13,7 +13,11 @@ from ..operators.ledger import STATES
 
 def shared(spark: SparkSession, label: str) -> str:
     """A new folder that driver and executors share."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="streams-")
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="streams-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -90,13 +94,25 @@ def message_events(messages: DataFrame) -> DataFrame:
     return messages.select("conv_id", "turn", F.inline(F.filter(found, lambda e: e["mentions"] > 0))).withColumn("rules_version", F.lit("v1"))
 
 
-def reactions(announcements: DataFrame, answers: DataFrame, seconds: int = 900) -> DataFrame:
-    """Answers with the one announcement of their conversation within the interval before; none if there are several."""
+def reactions(announcements: DataFrame, answers: DataFrame, seconds: int = 900, named_seconds: int = 86_400) -> DataFrame:
+    """conv_id, announcement, answer, how: what an answer may react to. EXPLICIT: the announcement that it names, up to named_seconds
+    before; INTERVAL: of answers that name none, each announcement of the conversation up to seconds before."""
     a, b = announcements, answers
     if a.isStreaming:
         a, b = a.withWatermark("said_at", "1 day"), b.withWatermark("at", "1 day")
-    within = (F.col("conv_id") == F.col("conv")) & (F.col("at") > F.col("said_at")) & (F.col("at") <= F.col("said_at") + F.expr(f"INTERVAL {seconds} SECONDS"))
-    return a.join(b.withColumnRenamed("conv_id", "conv"), within).select("conv_id", "announcement", "answer")
+    longest = F.expr(f"INTERVAL {max(seconds, named_seconds)} SECONDS")
+    after = (F.col("conv_id") == F.col("conv")) & (F.col("at") > F.col("said_at")) & (F.col("at") <= F.col("said_at") + longest)
+    both = a.join(b.withColumnRenamed("conv_id", "conv"), after)
+    explicit = (F.col("named") == F.col("announcement")) & (F.col("at") <= F.col("said_at") + F.expr(f"INTERVAL {named_seconds} SECONDS"))
+    near = F.col("named").isNull() & (F.col("at") <= F.col("said_at") + F.expr(f"INTERVAL {seconds} SECONDS"))
+    how = F.when(explicit, "EXPLICIT").when(near, "INTERVAL")
+    return both.withColumn("how", how).where("how is not null").select("conv_id", "announcement", "answer", "how")
+
+
+def single_reactions(found: DataFrame) -> DataFrame:
+    """Of reactions by interval only those of answers with one candidate."""
+    g = found.groupBy("conv_id", "answer", "how").agg(F.min("announcement").alias("announcement"), F.count("*").alias("n"))
+    return g.where("n = 1 or how = 'EXPLICIT'").select("conv_id", "announcement", "answer", "how")
 
 
 def parse_chat_lines(lines: DataFrame, header: str = r"^\[(\d{4}-\d{2}-\d{2} \d{2}:\d{2})\] ([^:]+): (.*)$") -> DataFrame:

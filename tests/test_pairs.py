@@ -6,26 +6,93 @@ import random
 
 from lifemart import registry
 from lifemart.operators.models import synthetic_weights
-from lifemart.plans import load_all, models
+from lifemart.plans import load_all, models, people
 
 load_all()
 FOLDER = "/root/testdata/sf0.001"
 
 
-def brand_pairs(spark):
-    rows = spark.read.parquet(f"{FOLDER}/part.parquet").select("p_partkey", "p_brand", "p_name").collect()
-    return {(a["p_partkey"], b["p_partkey"]): (a["p_name"], b["p_name"]) for a in rows for b in rows if a["p_brand"] == b["p_brand"] and a["p_partkey"] < b["p_partkey"]}
-
-
-def test_name_pairs_whole_brands(spark, monkeypatch):
-    monkeypatch.setattr(models, "BRAND_ROWS", 3)  # brands of several parts
-    pairs = brand_pairs(spark)
+def test_name_pairs(spark):
+    names = {}
+    for r in spark.read.parquet(f"{FOLDER}/part.parquet").collect():
+        k = r["p_brand"], r["p_name"]
+        names[k] = min(names.get(k, r["p_partkey"]), r["p_partkey"])
+    pairs = {(i, j): (x, y) for (p, x), i in names.items() for (q, y), j in names.items() if p == q and i < j and set(x.split(" ")) & set(y.split(" "))}
     assert any(b - a >= 40 for a, b in pairs)
     found = registry.QUERIES["udf03_pair_similarity"](spark, FOLDER).collect()
-    assert sorted((r["a"], r["b"], r["ratio"]) for r in found) == sorted((*k, difflib.SequenceMatcher(None, *v).ratio()) for k, v in pairs.items())
-    found = registry.QUERIES["sc09_name_similarity_all"](spark, FOLDER).collect()
-    brute = lambda x, y: round(len(x & y) / len(x | y), 6)
-    assert sorted((r["a"], r["b"], r["jaccard"]) for r in found) == sorted((*k, brute(*(set(n.split(" ")) for n in v))) for k, v in pairs.items())
+    assert sorted((r["a"], r["b"], r["ratio"]) for r in found) == sorted((*k, round(100 * difflib.SequenceMatcher(None, *v).ratio(), 2)) for k, v in pairs.items())
+
+
+def ratio(a, b):
+    return round(100.0 * difflib.SequenceMatcher(None, a, b).ratio(), 2) if a and b else 0.0
+
+
+def scores_of(a, b):
+    """document, name, phone, email score, status and score of two people: (document, name, phone, email)."""
+    name = phone = email = 0.0
+    if a[1] and b[1]:
+        x, y = (" ".join(sorted(n.split())) for n in (a[1], b[1]))
+        u, v = set(x.split()), set(y.split())
+        name = round(max(ratio(a[1], b[1]), ratio(x, y), 100 * len(u & v) / len(u | v)), 2)
+    if a[2] and b[2]:
+        phone = 100.0 if a[2] == b[2] else 96.0 if a[2][-7:] == b[2][-7:] else ratio(a[2], b[2])
+    if a[3] and b[3]:
+        (l1, d1), (l2, d2) = a[3].split("@"), b[3].split("@")
+        email = 100.0 if a[3] == b[3] else round(min(max(ratio(a[3], b[3]), 0.8 * ratio(l1, l2) + 20), 100) if d1 == d2 else min(ratio(a[3], b[3]), 92), 2)
+    document = 100.0 if a[0] and a[0] == b[0] else 0.0
+    best, other = max(phone, email), min(phone, email)
+    plain = round(0.45 * best + 0.30 * other + 0.25 * name, 2)
+    if document:
+        out = "CONFIRMADO", 100.0
+    elif email >= 99 and phone >= 99:
+        out = "CONFIRMADO", max(plain, 99.0)
+    elif name >= 92 and best >= 99:
+        out = "CONFIRMADO", max(plain, 97.0)
+    elif name >= 88 and best >= 94 or email >= 97 and phone >= 94:
+        out = "PROBABLE", max(plain, 90.0)
+    elif name >= 82 and best >= 88:
+        out = "REVISAR", max(plain, 80.0)
+    else:
+        out = "NO MATCH", plain
+    return document, name, phone, email, *out
+
+
+def test_people(spark):
+    leads, buyers = (f.collect() for f in people.people(registry.Tables(spark, FOLDER)))
+    who = lambda r: (r["document"], r["name"], r["phone"], r["email"])
+
+    def blocks(r):
+        words = sorted((w for w in (r["canonical"] or "").split() if len(w) >= 4), key=len, reverse=True)[:3]
+        email = r["email"] and r["email"].split("@")
+        return {x for x in (r["document"] and "D" + r["document"], r["email"] and "E" + r["email"], email and f"P{email[0][:3]}@{email[1]}", r["phone"] and "T" + r["phone"], r["phone"] and "S" + r["phone"][-6:], *("N" + w for w in words)) if x}
+
+    lead_blocks, buyer_blocks = {r["lead"]: blocks(r) for r in leads}, {r["buyer"]: blocks(r) for r in buyers}
+    lead_of, buyer_of = {r["lead"]: who(r) for r in leads}, {r["buyer"]: who(r) for r in buyers}
+    wanted = {(i, j): scores_of(lead_of[i], buyer_of[j]) for i, x in lead_blocks.items() for j, y in buyer_blocks.items() if x & y}
+    found = {(r["lead"], r["buyer"]): tuple(r[2:]) for r in registry.QUERIES["sc09_match_scores"](spark, FOLDER).collect()}
+    assert found.keys() == wanted.keys()
+    for k, v in wanted.items():
+        assert found[k][4] == v[4] and all(abs(x - y) < 0.011 for x, y in zip((*found[k][:4], found[k][5]), (*v[:4], v[5]))), (k, found[k], v)
+    assert {v[4] for v in wanted.values()} >= {"CONFIRMADO", "PROBABLE"}
+    rank = {"NO MATCH": 0, "REVISAR": 1, "PROBABLE": 2, "CONFIRMADO": 3}
+    best = {}
+    for (i, j), v in found.items():
+        best[i] = max(best.get(i, ((-1,),)), ((rank[v[4]], v[5], v[0], max(v[2], v[3]), v[1], -j), j, v[4]))
+    rows = registry.QUERIES["tk07_best_person"](spark, FOLDER).collect()
+    assert {r["lead"]: (r["buyer"], r["status"]) for r in rows} == {i: x[1:] for i, x in best.items()}
+    orders = spark.read.parquet(f"{FOLDER}/orders.parquet").collect()
+    first, last = {}, {}
+    for r in orders:
+        day = r["o_orderdate"].date()
+        first[r["o_custkey"]] = min(first.get(r["o_custkey"], day), day)
+        if r["o_orderstatus"] == "F":
+            last[r["o_custkey"]] = max(last.get(r["o_custkey"], day), day)
+    channel, given = {r["lead"]: r["channel"] for r in leads}, {}
+    for i, (_, j, status) in best.items():
+        if rank[status] > 1 and i in first and j in last and first[i] <= last[j]:
+            given.setdefault(j, []).append(({"BUILDING": 1, "AUTOMOBILE": 2}.get(channel[i], 3), first[i], i))
+    rows = registry.QUERIES["dp20_matched_attribution"](spark, FOLDER).collect()
+    assert {r["buyer"]: r["lead"] for r in rows} == {j: min(x)[2] for j, x in given.items()} and rows
 
 
 def test_synthetic_control_all_donors(spark, monkeypatch):

@@ -1,39 +1,54 @@
-"""The inventory state machine of a unit, as folds over ordered events.
-
-An event maps each of four states to a state. Events are cut into chunks of a key (a week each); a chunk's effect is the map that
-its events compose to, so the state at a chunk's start follows from the chunks before it, and no fold ever sees more than
-one chunk's events or one key's chunks.
+"""The inventory state machine of a unit, by windows over its ordered events.
+
+A unit starts as not offered; its first ALTA makes it available. From then on CAIDA makes it available again whatever it
+was, so a unit's events fall into stretches that begin available: the first SEPARACION of a stretch separates the unit, and
+the first VENTA after that sells it. Events are cut into chunks of a key (a week each). Inside a chunk two sorted passes give
+the state after each event for each of the four states that the chunk may begin with; the last event's four states are the chunk's
+effect, and a chunk's begin follows from the effects of the chunks before it. Work is linear in events, and a key's
+events meet only a week at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STATES = ("NOT_OFFERED", "AVAILABLE", "SEPARATED", "SOLD")
-TRANSITIONS = {("ALTA", 0): 1, ("SEPARACION", 1): 2, ("VENTA", 2): 3, ("CAIDA", 2): 1, ("CAIDA", 3): 1}
-
-
-def after(kind: Column, state: Column) -> Column:
-    out = state
-    for (k, s), to in TRANSITIONS.items():
-        out = F.when((kind == k) & (state == s), F.lit(to)).otherwise(out)
-    return out
 
 
 def inventory_ledger(events: DataFrame, keys: list[str], time: str = "ts", tie: str = "event_id") -> DataFrame:
     """events with event_order, before_state, after_state, applied, delta_stock. Invalid events stay, without effect."""
-    chunk = F.date_trunc("week", time)
-    packed = events.groupBy(*keys, chunk.alias("chunk")).agg(F.array_sort(F.collect_list(F.struct(time, tie, *[c for c in events.columns if c not in (time, tie, *keys)]))).alias("events"))
-    packed = packed.withColumn("map", F.transform(F.sequence(F.lit(0), F.lit(3)), lambda s: F.aggregate("events", s, lambda acc, e: after(e["kind"], acc))))
-    order = Window.partitionBy(*keys).orderBy("chunk")
-    earlier = F.collect_list("map").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    size = F.sum(F.size("events")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    start = packed.withColumn("start", F.aggregate(earlier, F.lit(0), lambda acc, m: F.element_at(m, acc + 1))).withColumn("ahead", F.coalesce(size, F.lit(0)))
-    states = F.aggregate("events", F.array(F.col("start")), lambda acc, e: F.concat(acc, F.array(after(e["kind"], F.element_at(acc, -1)))))
-    rows = start.withColumn("states", states).select(*keys, "ahead", "states", F.posexplode("events").alias("place", "event"))
+    is_ = lambda kind: F.col("kind") == kind
+    chunk = [*keys, "_chunk"]
+    order = Window.partitionBy(*chunk).orderBy(time, tie)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = events.withColumn("_chunk", F.date_trunc("week", time))
+    rows = rows.withColumns({"_alive": F.max(is_("ALTA")).over(upto), "_stretch": F.count_if(is_("CAIDA")).over(upto), "_place": F.row_number().over(order)})
+    stretch = Window.partitionBy(*chunk, "_stretch").orderBy(time, tie)
+    now, before = stretch.rowsBetween(Window.unboundedPreceding, 0), stretch.rowsBetween(Window.unboundedPreceding, -1)
+    ever = lambda c, over: F.coalesce(F.max(c).over(over), F.lit(False))
+    apart, apart0 = is_("SEPARACION"), is_("SEPARACION") & F.col("_alive")
+    rows = rows.withColumns({"_apart": ever(apart, now), "_apart0": ever(apart0, now), "_can": is_("VENTA") & ever(apart, before), "_can0": is_("VENTA") & ever(apart0, before), "_venta": ever(is_("VENTA"), now)})
+    rows = rows.withColumns({"_sold": ever(F.col("_can"), now), "_sold0": ever(F.col("_can0"), now)})
+    begun = F.when(F.col("_sold"), 3).when(F.col("_apart"), 2).otherwise(1)  # the state if the chunk began available
+    first = F.col("_stretch") == 0
+    states = F.array(
+        F.when(~F.col("_alive"), 0).when(F.col("_sold0"), 3).when(F.col("_apart0"), 2).otherwise(1),
+        begun,
+        F.when(first, F.when(F.col("_venta"), 3).otherwise(2)).otherwise(begun),
+        F.when(first, 3).otherwise(begun),
+    )
+    rows = rows.withColumn("_states", states)
+    same = F.array(*map(F.lit, range(len(STATES))))
+    rows = rows.select(*events.columns, "_chunk", "_place", "_states", F.coalesce(F.lag("_states").over(order), same).alias("_before"), F.lead(tie).over(order).isNull().alias("_last"))
+    effects = rows.where("_last").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_chunk", F.col("_place").alias("n"), F.col("_states").alias("map")))).alias("chunks"))
+    start = F.struct(F.array(F.lit(0)).alias("state"), F.array(F.lit(0).cast("long")).alias("ahead"))
+    begins = F.aggregate("chunks", start, lambda acc, c: F.struct(F.concat(acc["state"], F.array(F.element_at(c["map"], F.element_at(acc["state"], -1) + 1))).alias("state"), F.concat(acc["ahead"], F.array(F.element_at(acc["ahead"], -1) + c["n"])).alias("ahead")))
+    begins = effects.select(*keys, F.col("chunks._chunk").alias("chunk"), begins.alias("b")).select(*keys, F.explode(F.arrays_zip("chunk", F.col("b.state").alias("state"), F.col("b.ahead").alias("ahead"))).alias("x"))
+    begins = begins.where("x.chunk is not null").select(*keys, F.col("x.chunk").alias("_chunk"), F.col("x.state").alias("_state"), F.col("x.ahead").alias("_ahead"))
+    both = rows.join(begins, chunk)
     names = F.array(*map(F.lit, STATES))
-    before, then = F.element_at("states", F.col("place") + 1), F.element_at("states", F.col("place") + 2)
-    applied = before != then
-    delta = F.when(~applied, 0).when(F.col("event.kind").isin("ALTA", "CAIDA"), 1).when(F.col("event.kind") == "SEPARACION", -1).otherwise(0)
-    return rows.select(*keys, "event.*", (F.col("ahead") + F.col("place") + 1).alias("event_order"), F.element_at(names, before + 1).alias("before_state"), F.element_at(names, then + 1).alias("after_state"), applied.alias("applied"), delta.alias("delta_stock"))
+    was, then = F.element_at("_before", F.col("_state") + 1), F.element_at("_states", F.col("_state") + 1)
+    applied = was != then
+    delta = F.when(~applied, 0).when(F.col("kind").isin("ALTA", "CAIDA"), 1).when(F.col("kind") == "SEPARACION", -1).otherwise(0)
+    return both.select(*keys, *(c for c in events.columns if c not in keys), (F.col("_ahead") + F.col("_place")).alias("event_order"), F.element_at(names, was + 1).alias("before_state"), F.element_at(names, then + 1).alias("after_state"), applied.alias("applied"), delta.alias("delta_stock"))

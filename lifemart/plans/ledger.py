@@ -73,15 +73,13 @@ def dp07(t: Tables) -> DataFrame:
 
 
 def rolled(t: Tables, spans=(7, 30, 90)) -> DataFrame:
-    base, out = jn01(t).withColumn("closing", F.sum("delta").over(running(["project"], "day"))), None
+    """One row a span of each day; all spans in one sorted pass."""
+    base = jn01(t).withColumn("closing", F.sum("delta").over(running(["project"], "day")))
     w = Window.partitionBy("project").orderBy("day")
-    for n in spans:
-        over = trailing(["project"], "day", n)
-        gross, falls = F.sum("reservations").over(over), F.sum("falls").over(over)
-        start = F.lag("closing", n).over(w)
-        part = base.select("project", "day", F.lit(n).alias("days"), gross.alias("gross"), (gross - falls).alias("net"), F.round(ratio(gross, start), 6).alias("gross_rate"), F.round(ratio(falls, gross), 6).alias("fall_rate"), F.round(ratio(F.col("closing"), gross) * n / 30, 6).alias("months_of_stock"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    sums = [F.struct(F.lit(n).alias("days"), F.sum("reservations").over(over).alias("gross"), F.sum("falls").over(over).alias("falls"), F.lag("closing", n).over(w).alias("start")) for n in spans for over in (trailing(["project"], "day", n),)]
+    rows = base.select("project", "day", "closing", *(s.alias(f"s{i}") for i, s in enumerate(sums)))
+    rows = rows.select("project", "day", "closing", F.inline(F.array(*(f"s{i}" for i in range(len(sums))))))
+    return rows.select("project", "day", "days", "gross", (F.col("gross") - F.col("falls")).alias("net"), F.round(ratio(F.col("gross"), F.col("start")), 6).alias("gross_rate"), F.round(ratio(F.col("falls"), F.col("gross")), 6).alias("fall_rate"), F.round(ratio(F.col("closing"), F.col("gross")) * F.col("days") / 30, 6).alias("months_of_stock"))
 
 
 def rolled_sql(spans=(7, 30, 90)) -> str:

@@ -26,10 +26,12 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; one of our own where it is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir; one of our own where it is unset and all run on one machine, as in tests."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="lifemart-")

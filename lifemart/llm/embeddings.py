@@ -22,7 +22,7 @@ from .components import components
 LIKENESS = 0.9
 #: Cells that a vector goes to; vectors a cell should hold; most cells; most sampled vectors of the fit.
 NEAREST, CELL_SIZE, MOST_CELLS, SAMPLE = 6, 768, 4096, 20_000
-BLOCK = 1024
+BLOCK = 2048
 
 
 def fit_centres(sample: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
@@ -135,4 +135,5 @@ def link_vectors(vectors: DataFrame, nearest: int = NEAREST) -> DataFrame:
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     of_class = materialise(classes.select("rep", "size", "embedding").join(counts, F.col("rep") == F.col("id"), "left").drop("id").join(groups, F.col("rep") == F.col("id"), "left").select("embedding", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links")), "linked")
-    return rows.join(of_class, "embedding", "left").select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))
+    odd = rows.where("embedding is null").select("vec_id", F.lit(None).cast("long").alias("component"), F.lit(None).cast("long").alias("links"))
+    return rows.where("embedding is not null").join(of_class, "embedding").select("vec_id", "component", "links").unionByName(odd).select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))

@@ -140,12 +140,12 @@ def _packets(docs: DataFrame, order: int) -> DataFrame:
 def gram_scores(grams: DataFrame, order: int) -> DataFrame:
     """key, value (log10 probability of the gram's last symbol after the others) of grams: key, n.
 
-    From the empty context up: of a level's rows, each context has at most as many as there are symbols.
+    grams has each key once. From the empty context up: of a level's rows, each context has at most as many as there are symbols.
     """
     log = lambda c: F.log10(c)
     below = None
     for level in range(order + 1):
-        rows = grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << BITS * (level + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
+        rows = grams if level == order else grams.groupBy(F.col("key").bitwiseAND(F.lit((1 << BITS * (level + 1)) - 1)).alias("key")).agg(F.sum("n").alias("n"))
         context = Window.partitionBy(F.shiftright("key", BITS))
         total, kinds = F.sum("n").over(context), F.sum((F.col("n") > 0).cast("long")).over(context)
         if below is None:
@@ -205,7 +205,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, parts: int = 7) -> DataFram
     words, grams = summed.where("key < 0 and n > 0"), summed.where("key >= 0")
     totals = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"]
-    every = materialise(gram_scores(grams, order).unionByName(words.select("key", F.log10(F.col("n") + 1.0).alias("value"))), "values")
+    every = gram_scores(grams, order).unionByName(words.select("key", F.log10(F.col("n") + 1.0).alias("value")))
     values = rows.select("packet", "key").join(every, "key").select("packet", "key", "value")
     texts = made.where("texts is not null").select(F.col("packet").alias("owner"), "texts")
     scored = texts.groupBy("owner").cogroup(values.groupBy("packet")).applyInArrow(_score(order), "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")

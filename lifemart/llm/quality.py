@@ -165,7 +165,8 @@ def _matrix(texts: list[str]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> GamModel:
     """Fits on at most ``sample`` labelled rows that aren't held out, taken by the hash of their id.
 
-    labels: doc_id, quality; of an id with several labels the lowest counts, null labels and ids don't.
+    labels: doc_id, quality; of an id with several labels the lowest counts, null labels and ids don't. Of an id with several
+    texts the one with the smallest hash counts.
     """
     docs = documents(docs)
     known = labels.where("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("quality")).where(~held_out())
@@ -174,16 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> GamModel:
     def run(batches):
         for batch in batches:
             x = _matrix(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["doc_id", "quality", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("_hash"), batch.column("doc_id"), batch.column("quality"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["hash", "doc_id", "quality", "x"])
 
-    rows = docs.join(F.broadcast(taken), "doc_id").select("doc_id", "text", "quality").mapInArrow(tidy(run), "doc_id long, quality double, x array<double>")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").limit(sample).toArrow()
+    texts = docs.join(F.broadcast(taken), "doc_id").withColumn("_hash", F.xxhash64("text"))  # taken: as many rows as the sample has
+    rows = texts.select("_hash", "doc_id", "text", "quality").mapInArrow(tidy(run), "hash long, doc_id long, quality double, x array<double>")
+    rows = rows.groupBy("doc_id").agg(F.min_by(F.struct("quality", "x"), "hash").alias("row")).select("doc_id", "row.*").orderBy("doc_id").limit(sample).toArrow()
     x = np.array(rows.column("x").to_pylist(), float).reshape(rows.num_rows, len(FEATURES))
     return fit(x, rows.column("quality").to_numpy())
 
 
 def classify(docs: DataFrame, model: GamModel, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted of each document; null and empty texts are scored by their (zero) counts."""
+    """doc_id, held_out, score, predicted of each row of docs; null and empty texts are scored by their (zero) counts, and rows that repeat an id one by one."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -322,3 +322,22 @@ def test_pipeline_rows_that_repeat(spark):
     assert kept(rows * 2) == kept(rows)
     assert kept([(1, a), (1 << 62, a), (1 << 62, c)]) == Counter([(1, a), (1 << 62, c)])
     assert kept([]) == Counter()
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Null, empty, very long and repeated texts, missing ids and an empty table through all stages."""
+    import corpus_pipeline
+    from lifemart.llm.common import materialise
+
+    fields = "doc_id long, text string, lang string, source string, n_chars long"
+    long = " ".join(f"w{i % 977} and{i % 89}," for i in range(60_000))
+    rows = [(1, None), (None, "b"), (2, "x y z"), (2, "x y z"), (2, "other words of this id stay here"), (3, ""), (7, long), (8, long), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], fields)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")  # nothing to learn: all stay
+    for table, kept in ((docs, 7), (docs.limit(0), 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            assert name == "quality" or table.columns == docs.columns
+            table = materialise(stage(spark, table, str(tmp_path)), name)
+            if name == "near_duplicates":
+                assert table.count() == kept and table.where("doc_id = 8").isEmpty()
+        assert (table.select("doc_id", "piece").count() >= kept) and table.where("offset < 0 or length < 1").isEmpty()

@@ -131,3 +131,43 @@ def test_token_counts(spark):
     rows = {r["doc_id"]: r for r in tokencount.token_counts(spark.createDataFrame(ROWS, "doc_id long, text string"), PATH).collect()}
     assert (rows[1]["n_words"], rows[1]["n_tokens"]) == (0, 0)
     assert rows[5]["n_tokens"] >= 4000 // 128
+
+
+def greedy(word: bytes, known: set, longest: int) -> int:
+    """How many pieces, taking the longest first; 0 where there is none."""
+    at = total = 0
+    while at < len(word):
+        end = next((e for e in range(min(len(word), at + longest), at, -1) if word[at:e] in known), None)
+        if end is None:
+            return 0
+        at, total = end, total + 1
+    return total
+
+
+def test_token_counts_of_documents(spark):
+    """The query's counts over whole texts, against greedy matching with the real vocabulary."""
+    import regex
+
+    from lifemart.llm import queries
+    from lifemart.llm.merges import SPLIT
+
+    folder = "/root/testdata/sf0.001"
+    known, split = set(tokencount.byte_pieces(open(PATH, encoding="utf-8").read())), regex.compile(SPLIT)
+    longest, found = max(map(len, known)), {r["doc_id"]: r for r in queries.op10_token_counts(spark, folder).collect()}
+    rows = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    assert len(rows) == len(found)
+    for r in rows:
+        words = split.findall(r["text"] or "")
+        counts = [greedy(w.encode(), known, longest) for w in words]
+        got = found[r["doc_id"]]
+        assert (got["n_words"], got["n_unknown"], got["n_tokens"]) == (len(words), counts.count(0), sum(counts) + counts.count(0))
+
+
+def test_empty_tables_and_other_columns(spark, library):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert encoding.encode_decode(none, PATH).count() == packing.pack(none, PATH).count() == tokencount.token_counts(none, PATH).count() == 0
+    odd = spark.createDataFrame([(i, t, 5, "x", [1]) for i, t in ROWS], "doc_id int, text string, n_tokens int, block string, ids array<int>")
+    want = sorted(len(library.encode(t or "", add_special_tokens=False).ids) for _, t in ROWS)
+    assert sorted(r["n_tokens"] for r in encoding.encode_decode(odd, PATH).collect()) == want
+    packed = packing.pack(odd, PATH).collect()
+    assert sum(r["length"] for r in packed) == sum(want) + len(ROWS) and {r["doc_id"] for r in packed} == {i for i, _ in ROWS}

@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Quantiles are right to one rank in so many of the rows.
+ACCURACY = 1_000_000
+
 
 def assembled(df: DataFrame, numeric: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="skip").transform(df)
@@ -69,6 +77,68 @@ def holt(df: DataFrame, key: str, time: str, value: str, horizon: int) -> DataFr
     return df.groupBy(key).applyInPandas(fit, f"{key} {df.schema[key].dataType.simpleString()}, h long, forecast double, low double, high double")
 
 
+def choose_mixture(rows: DataFrame, ks, least: float = 30.0, seed: int = 7):
+    """(k, mixture) of the smallest BIC among those whose every component has the support of so many rows; the least k where none has."""
+    n, d, found = rows.count(), rows.schema["features"].metadata.get("ml_attr", {}).get("num_attrs", 2), []
+    for k in ks:
+        fit = GaussianMixture(k=k, seed=seed, featuresCol="features", predictionCol="component", probabilityCol="posterior").fit(rows)
+        support = fit.transform(rows).select(F.posexplode(vector_to_array("posterior")).alias("c", "p")).groupBy("c").agg(F.sum("p").alias("s")).agg(F.min("s")).first()[0] or 0.0
+        parameters = k - 1 + k * d + k * d * (d + 1) // 2
+        found.append((support < least, -2 * fit.summary.logLikelihood + parameters * math.log(max(n, 1)), k, fit))
+    return min(found, key=lambda x: x[:3])[2:] if any(not x[0] for x in found) else found[0][2:]
+
+
+def analogue(mixture, train: DataFrame, test: DataFrame, label: str, prior: float = 5.0) -> DataFrame:
+    """test with prediction: the components' mean labels, shrunk towards that of all by prior rows, weighted by the row's posterior."""
+    mean = train.agg(F.avg(label)).first()[0] or 0.0
+    parts = mixture.transform(train).select(label, F.posexplode(vector_to_array("posterior")).alias("c", "p")).groupBy("c").agg(((F.sum(F.col("p") * F.col(label)) + prior * mean) / (F.sum("p") + prior)).alias("rate"))
+    rates = [r["rate"] for r in parts.orderBy("c").collect()]  # one for each component
+    posterior = vector_to_array("posterior")
+    return mixture.transform(test).withColumn("prediction", sum((posterior[i] * r for i, r in enumerate(rates)), F.lit(0.0)))
+
+
+def binary_metrics(scored: DataFrame, tie: str, top: int = 100) -> DataFrame:
+    """n, roc_auc, pr_auc, brier, ece, precision_top of scored (p, label): one row. The areas come from ten thousand bins of the chance."""
+    raw = scored.withColumn("rawPrediction", F.col("p"))
+    area = lambda m: F.lit(float(BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName=m, numBins=10_000).evaluate(raw)))
+    bins = scored.groupBy(F.floor(F.col("p") * 10).alias("bin")).agg(F.count("*").alias("n"), F.sum("p").alias("p"), F.sum("label").alias("y"), F.sum((F.col("p") - F.col("label")) ** 2).alias("e"))
+    first = scored.orderBy(F.desc("p"), tie).limit(top).agg(F.avg("label").alias("precision_top"))
+    return bins.agg(F.sum("n").alias("n"), (F.sum("e") / F.sum("n")).alias("brier"), (F.sum(F.abs(F.col("p") - F.col("y"))) / F.sum("n")).alias("ece")).withColumns({"roc_auc": area("areaUnderROC"), "pr_auc": area("areaUnderPR")}).crossJoin(first)
+
+
+def auto_baseline(df: DataFrame, target: str, time: str, cut: str, classes: int = 10) -> DataFrame:
+    """metric, value of boosted trees fitted on rows before cut. Columns that look like ids (nearly all values differ) and dates are
+    left out; strings are indexed; a target of few values is a class, else a number."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields if f.name not in (target, time)}
+    usable = {c: k for c, k in kinds.items() if k in ("string", "int", "bigint", "double", "float", "boolean")}
+    seen = df.agg(F.count("*").alias("n"), *(F.approx_count_distinct(c, 0.02).alias(c) for c in [*usable, target])).first()
+    used = {c: k for c, k in usable.items() if seen[c] < 0.9 * max(seen["n"], 1) or k == "double"}
+    text = [c for c, k in used.items() if k == "string"]
+    numbers = [c for c in used if c not in text]
+    stages = [StringIndexer(inputCols=text, outputCols=[f"{c}_i" for c in text], handleInvalid="keep")] if text else []
+    stages.append(VectorAssembler(inputCols=[*numbers, *(f"{c}_i" for c in text)], outputCol="features", handleInvalid="keep"))
+    rows = df.withColumn("label", F.col(target).cast("double")).where(F.col("label").isNotNull())
+    train, test = rows.where(F.col(time) < cut), rows.where(F.col(time) >= cut)
+    if seen[target] <= classes:
+        out = Pipeline(stages=[*stages, GBTClassifier(maxIter=5, maxDepth=3, seed=7)]).fit(train).transform(test)
+        values = out.agg(F.count("*").cast("double").alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("int")).alias("accuracy"), F.avg("label").alias("base_rate"))
+    else:
+        out = Pipeline(stages=[*stages, GBTRegressor(maxIter=5, maxDepth=3, seed=7)]).fit(train).transform(test)
+        e = F.col("prediction") - F.col("label")
+        values = out.agg(F.count("*").cast("double").alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), (1 - F.avg(e * e) / F.var_pop("label")).alias("r2"))
+    return values.select(F.inline(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in values.columns))))
+
+
+def robust_scores(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with score: the largest robust z (0.6745 |x - median| / median deviation) of the columns."""
+    middle = df.agg(*(F.percentile_approx(c, 0.5, ACCURACY).alias(f"_m{i}") for i, c in enumerate(columns)))
+    with_middle = df.crossJoin(F.broadcast(middle))
+    spread = with_middle.agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"_m{i}")), 0.5, ACCURACY).alias(f"_d{i}") for i, c in enumerate(columns)))
+    scores = [F.abs(F.col(c) - F.col(f"_m{i}")) / F.nullif(F.col(f"_d{i}"), F.lit(0.0)) for i, c in enumerate(columns)]
+    largest = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return with_middle.crossJoin(F.broadcast(spread)).withColumn("score", 0.6745 * largest).select(*df.columns, "score")
+
+
 def lift_by_decile(scored: DataFrame, score: str, label: str, tie: str, by: str) -> DataFrame:
     decile = F.ntile(10).over(Window.partitionBy(by).orderBy(F.desc(score), tie))
     return scored.withColumn("decile", decile).groupBy("decile").agg(F.count("*").alias("n"), F.avg(F.col(label).cast("double")).alias("rate"))

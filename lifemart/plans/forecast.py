@@ -212,6 +212,24 @@ def fc17(t: Tables) -> DataFrame:
     return pairs(t).groupBy(part.alias("part"), "model").agg(F.count("actual").alias("n"), F.round(F.avg("err"), 6).alias("mae"))
 
 
+@query("fc17_origin_models", f"WITH {CELLS}, q AS (SELECT * FROM pairs WHERE model='mean3' AND actual IS NOT NULL), m AS (SELECT h, target, count(*)::DOUBLE AS n, sum(prediction) AS sx, sum(actual)::DOUBLE AS sy, sum(prediction*prediction) AS sxx, sum(prediction*actual) AS sxy FROM q GROUP BY 1,2), c AS (SELECT h, target AS origin, sum(n) OVER w AS n, sum(sx) OVER w AS sx, sum(sy) OVER w AS sy, sum(sxx) OVER w AS sxx, sum(sxy) OVER w AS sxy FROM m WINDOW w AS (PARTITION BY h ORDER BY target)), f AS (SELECT h, origin, (n*sxy-sx*sy)/nullif(n*sxx-sx*sx,0) AS b, sx/n AS mx, sy/n AS my FROM c WHERE n>=30) SELECT CASE WHEN target<DATE '1999-01-01' THEN 'TRAIN' WHEN target<DATE '2000-01-01' THEN 'VALIDATION' WHEN target<DATE '2000-04-01' THEN 'EMBARGO' ELSE 'TEST' END AS part, h, count(*) AS n, round(avg(abs(my+b*(prediction-mx)-actual)),4) AS mae FROM q JOIN f USING (h, origin) GROUP BY 1,2")
+def fc17_origins(t: Tables) -> DataFrame:
+    """For each origin a pooled line from the mean of three months to what came, fitted on outcomes known by then: running sums over
+    one row a month give all origins' models at once."""
+    q = pairs(t).where("model = 'mean3' and actual is not null")
+    x, y = F.col("prediction"), F.col("actual")
+    sums = {"n": F.count("*").cast("double"), "sx": F.sum(x), "sy": F.sum(y).cast("double"), "sxx": F.sum(x * x), "sxy": F.sum(x * y)}
+    monthly = q.groupBy("h", "target").agg(*(v.alias(k) for k, v in sums.items()))
+    w = Window.partitionBy("h").orderBy("target").rowsBetween(Window.unboundedPreceding, 0)
+    known = monthly.select("h", F.col("target").alias("origin"), *(F.sum(k).over(w).alias(k) for k in sums)).where("n >= 30")
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    slope = (n * F.col("sxy") - sx * sy) / F.nullif(n * F.col("sxx") - sx * sx, F.lit(0.0))
+    fits = known.select("h", "origin", slope.alias("b"), (sx / n).alias("mx"), (sy / n).alias("my"))
+    d = F.col("target")
+    part = first_of((d < "1999-01-01", "TRAIN"), (d < "2000-01-01", "VALIDATION"), (d < "2000-04-01", "EMBARGO"), otherwise="TEST")
+    return q.join(fits, ["h", "origin"]).groupBy(part.alias("part"), "h").agg(F.count("*").alias("n"), F.round(F.avg(F.abs(F.col("my") + F.col("b") * (x - F.col("mx")) - y)), 4).alias("mae"))
+
+
 @query("fc18_empirical_intervals", f"WITH {CELLS}, e AS (SELECT project, model, h, quantile_disc(err, 0.8) AS q, count(err) AS support FROM pairs WHERE target<DATE '2000-01-01' AND actual IS NOT NULL GROUP BY 1,2,3) SELECT c.project, c.origin, c.model, c.h, round(greatest(c.prediction-q,0),6) AS low, round(c.prediction+q,6) AS high FROM cells c JOIN e USING (project, model, h) WHERE c.origin>=DATE '2001-01-01' AND support>=10")
 def fc18(t: Tables) -> DataFrame:
     """The discrete quantile: the first error with at least 80 % at or below it."""

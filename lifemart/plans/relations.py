@@ -365,10 +365,10 @@ def ag24(t: Tables) -> DataFrame:
 
 @query("ag25_table_inventory", "SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL) AS null_keys, (SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_partkey)>1)) AS multi_unit, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*)>1)) AS duplicate_keys")
 def ag25(t: Tables) -> DataFrame:
-    a = t.lineitem.agg(F.count("*").alias("n"), F.count_if(F.col("l_orderkey").isNull()).alias("null_keys"))
-    b = t.lineitem.groupBy("l_orderkey").agg(F.count_distinct("l_partkey").alias("parts")).agg(F.count_if(F.col("parts") > 1).alias("multi_unit"))
-    c = t.lineitem.groupBy("l_orderkey", "l_linenumber").count().agg(F.count_if(F.col("count") > 1).alias("duplicate_keys"))
-    return a.crossJoin(b).crossJoin(c)
+    """One scan: by order and line, then by order, then all."""
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"), F.min("l_partkey").alias("lo"), F.max("l_partkey").alias("hi"))
+    orders = lines.groupBy("l_orderkey").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count_if(F.col("n") > 1).alias("twice"))
+    return orders.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(F.col("l_orderkey").isNull(), F.col("n")).otherwise(0)), F.lit(0)).alias("null_keys"), F.count_if(F.col("lo") < F.col("hi")).alias("multi_unit"), F.coalesce(F.sum("twice"), F.lit(0)).alias("duplicate_keys"))
 
 
 KEYS = (("l_orderkey",), ("l_orderkey", "l_linenumber"), ("l_partkey", "l_suppkey"))
@@ -393,7 +393,9 @@ def ag27(t: Tables) -> DataFrame:
 def ag28(t: Tables) -> DataFrame:
     h = F.expr("timestampdiff(HOUR, o_orderdate, l_shipdate)")
     p = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(h.alias("h"))
-    return p.agg(F.count_if(F.col("h") == 0).alias("equal"), F.count_if(F.col("h") < 0).alias("before"), F.count_if(F.col("h") > 0).alias("after"), F.round(F.percentile("h", 0.5), 4).alias("median"), F.round(F.percentile("h", 0.9), 4).alias("p90"))
+    g = p.where("h is not null").groupBy("h").agg(F.count("*").alias("n"))  # one row a number of hours
+    n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n")).otherwise(0)), F.lit(0))
+    return g.agg(n(F.col("h") == 0).alias("equal"), n(F.col("h") < 0).alias("before"), n(F.col("h") > 0).alias("after"), F.round(F.percentile("h", 0.5, F.col("n")), 4).alias("median"), F.round(F.percentile("h", 0.9, F.col("n")), 4).alias("p90"))
 
 
 @query("ag29_linkage_coverage", "WITH u AS (SELECT DISTINCT user_id FROM events), c AS (SELECT DISTINCT c_custkey FROM customer), f AS (SELECT c_custkey%1000 AS k, count(*) AS n FROM customer GROUP BY 1) SELECT count(*) AS ids, count(c_custkey) AS direct, count(*) FILTER (c_custkey IS NULL AND n=1) AS fallback, count(*) FILTER (c_custkey IS NULL AND n>1) AS ambiguous, round(count(c_custkey)/CAST(count(*) AS DOUBLE),6) AS coverage FROM u LEFT JOIN c ON user_id=c_custkey LEFT JOIN f ON user_id%1000=k")

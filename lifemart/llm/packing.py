@@ -126,17 +126,18 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2
     """The pieces with sequence_id and offset: no sequence is longer than capacity, and places are gapless from 0.
 
     Documents longer than capacity are cut so that the first piece is the short one. A null or empty text is the
-    end id alone. Repeated rows are packed one by one. Whole pieces of one length, a hot one too, are ranked in
-    hash parts, as many as a part of the most frequent length has rows (the root of its count), so neither the parts nor
-    the sums over them grow large; only the counts of lengths (capacity rows) go to the driver.
+    end id alone. Repeated rows are packed one by one, and an empty table gives an empty result. Pieces of one length, a
+    hot one too, are ranked in parts by the hash of a row number (so rows that repeat an id are spread as well), as many as a
+    part of the most frequent length has rows (the root of its count): neither the parts nor the sums over them grow
+    large. Only the counts of lengths (capacity rows) go to the driver.
     """
-    cut = materialise(pieces(docs, vocabulary, capacity, end_id, ids), "pieces")
+    cut = materialise(pieces(docs, vocabulary, capacity, end_id, ids).withColumn("row", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     parts = math.isqrt(max(counts.values(), default=0)) + 1
-    salted = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
+    salted = cut.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = salted.groupBy("length", "part").agg(F.count("*").alias("n")).select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
-    own = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "part").orderBy("row")
     ranked = salted.withColumn("rank", F.row_number().over(own)).join(ahead, ["length", "part"]).withColumn("rank", F.col("rank") - 1 + F.col("ahead")).drop("part", "ahead")
     rows = np.array(plan(counts, capacity), np.int64).reshape(-1, 4)
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]

@@ -32,7 +32,7 @@ from .words import CHUNK, folded, words_of
 
 WIDTH, SHARE = 5, 80
 SMALL, STEP, FILL = 20, 1.25, 2
-BUCKET_ENTRIES, BLOCK, BUNDLE, SKETCH_BITS = 2_000_000, 2048, 10_000, 2048
+BUCKET_ENTRIES, BLOCK, BUNDLE, SKETCH_BITS = 500_000, 2048, 10_000, 2048
 #: One document of so many is looked at for frequent signatures; those of so many sets (more, where there would be over MOST_FREQUENT of them) count as such.
 RATE, FREQUENT, MOST_FREQUENT = 64, 20_000, 1_000_000
 _FACTORS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)

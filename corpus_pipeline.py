@@ -18,7 +18,10 @@ ROW = "_row"
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality model, learned from the labelled ones among docs, doesn't reject."""
+    """Rows that the quality model, learned from the labelled ones among docs, doesn't reject; rows of one id are judged by their own texts.
+
+    Null and empty texts are scored by their counts; without labels nothing is rejected.
+    """
     return quality.keep_good(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -52,12 +55,12 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that occur in an earlier document."""
+    """Texts without passages that occur in an earlier document; a null text stays null, and a text that is left empty stays as a row."""
     return passages.remove_repeats(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Token sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Each row of docs, an empty one too, is packed."""
     return packing.pack(docs, BYTE_BPE)
 
 

@@ -38,11 +38,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+def materialise(df: DataFrame, label: str = "table", compression: str = "snappy") -> DataFrame:
     """df as a written table: cuts lineage, is computed once and outlives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

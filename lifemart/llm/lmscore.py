@@ -199,7 +199,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, parts: int = 7) -> DataFram
     training texts every symbol has the same probability and base_score is 0.
     """
     docs = documents(docs).withColumn("held_out", held_out(parts=parts))
-    made = materialise(_packets(docs, order), "packets")
+    made = materialise(_packets(docs, order), "packets", "zstd")  # sorted keys
     rows = made.where("texts is null").select("packet", "key", "n")
     summed = materialise(rows.groupBy("key").agg(F.sum("n").alias("n")), "sums")
     words, grams = summed.where("key < 0 and n > 0"), summed.where("key >= 0")

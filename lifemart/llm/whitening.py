@@ -9,6 +9,8 @@ large ones are put together on the driver as Python integers, and only the finis
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,6 +77,32 @@ def covariances(fit: DataFrame, length: int) -> tuple[int, list[int], list[list[
     return n, total, cross
 
 
+def _rounded(top: int, bottom: int) -> np.longdouble:
+    """top / bottom as two doubles' sum: more digits than one holds, where the machine has them."""
+    exact = Fraction(top, bottom)
+    high = float(exact)
+    return np.longdouble(high) + np.longdouble(float(exact - Fraction(high)))
+
+
+def principal_axes(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues of v, falling, and unit eigenvectors as columns; small ones keep their digits beside large ones.
+
+    eigh is right to a share of the largest eigenvalue. So what it finds within a ten-thousandth of that is kept, and the rest is
+    v on the remaining axes, multiplied out with more digits, for eigh again.
+    """
+    q, low = np.eye(len(v), dtype=np.longdouble), 0
+    while low < len(v):
+        values, turn = np.linalg.eigh((q[:, low:].T @ v @ q[:, low:]).astype(float))
+        q[:, low:] = q[:, low:] @ turn[:, ::-1]
+        again, turn = np.linalg.eigh((q[:, low:].T @ v @ q[:, low:]).astype(float))
+        q[:, low:] = q[:, low:] @ turn[:, ::-1]
+        low += max(1, int((again > again[-1] * 1e-4).sum()))
+    values = np.einsum("ij,ik,kj->j", q, v, q)
+    order = np.argsort(-values, kind="stable")
+    q = q[:, order] / np.sqrt((q[:, order] ** 2).sum(0))
+    return values[order].astype(float), q.astype(float)
+
+
 def _project(pivot: np.ndarray, rest: np.ndarray, axes: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (x - pivot - rest) @ axes
 
@@ -129,7 +157,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     """SCHEMA: of each row of vectors (vec_id, embedding) and each of the first components, its whitened value.
 
     Vectors that are null or hold null or non-finite entries give no rows. The fit takes each distinct vector once, the result
-    every row, repeated rows and rows without an id too. Components of no variance (eigenvalues of zero, to double precision)
+    every row, repeated rows and rows without an id too. Components of no variance (eigenvalues of zero, to the machine's precision)
     are left out, so one vector, or copies of one, give no rows, and nor do empty vectors. Vectors of different lengths are
     whitened apart, each length by its own fit. A deviation of more than 38 digits is an error.
     """
@@ -140,9 +168,8 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
             return empty
         fit = materialise(rows.select("x").distinct(), "distinct")
         n, total, cross = covariances(fit, length)
-        values, axes = np.linalg.eigh(np.array([[c / n**3 for c in row] for row in cross]))
-        values, axes = values[::-1], axes[:, ::-1]
-        k = min(components, int((values > values[0] * length * np.finfo(float).eps).sum()))
+        values, axes = principal_axes(np.array([[_rounded(c, n**3) for c in row] for row in cross], np.longdouble))
+        k = min(components, int((values > values[0] * 8 * length * np.finfo(np.longdouble).eps).sum()))
         if not k:
             return empty
         spread = sum(cross[a][a] for a in range(length)) / n**3

@@ -84,14 +84,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class IdFilter:
-    """Tells most ids that are not in a table; never misses one that is. Eight bits an id, MOST_BITS in all at most."""
+    """Tells nearly all ids that are not in a table; never misses one that is. BITS an id or more, down to eight where MOST_BITS in all are reached."""
 
-    MOST_BITS = 1 << 27
+    BITS, MOST_BITS = 64, 1 << 27
 
     def __init__(self, ids: DataFrame):
         """ids: one column of longs, each once."""
         name, spark = ids.columns[0], ids.sparkSession
-        self.bits = bits = min(self.MOST_BITS, 1 << max(10, (8 * ids.count()).bit_length()))
+        self.bits = bits = min(self.MOST_BITS, 1 << max(16, (self.BITS * ids.count()).bit_length()))
 
         def places(batches):
             for batch in batches:

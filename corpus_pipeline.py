@@ -15,6 +15,8 @@ from lifemart.llm.queries import BYTE_BPE, table
 
 #: Names a row where ids may repeat or be missing.
 ROW = "_row"
+#: Numbers of rows (8 bytes each) that every executor may hold; beyond that they are joined by a shuffle.
+MOST_HELD = 2_000_000
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +53,8 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     worded = own.join(found.where("_n > 0"), ROW).groupBy("_group").agg(F.min("_rank").alias("_rank")).select(F.col(f"_rank.{ROW}"))
     wordless = rows.join(found.where("_n = 0"), ROW, "left_semi").groupBy("doc_id", F.coalesce("text", F.lit(""))).agg(F.min(ROW).alias(ROW)).select(ROW)
     later = materialise(found.select(ROW).join(worded.unionByName(wordless), ROW, "left_anti").distinct(), "later")
-    return rows.join(later, ROW, "left_anti").select(docs.columns)
+    held = F.broadcast(later) if later.count() <= MOST_HELD else later  # else whole texts would be shuffled for them
+    return rows.join(held, ROW, "left_anti").select(docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ACCENTS = ("ÁÉÍÓÚÜÑ", "AEIOUUN")
+
+
+def _plain(letter: str) -> str:
+    """The letter without its marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c)).upper()
+
+
+#: Letters of Latin scripts that are a plain letter with marks, and those plain letters.
+ACCENTS = tuple(map("".join, zip(*((c, _plain(c)) for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if len(_plain(c)) == 1 and _plain(c).isascii()), strict=True)))
 
 
 def business_date(text: Column) -> Column:
@@ -36,8 +46,8 @@ def normalize(text: Column) -> Column:
 
 
 def fold(text: Column) -> Column:
-    """Upper case without the accents of Spanish."""
-    return F.translate(F.upper(text), *ACCENTS)
+    """Upper case without accents: precomposed letters lose their marks, and marks of their own go."""
+    return F.regexp_replace(F.translate(F.upper(text), *ACCENTS), r"\p{M}+", "")
 
 
 def canonical_name(text: Column) -> Column:

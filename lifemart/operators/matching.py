@@ -13,11 +13,22 @@ from ..functions import text
 from ..functions.rules import first_of
 
 STATUSES = ("NO MATCH", "REVISAR", "PROBABLE", "CONFIRMADO")
+#: Texts that say nothing.
+EMPTY = ("", "-", "none", "null", "nan", "n/a")
+#: Pairs of a block that one task makes; a block of more is dealt to several.
+PAIRS = 1_000_000
 
 
 def normal_email(email: Column) -> Column:
-    low = F.lower(F.trim(email))
-    return F.when(low.contains("@"), low)
+    """Lower case without blanks, if it has one @ with something before it and a dot after it."""
+    low = F.replace(F.lower(email), F.lit(" "), F.lit(""))
+    return F.when(low.rlike(r"^[^@]+@[^@]*\.[^@]*$"), low)
+
+
+def normal_source(document: Column) -> Column:
+    """The key that a source gives a person: lower case without blanks and without a number's .0; made-up keys stay keys."""
+    low = F.lower(F.trim(document))
+    return F.when(~low.isin(*EMPTY), F.regexp_replace(F.regexp_replace(low, r"^(\d+)\.0$", "$1"), r"\s+", ""))
 
 
 def normal_phone(phone: Column) -> Column:
@@ -27,24 +38,44 @@ def normal_phone(phone: Column) -> Column:
 
 
 def identity(df: DataFrame, key: str, document: Column, name: Column, phone: Column, email: Column, *more: Column) -> DataFrame:
-    """key, document, name, canonical, phone, email in normal form, and the columns in more."""
-    return df.select(key, text.document8(document).alias("document"), text.normalize(text.fold(name)).alias("name"), text.canonical_name(name).alias("canonical"), normal_phone(phone).alias("phone"), normal_email(email).alias("email"), *more)
+    """key, document (of eight digits), source (as the source writes it), name, canonical, phone, email in normal form, and the columns in more."""
+    return df.select(key, text.document8(document).alias("document"), normal_source(document).alias("source"), text.normalize(text.fold(name)).alias("name"), text.canonical_name(name).alias("canonical"), normal_phone(phone).alias("phone"), normal_email(email).alias("email"), *more)
 
 
 def block_keys() -> Column:
-    """What two records of one person may share: document, email, its first letters and domain, phone, its last six digits, and each of the three longest words of the name."""
+    """What two records of one person may share: document, source key, email, its first letters and domain, phone, its last six digits, and each of the three longest words of the name."""
     local, domain = F.substring_index("email", "@", 1), F.substring_index("email", "@", -1)
     words = F.filter(F.split("canonical", " "), lambda w: F.length(w) >= 4)
     longest = F.transform(F.slice(F.array_sort(F.transform(words, lambda w, i: F.struct((-F.length(w)).alias("n"), i.alias("i"), w.alias("w")))), 1, 3), lambda x: F.concat(F.lit("N:"), x["w"]))
-    keys = [F.concat(F.lit(kind + ":"), value) for kind, value in (("D", F.col("document")), ("E", F.col("email")), ("P", F.concat(F.substring(local, 1, 3), F.lit("@"), domain)), ("T", F.col("phone")), ("S", F.when(F.length("phone") >= 6, F.right("phone", F.lit(6)))))]
+    keys = [F.concat(F.lit(kind + ":"), value) for kind, value in (("D", F.col("document")), ("I", F.col("source")), ("E", F.col("email")), ("P", F.concat(F.substring(local, 1, 3), F.lit("@"), domain)), ("T", F.col("phone")), ("S", F.when(F.length("phone") >= 6, F.right("phone", F.lit(6)))))]
     return F.array_distinct(F.concat(F.array_compact(F.array(*keys)), F.coalesce(longest, F.array().cast("array<string>"))))
 
 
-def candidates(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """left_key, right_key of every pair that shares a block key, once. A frequent key is one large join key, which AQE splits; no block is cut."""
-    a = left.select(left_key, F.explode(block_keys()).alias("block"))
-    b = right.select(right_key, F.explode(block_keys()).alias("block"))
-    return a.join(b, "block").select(left_key, right_key).distinct()
+def _keyed(df: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
+    """key, keys of each record that shares a block: its shared blocks with their pairs, rarest first."""
+    blocks = df.select(key, F.explode(block_keys()).alias("block")).join(sizes, "block")
+    return blocks.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("pairs", "block", "parts", "left_larger"))).alias("keys"))  # as many as kinds of keys and words
+
+
+def candidates(left: DataFrame, right: DataFrame, left_key: str, right_key: str, pairs_of_task: int = PAIRS) -> DataFrame:
+    """left_key, right_key of every pair that shares a block key, once. Keys should be each record's own.
+
+    A pair is made in the rarest block that both records have, which each task sees from the blocks that come with the records, so no pair is
+    made twice and pairs are never shuffled. A block of more than pairs_of_task pairs is dealt: the larger side's records go to one part each, the
+    smaller side's to every part. No block is cut.
+    """
+    n = lambda df, name: df.select(F.explode(block_keys()).alias("block")).groupBy("block").agg(F.count("*").alias(name))
+    sizes = n(left, "a").join(n(right, "b"), "block").select("block", (F.col("a") * F.col("b")).alias("pairs"), F.least(F.greatest("a", "b"), F.ceil(F.col("a") * F.col("b") / pairs_of_task)).cast("int").alias("parts"), (F.col("a") >= F.col("b")).alias("left_larger"))
+
+    def dealt(df: DataFrame, key: str, name: str, larger: Column) -> DataFrame:
+        rows = _keyed(df, key, sizes).select(key, F.col("keys").alias(name), F.explode("keys").alias("own"))
+        own = F.pmod(F.xxhash64(key), F.col("own.parts")).cast("int")
+        places = F.when(larger, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("own.parts") - 1))
+        return rows.select(key, name, F.col("own.block").alias("block"), F.explode(places).alias("part"))
+
+    a, b = dealt(left, left_key, "left_keys", F.col("own.left_larger")), dealt(right, right_key, "right_keys", ~F.col("own.left_larger"))
+    rarest = F.array_intersect("left_keys", "right_keys")[0]["block"]
+    return a.join(b, ["block", "part"]).where(rarest == F.col("block")).select(left_key, right_key)
 
 
 def block_report(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -173,9 +173,9 @@ def dp24(t: Tables) -> DataFrame:
     return s.withColumn("prior", prior).where(~F.col("prior").eqNullSafe(F.col("stage"))).select("unit", F.col("d").alias("valid_from"), "stage", "prior")
 
 
-@query("dp25_weekly_demand_panel", f"WITH {LEADS}, {PE}, w AS (SELECT CAST(date_trunc('week', d) AS DATE) AS week, 'LEAD' AS source FROM leads WHERE d>=DATE '2001-01-01' UNION ALL SELECT CAST(date_trunc('week', d) AS DATE), 'EVENTO' FROM pe) SELECT week, count(*) FILTER (source='LEAD') AS leads, CASE WHEN week>=DATE '2024-01-01' THEN count(*) FILTER (source='EVENTO') END AS events FROM w GROUP BY 1")
+@query("dp25_weekly_demand_panel", f"WITH {LEADS}, {PE}, w AS (SELECT CAST(date_trunc('week', d) AS DATE) AS week, 'LEAD' AS source FROM leads UNION ALL SELECT CAST(date_trunc('week', d) AS DATE), 'EVENTO' FROM pe) SELECT week, count(*) FILTER (source='LEAD') AS leads, CASE WHEN week>=DATE '2024-01-01' THEN count(*) FILTER (source='EVENTO') END AS events FROM w GROUP BY 1")
 def dp25(t: Tables) -> DataFrame:
-    a = leads(t).where("d >= '2001-01-01'").select(F.trunc("d", "week").alias("week"), F.lit("LEAD").alias("source"))
+    a = leads(t).select(F.trunc("d", "week").alias("week"), F.lit("LEAD").alias("source"))
     b = process_events(t).select(F.trunc("d", "week").alias("week"), F.lit("EVENTO").alias("source"))
     n = lambda s: F.count(F.when(F.col("source") == s, 1))
     return a.unionByName(b).groupBy("week").agg(n("LEAD").alias("leads"), F.when(F.col("week") >= "2024-01-01", n("EVENTO")).alias("events"))

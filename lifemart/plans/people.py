@@ -12,9 +12,9 @@ from ..registry import Tables, query
 from ..session import ship_code
 
 PEOPLE = """p AS (SELECT c_custkey AS k, c_mktsegment AS channel, translate(md5(CAST(c_custkey AS VARCHAR)),'0123456789abcdef','BCDFGHJKLMNPQRST') AS t FROM customer),
-lead AS (SELECT k AS lead, CASE WHEN k%3=0 THEN lpad(CAST(k*7919%100000000 AS VARCHAR),8,'0') END AS document, CASE WHEN k%4<3 THEN t[1:6]||' '||t[7:11]||' '||t[12:18] END AS name, CASE WHEN k%5<3 THEN '9'||lpad(CAST(k*104729%100000000 AS VARCHAR),8,'0') END AS phone, CASE WHEN k%2=0 THEN lower(t[1:6])||k||'@mail'||(k%7)||'.pe' END AS email FROM p),
-buyer AS (SELECT k AS buyer, CASE WHEN k%6=0 THEN lpad(CAST(k*7919%100000000 AS VARCHAR),8,'0') END AS document, t[12:18]||' '||(CASE WHEN k%7=0 THEN t[2:6] ELSE t[1:6] END)||' '||t[7:11] AS name, CASE WHEN k%5<2 THEN '8'||lpad(CAST(k*104729%100000000 AS VARCHAR),8,'0') ELSE '9'||lpad(CAST(k*104729%100000000 AS VARCHAR),8,'0') END AS phone, lower(t[1:6])||k||(CASE WHEN k%4=0 THEN 'x' ELSE '' END)||'@mail'||(k%7)||'.pe' AS email FROM p WHERE k%3<>1)"""
-BLOCKS = """list_filter(list_distinct(list_concat(['D:'||document,'E:'||email,'P:'||split_part(email,'@',1)[1:3]||'@'||split_part(email,'@',2),'T:'||phone,'S:'||right(phone,6)], coalesce(list_transform(list_filter(string_split(name,' '), lambda w: length(w)>=4), lambda w: 'N:'||w), []))), lambda x: x IS NOT NULL)"""
+lead AS (SELECT k AS lead, CASE WHEN k%3=0 THEN lpad(CAST(k*7919%100000000 AS VARCHAR),8,'0') END AS document, CASE WHEN k%3=0 THEN lpad(CAST(k*7919%100000000 AS VARCHAR),8,'0') WHEN k%9=4 THEN 'auto-'||k END AS source, CASE WHEN k%4<3 THEN t[1:6]||' '||t[7:11]||' '||t[12:18] END AS name, CASE WHEN k%5<3 THEN '9'||lpad(CAST(k*104729%100000000 AS VARCHAR),8,'0') END AS phone, CASE WHEN k%2=0 THEN lower(t[1:6])||k||'@mail'||(k%7)||'.pe' END AS email FROM p),
+buyer AS (SELECT k AS buyer, CASE WHEN k%6=0 THEN lpad(CAST(k*7919%100000000 AS VARCHAR),8,'0') END AS document, CASE WHEN k%6=0 THEN lpad(CAST(k*7919%100000000 AS VARCHAR),8,'0') ELSE 'auto-'||k END AS source, t[12:18]||' '||(CASE WHEN k%7=0 THEN t[2:6] ELSE t[1:6] END)||' '||t[7:11] AS name, CASE WHEN k%5<2 THEN '8'||lpad(CAST(k*104729%100000000 AS VARCHAR),8,'0') ELSE '9'||lpad(CAST(k*104729%100000000 AS VARCHAR),8,'0') END AS phone, lower(t[1:6])||k||(CASE WHEN k%4=0 THEN 'x' ELSE '' END)||'@mail'||(k%7)||'.pe' AS email FROM p WHERE k%3<>1)"""
+BLOCKS = """list_filter(list_distinct(list_concat(['D:'||document,'I:'||source,'E:'||email,'P:'||split_part(email,'@',1)[1:3]||'@'||split_part(email,'@',2),'T:'||phone,'S:'||right(phone,6)], coalesce(list_transform(list_filter(string_split(name,' '), lambda w: length(w)>=4), lambda w: 'N:'||w), []))), lambda x: x IS NOT NULL)"""
 CANDIDATES = f"""{PEOPLE}, lb AS (SELECT lead, unnest({BLOCKS}) AS block FROM lead), bb AS (SELECT buyer, unnest({BLOCKS}) AS block FROM buyer), cand AS (SELECT DISTINCT lead, buyer FROM lb JOIN bb USING (block))"""
 
 
@@ -25,9 +25,9 @@ def people(t: Tables) -> tuple[DataFrame, DataFrame]:
     c = t.customer.withColumn("t", F.translate(F.md5(k.cast("string")), "0123456789abcdef", "BCDFGHJKLMNPQRST"))
     part = lambda a, b: F.substring("t", a, b - a + 1)
     document, digits, domain = F.lpad((k * 7919 % 100_000_000).cast("string"), 8, "0"), F.lpad((k * 104729 % 100_000_000).cast("string"), 8, "0"), F.concat(F.lit("@mail"), k % 7, F.lit(".pe"))
-    lead = matching.identity(c.withColumn("lead", k), "lead", F.when(k % 3 == 0, document), F.when(k % 4 < 3, F.concat_ws(" ", part(1, 6), part(7, 11), part(12, 18))), F.when(k % 5 < 3, F.concat(F.lit("9"), digits)), F.when(k % 2 == 0, F.concat(F.lower(part(1, 6)), k, domain)), F.col("c_mktsegment").alias("channel"))
+    lead = matching.identity(c.withColumn("lead", k), "lead", F.when(k % 3 == 0, document).when(k % 9 == 4, F.concat(F.lit("AUTO-"), k)), F.when(k % 4 < 3, F.concat_ws(" ", part(1, 6), part(7, 11), part(12, 18))), F.when(k % 5 < 3, F.concat(F.lit("9"), digits)), F.when(k % 2 == 0, F.concat(F.lower(part(1, 6)), k, domain)), F.col("c_mktsegment").alias("channel"))
     other = F.concat_ws(" ", part(12, 18), F.when(k % 7 == 0, part(2, 6)).otherwise(part(1, 6)), part(7, 11))
-    buyer = matching.identity(c.where("c_custkey % 3 <> 1").withColumn("buyer", k), "buyer", F.when(k % 6 == 0, document), other, F.concat(F.when(k % 5 < 2, "8").otherwise("9"), digits), F.concat(F.lower(part(1, 6)), k, F.when(k % 4 == 0, "x").otherwise(""), domain))
+    buyer = matching.identity(c.where("c_custkey % 3 <> 1").withColumn("buyer", k), "buyer", F.when(k % 6 == 0, document).otherwise(F.concat(F.lit(" auto- "), k)), other, F.concat(F.when(k % 5 < 2, "8").otherwise("9"), digits), F.concat(F.lower(part(1, 6)), k, F.when(k % 4 == 0, "x").otherwise(""), domain))
     return lead, buyer
 
 

@@ -130,18 +130,21 @@ def jn08(t: Tables) -> DataFrame:
     return rows.groupBy("project", "horizon").agg(F.count("*").alias("n"), F.count_if(hit).alias("hits"))
 
 
-@query("jn09_months_by_units", f"WITH {LEADS}, {CONV}, m AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1997-01-01', TIMESTAMP '1998-12-01', INTERVAL 1 MONTH)) AS DATE) AS month) SELECT month, project, count(*) FILTER (d<=last_day(month) AND (converted IS NULL OR converted>last_day(month))) AS open, count(*) FILTER (converted BETWEEN month AND last_day(month)) AS sold FROM leads LEFT JOIN conv USING (lead) CROSS JOIN m GROUP BY 1,2")
-def jn09(t: Tables) -> DataFrame:
-    """Counts of months by units without their product: each unit adds to a month when it opens and takes away when it closes."""
+@query("jn09_months_by_units", f"WITH {LEADS}, {CONV}, m AS (SELECT CAST(unnest(generate_series(date_trunc('month', CAST(lo AS TIMESTAMP)), date_trunc('month', CAST(hi AS TIMESTAMP)), INTERVAL 1 MONTH)) AS DATE) AS month FROM (SELECT min(d) AS lo, greatest(max(d), max(converted)) AS hi FROM leads LEFT JOIN conv USING (lead))) SELECT month, project, count(*) FILTER (d<=last_day(month) AND (converted IS NULL OR converted>last_day(month))) AS open, count(*) FILTER (converted BETWEEN month AND last_day(month)) AS sold FROM leads LEFT JOIN conv USING (lead) CROSS JOIN m GROUP BY 1,2")
+def jn09(t: Tables, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Counts of months by units without their product: each unit adds to a month when it opens and takes away when it closes.
+
+    All months from the first event to the last, or those from first to last.
+    """
     rows = leads(t).join(conversions(t), "lead", "left")
-    lo, hi = "1997-01-01", "1998-12-01"
-    months = t.spark.range(1).select(F.explode(F.expr(f"sequence(date'{lo}', date'{hi}', interval 1 month)")).alias("month"))
-    grid = rows.select("project").distinct().crossJoin(F.broadcast(months))
+    ends = rows.agg(month_of(F.min("d")).alias("lo"), month_of(F.greatest(F.max("d"), F.max("converted"))).alias("hi"))
+    months = ends.where("lo is not null").select(F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month"))
+    grid = rows.select("project").distinct().crossJoin(F.broadcast(months))  # a row for each month
     opened = rows.where(F.col("converted").isNull() | (month_of(F.col("converted")) > month_of(F.col("d")))).select("project", month_of(F.col("d")).alias("month"), F.lit(1).alias("delta"), F.lit(0).alias("sold"))
     closed = rows.where("converted is not null").select("project", month_of(F.col("converted")).alias("month"), F.when(month_of(F.col("converted")) > month_of(F.col("d")), -1).otherwise(0).alias("delta"), F.lit(1).alias("sold"))
     moves = opened.unionByName(closed).groupBy("project", "month").agg(F.sum("delta").alias("delta"), F.sum("sold").alias("sold"))
     every = moves.unionByName(grid.select("project", "month", F.lit(0).alias("delta"), F.lit(0).alias("sold"))).groupBy("project", "month").agg(F.sum("delta").alias("delta"), F.sum("sold").alias("sold"))
-    return every.withColumn("open", F.sum("delta").over(running(["project"], "month"))).where(F.col("month").between(lo, hi)).select("month", "project", "open", "sold")
+    return every.withColumn("open", F.sum("delta").over(running(["project"], "month"))).where((F.col("month") >= first if first else F.lit(True)) & (F.col("month") <= last if last else F.lit(True))).select("month", "project", "open", "sold")
 
 
 @query("jn10_projects_by_scenarios", "SELECT c_custkey AS client, code, round(c_acctbal*(1+uplift),6) AS v FROM customer CROSS JOIN (VALUES ('BASE',0.0::DOUBLE),('UP5',0.05::DOUBLE),('UP10',0.1::DOUBLE)) s(code, uplift)")
@@ -184,10 +187,10 @@ def jn15(t: Tables) -> DataFrame:
     return a.join(b, F.col("segment").eqNullSafe(F.col("s"))).select("segment", "n", "v")
 
 
-@query("jn16_multi_key_identity", "WITH src AS (SELECT DISTINCT user_id AS id, 'D'||(user_id%97) AS doc FROM events), cl AS (SELECT c_custkey AS id, 'D'||(c_custkey%97) AS doc FROM customer), k AS (SELECT s.id AS source, c.id AS client, 'ID' AS how FROM src s JOIN cl c ON s.id=c.id UNION ALL SELECT s.id, c.id, 'DOC' FROM src s JOIN cl c ON s.doc=c.doc) SELECT source, count(DISTINCT client) AS candidates, count(DISTINCT how) AS evidence FROM k GROUP BY 1")
+@query("jn16_multi_key_identity", "WITH src AS (SELECT DISTINCT user_id AS id, 'D'||(user_id//3) AS doc FROM events), cl AS (SELECT c_custkey AS id, 'D'||(c_custkey//3) AS doc FROM customer), k AS (SELECT s.id AS source, c.id AS client, 'ID' AS how FROM src s JOIN cl c ON s.id=c.id UNION ALL SELECT s.id, c.id, 'DOC' FROM src s JOIN cl c ON s.doc=c.doc) SELECT source, count(DISTINCT client) AS candidates, count(DISTINCT how) AS evidence FROM k GROUP BY 1")
 def jn16(t: Tables) -> DataFrame:
     def keyed(df, name):
-        keys = F.array(F.struct(F.lit("ID").alias("how"), F.col(name).cast("string").alias("value")), F.struct(F.lit("DOC").alias("how"), F.concat(F.lit("D"), F.col(name) % 97).alias("value")))
+        keys = F.array(F.struct(F.lit("ID").alias("how"), F.col(name).cast("string").alias("value")), F.struct(F.lit("DOC").alias("how"), F.concat(F.lit("D"), F.floor(F.col(name) / 3)).alias("value")))
         return df.select(name, F.inline(keys))
 
     source = keyed(t.events.select(F.col("user_id").alias("source")).distinct(), "source")
@@ -512,11 +515,18 @@ def tk05(t: Tables) -> DataFrame:
     return r.groupBy("project").agg(F.round(F.avg(top), 8).alias("precision_50"), F.round(ratio(F.sum(top), F.sum("hit")), 8).alias("recall_50"), F.round(ratio(F.avg(top), F.avg("hit")), 8).alias("lift_50"))
 
 
-@query("tk07_best_match", "WITH m AS (SELECT c_custkey, s_suppkey, (c_nationkey=s_nationkey)::INT AS same, -abs(round(c_acctbal-s_acctbal,2)) AS near FROM customer JOIN supplier ON c_custkey%50=s_suppkey%50) SELECT c_custkey, s_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY same DESC, near DESC, s_suppkey DESC) r FROM m) WHERE r=1")
+@query("tk07_best_match", "WITH m AS (SELECT c_custkey, s_suppkey, abs(round(c_acctbal-s_acctbal,2)) AS gap FROM customer JOIN supplier ON c_nationkey=s_nationkey) SELECT c_custkey, s_suppkey, gap FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY gap, s_suppkey DESC) r FROM m) WHERE r=1")
 def tk07(t: Tables) -> DataFrame:
-    m = t.customer.join(t.supplier, F.col("c_custkey") % 50 == F.col("s_suppkey") % 50)
-    best = F.struct((F.col("c_nationkey") == F.col("s_nationkey")).cast("int"), -F.abs(F.round(F.col("c_acctbal") - F.col("s_acctbal"), 2)), F.col("s_suppkey"))
-    return m.groupBy("c_custkey").agg(F.max_by("s_suppkey", best).alias("s_suppkey"))
+    """Each customer's supplier of the same nation with the nearest balance, the larger key of ties: two as-of joins by balance, from below and from above, instead of all pairs of a nation."""
+    cents = lambda c: F.round(F.col(c) * 100).cast("long")
+    customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation"), cents("c_acctbal").alias("at"), (-cents("c_acctbal")).alias("down"))
+    suppliers = t.supplier.groupBy(F.col("s_nationkey").alias("nation"), cents("s_acctbal").alias("when")).agg(F.max("s_suppkey").alias("s_suppkey")).withColumn("own", F.col("when"))
+    below = as_of_before(customers, suppliers, ["nation"], "at", "when", ["s_suppkey", "own"], strict=False).withColumnsRenamed({"s_suppkey": "k1", "own": "o1"})
+    both = as_of_before(below, suppliers.withColumn("when", -F.col("when")), ["nation"], "down", "when", ["s_suppkey", "own"], strict=False)
+    gap1, gap2 = F.col("at") - F.col("o1"), F.col("own") - F.col("at")
+    first = F.col("s_suppkey").isNull() | (gap1 < gap2) | ((gap1 == gap2) & (F.col("k1") > F.col("s_suppkey")))
+    first = F.col("k1").isNotNull() & first
+    return both.where("k1 is not null or s_suppkey is not null").select("c_custkey", F.when(first, F.col("k1")).otherwise(F.col("s_suppkey")).alias("s_suppkey"), F.round(F.when(first, gap1).otherwise(gap2) / 100, 2).alias("gap"))
 
 
 @query("set04_changed_rows", "WITH a AS (SELECT p_partkey AS k, p_size AS s FROM part WHERE p_partkey%10<>1), z AS (SELECT p_partkey AS k, p_size+(p_partkey%7=0)::INT AS s FROM part WHERE p_partkey%10<>2) SELECT z.k, z.s, 'CAMBIO' AS what FROM z LEFT JOIN a ON a.k=z.k WHERE a.k IS NULL OR a.s IS DISTINCT FROM z.s UNION ALL SELECT a.k, NULL, 'BAJA' FROM a LEFT JOIN z ON a.k=z.k WHERE z.k IS NULL")

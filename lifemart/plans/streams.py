@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..registry import Tables, query
 from ..session import ship_code
 from ..sources import ingest
-from ..streaming import streams
+from ..streaming import exports, messages, streams
 from .mapping import KINDS, LEDGER, PM, project_months
 
 
@@ -30,6 +30,36 @@ def st02(t: Tables) -> DataFrame:
     return streams.run_to_table(streams.ledger_stream(rows))
 
 
+@query("st01_bucket_upsert", "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) r FROM events) WHERE r=1")
+def st01_buckets(t: Tables) -> DataFrame:
+    """The same into hash buckets, of which a batch rewrites only those it touches."""
+    return exports.upsert_buckets(event_stream(t), ["user_id"], F.col("ts").desc_nulls_last(), F.col("event_id").desc()).read().select("user_id", "event_id", "event_type")
+
+
+def disordered(t: Tables, days: int = 5) -> str:
+    """A folder of the process events in files of so many days, an event up to two days late; then a mark far ahead that says that no more come."""
+    path = streams.shared(t.spark, "disorder")
+    kinds = F.create_map(*(F.lit(x) for pair in KINDS.items() for x in pair))
+    rows = t.events.where(F.col("event_type").isin(*KINDS)).select(F.col("user_id").alias("unit"), "event_id", F.col("ts").cast("timestamp").alias("ts"), kinds[F.col("event_type")].alias("kind"))
+    late = F.unix_date(F.to_date("ts")) + F.pmod(F.xxhash64("event_id"), F.lit(3))
+    rows = rows.withColumn("file", F.floor(late / days))
+    files = sorted(r[0] for r in rows.select("file").distinct().collect())  # one for each step of days
+    for f in files:
+        rows.where(F.col("file") == f).drop("file").coalesce(1).write.mode("append").parquet(path)
+    end = rows.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts")).select(F.lit(-1).cast("long").alias("unit"), F.lit(-1).cast("long").alias("event_id"), "ts", F.lit("END").alias("kind"))
+    end.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query("st02_disordered_ledger", f"WITH RECURSIVE {LEDGER} SELECT unit, event_id, kind, before_state, after_state, applied FROM ledger")
+def st02_disorder(t: Tables) -> DataFrame:
+    """The ledger of events that come in files, late by up to two days, also across files."""
+    ship_code(t.spark)
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    stream = t.spark.readStream.schema("unit long, event_id long, ts timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(disordered(t))
+    return streams.run_to_table(exports.ledger_under_disorder(stream, "3 days"))
+
+
 def timed(df: DataFrame) -> DataFrame:
     return df.withColumn("at", F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(conv_id * 60 + turn * 7 as int), 0)"))
 
@@ -54,6 +84,25 @@ def st04(t: Tables) -> DataFrame:
     return suffix.agg(F.count("*").alias("suffix")).crossJoin(changed.agg(F.count("*").alias("changed")))
 
 
+@query("st04_guarded_exports", "WITH h AS (SELECT conv_id, max(turn)//2 AS half FROM conversations GROUP BY 1) SELECT count(*) AS loaded, count(DISTINCT conv_id) AS sources, TRUE AS refused, count(*) FILTER (turn<=half) AS kept_by_refused FROM conversations JOIN h USING (conv_id)")
+def st04_guard(t: Tables) -> DataFrame:
+    """Two exports, the second longer, are loaded; into another table the second comes with an opening that reads otherwise, and is refused as a whole."""
+    rows = t.conversations.select(F.col("conv_id").alias("source"), (F.col("turn") + 1).cast("long").alias("place"), "role", "text")
+    half = rows.groupBy(F.col("source").alias("of")).agg(F.floor((F.max("place") - 1) / 2).alias("half"))
+    first = rows.join(half, F.col("source") == F.col("of")).where("place - 1 <= half").select(*rows.columns)
+    changed = rows.withColumn("text", F.when(F.col("place") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    found = []
+    for second in (rows, changed):
+        path = streams.shared(t.spark, "export")
+        for export in (first, second):
+            export.coalesce(1).write.mode("append").parquet(path)
+        stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        table, why = exports.load_exports(stream, "source", "place", ["role", "text"])
+        found.append((table.read(rows.schema), why))
+    (whole, _), (kept, why) = found
+    return whole.agg(F.count("*").alias("loaded"), F.count_distinct("source").alias("sources")).withColumn("refused", F.lit(why is not None)).crossJoin(kept.agg(F.count("*").alias("kept_by_refused")))
+
+
 @query("st05_windowed_counts", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1,2")
 def st05(t: Tables) -> DataFrame:
     rows = event_stream(t).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
@@ -66,14 +115,30 @@ def st06(t: Tables) -> DataFrame:
     return streams.run_to_table(streams.message_events(streams.file_stream(t.conversations, f"{t.folder}/conversations.parquet")))
 
 
-@query("st07_parse_chat_lines", "SELECT CAST(conv_id AS VARCHAR) AS source, turn+1 AS ordinal, role AS sender, '2024-01-01 10:'||lpad(CAST(turn%60 AS VARCHAR),2,'0') AS sent_at, length(trim(text,' '))>=0 AS parsed FROM conversations")
+CHAT = ("Sala: {n} visitas", "feria, 3 a {n} visitas", "Ayer en sala {n} atendidos", "hoy no hubo visitas", "Separación dpto {u}, precio de lista", "El cliente firmó la minuta", "Unidad {u} bloqueada: no ofrecer", "Felicitaciones por la separación del dpto {u}", "{n} citas para hoy", "Error en CRM desde las 9")
+CHAT_SQL = """WITH c AS (SELECT o_orderkey AS message_id, CAST(o_orderdate AS DATE) AS d, o_orderkey%10 AS k, CAST(5+o_orderkey%90 AS INTEGER) AS n, CAST(100+o_orderkey%900 AS VARCHAR) AS u FROM orders),
+ e AS (SELECT *, CASE k WHEN 0 THEN 'visita_reporte' WHEN 1 THEN 'visita_reporte' WHEN 2 THEN 'visita_reporte' WHEN 3 THEN 'visita_reporte' WHEN 4 THEN 'separacion_anuncio' WHEN 5 THEN 'minuta_reporte' WHEN 6 THEN 'bloqueo_stock' WHEN 8 THEN 'cita_reporte' WHEN 9 THEN 'incidencia_crm' END AS event FROM c WHERE k<>7)
+ SELECT message_id, 1 AS event_index, event, CASE WHEN k=2 THEN d-1 ELSE d END AS reported_on, CASE WHEN k IN (0,2) THEN 'sala' WHEN k=1 THEN 'feria' END AS venue, CASE WHEN k IN (0,2) THEN n WHEN k=1 THEN 3 WHEN k=3 THEN 0 END AS count_min, CASE WHEN k IN (0,1,2) THEN n WHEN k=3 THEN 0 END AS count_max, CASE WHEN k IN (1,8) THEN 'baja' ELSE 'media' END AS confidence, k IN (1,3,5,8) AS review, CASE k WHEN 0 THEN 'unidad_explicita' WHEN 1 THEN 'unidad_explicita' WHEN 2 THEN 'atenciones_explicitas' WHEN 3 THEN 'sin_visitas' WHEN 4 THEN 'anuncio_chat_no_crm' WHEN 5 THEN 'verificar_en_crm' WHEN 8 THEN 'cita_no_equivale_a_visita' ELSE 'senal_operativa' END AS note, CASE WHEN k=4 THEN u END AS unit_code, 2 AS ruleset FROM e"""
+
+
+@query("st06_commercial_events", CHAT_SQL)
+def st06_commercial(t: Tables) -> DataFrame:
+    """What messages report, of a stream of messages that the orders' sellers write."""
+    key = F.col("o_orderkey")
+    n, u = (5 + key % 90).cast("string"), (100 + key % 900).cast("string")
+    said = F.element_at(F.array(*map(F.lit, CHAT)), (key % 10 + 1).cast("int"))
+    rows = streams.file_stream(t.orders, f"{t.folder}/orders.parquet").select(key.alias("message_id"), F.col("o_orderdate").alias("sent_at"), F.col("o_orderpriority").alias("sender"), F.replace(F.replace(said, F.lit("{n}"), n), F.lit("{u}"), u).alias("body"))
+    return streams.run_to_table(messages.commercial_events(rows))
+
+
+@query("st07_parse_chat_lines", "WITH m AS (SELECT CAST(conv_id AS VARCHAR) AS source, turn+1 AS ordinal, role AS sender, '2024-01-01 10:'||lpad(CAST(turn%60 AS VARCHAR),2,'0') AS sent_at, replace(text, chr(10), chr(10)||'  ') AS body FROM conversations), a AS (SELECT *, row_number() OVER (PARTITION BY source, sent_at, sender, body ORDER BY ordinal) AS again FROM m) SELECT source, ordinal, sender, sent_at, body, sha256(concat_ws('|', source, sent_at, sender, body, CAST(again AS VARCHAR))) AS message_id FROM a")
 def st07(t: Tables) -> DataFrame:
     """Writes each message as a header line and its further lines, and puts the messages together again."""
     stamp = F.concat(F.lit("[2024-01-01 10:"), F.lpad((F.col("turn") % 60).cast("string"), 2, "0"), F.lit("] "), "role", F.lit(": "))
     pieces = t.conversations.select(F.col("conv_id").cast("string").alias("source"), "turn", F.posexplode(F.split("text", "\n")).alias("k", "line"), stamp.alias("stamp"))
     text = F.when(F.col("k") == 0, F.concat("stamp", "line")).otherwise(F.concat(F.lit("  "), "line"))
     lines = pieces.select("source", (F.col("turn") * 100_000 + F.col("k")).alias("line_no"), text.alias("text"))
-    return streams.parse_chat_lines(lines).select("source", "ordinal", "sender", "sent_at", (F.length("body") >= 0).alias("parsed"))
+    return streams.parse_chat_lines(lines).select("source", "ordinal", "sender", "sent_at", "body", "message_id")
 
 
 @query("src04_replace_full", "SELECT c_custkey AS k, c_acctbal*2 AS v FROM customer WHERE c_acctbal>0")

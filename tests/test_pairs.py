@@ -64,7 +64,7 @@ def test_people(spark):
     def blocks(r):
         words = sorted((w for w in (r["canonical"] or "").split() if len(w) >= 4), key=len, reverse=True)[:3]
         email = r["email"] and r["email"].split("@")
-        return {x for x in (r["document"] and "D" + r["document"], r["email"] and "E" + r["email"], email and f"P{email[0][:3]}@{email[1]}", r["phone"] and "T" + r["phone"], r["phone"] and "S" + r["phone"][-6:], *("N" + w for w in words)) if x}
+        return {x for x in (r["document"] and "D" + r["document"], r["source"] and "I" + r["source"], r["email"] and "E" + r["email"], email and f"P{email[0][:3]}@{email[1]}", r["phone"] and "T" + r["phone"], r["phone"] and "S" + r["phone"][-6:], *("N" + w for w in words)) if x}
 
     lead_blocks, buyer_blocks = {r["lead"]: blocks(r) for r in leads}, {r["buyer"]: blocks(r) for r in buyers}
     lead_of, buyer_of = {r["lead"]: who(r) for r in leads}, {r["buyer"]: who(r) for r in buyers}

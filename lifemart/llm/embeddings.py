@@ -74,6 +74,7 @@ def _finer(most: int, nearest: int):
 
     def run(sample: pa.Table) -> pa.Table:
         shape = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("centres", pa.list_(pa.float64()))])
+        sample = sample.sort_by([("hash", "ascending"), ("rep", "ascending")])  # rows arrive in any order
         x, n = _unit(sample.column("embedding")), sample.column("n")[0].as_py()
         some = x[np.linspace(0, len(x) - 1, min(len(x), 512)).astype(int)]
         cells = min(most, len(x) // 4, math.ceil(n * nearest / CELL_SIZE))
@@ -166,7 +167,8 @@ def link_vectors(vectors: DataFrame, nearest: int = NEAREST) -> DataFrame:
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     fine = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))") & F.expr("exists(embedding, x -> x <> 0)")
     rows = rows.withColumn("embedding", F.when(fine, F.transform("embedding", lambda x: x + F.lit(0.0))))
-    classes = materialise(rows.where("embedding is not null").groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")), "classes").withColumn("dim", F.size("embedding"))
+    rows = rows.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit("second"), "embedding")})  # 128 bits stand for a vector
+    classes = materialise(rows.where("embedding is not null").groupBy("embedding", "h1", "h2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("size")), "classes").withColumn("dim", F.size("embedding"))
     lengths = {r["dim"]: r["n"] for r in classes.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").limit(64).collect()}
     centres = {}
     for dim, n in lengths.items():  # lengths beyond the 64 most frequent share one cell each
@@ -198,6 +200,8 @@ def link_vectors(vectors: DataFrame, nearest: int = NEAREST) -> DataFrame:
     found = materialise(blocks.groupBy("dim", "cell", "first", "second").applyInArrow(_compare, "id long, links long, low long"), "found")
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
-    of_class = materialise(classes.select("rep", "size", "embedding").join(counts, F.col("rep") == F.col("id"), "left").drop("id").join(groups, F.col("rep") == F.col("id"), "left").select("embedding", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links")), "linked")
+    found = classes.select("rep", "size", "h1", "h2").join(counts, F.col("rep") == F.col("id"), "left").drop("id").join(groups, F.col("rep") == F.col("id"), "left")
+    of_class = materialise(found.select("h1", "h2", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links")), "linked")
     odd = rows.where("embedding is null").select("vec_id", F.lit(None).cast("long").alias("component"), F.lit(None).cast("long").alias("links"))
-    return rows.where("embedding is not null").join(of_class, "embedding").select("vec_id", "component", "links").unionByName(odd).select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))
+    own = rows.where("embedding is not null").select("vec_id", "h1", "h2").join(of_class, ["h1", "h2"]).select("vec_id", "component", "links")  # vectors stay where they are
+    return own.unionByName(odd).select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("component", "vec_id"), F.lit(False)).alias("kept"))

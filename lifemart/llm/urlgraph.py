@@ -1,12 +1,13 @@
 """op3: URL verdicts by host and path rules and, where no rule fits, by propagation over the graph of hosts.
 
 Hosts with pages that rules allow are seeds of trust, hosts with pages that rules block seeds of distrust, each by
-the share of such pages. Trust follows links (personalised PageRank), distrust goes against them: who links to a
+the share of such pages among those that rules judge: pages without a rule say nothing of their host. Trust follows links (personalised PageRank), distrust goes against them: who links to a
 blocked host is distrusted. Host edges are the links between hosts and, both ways, those between a host and the one
 above it, down to names of LABELS labels: who owns a host owns what is under it. Each walk also carries the rank that
 every host would have if all were seeds; trust and distrust are shares of that (0 to 1), so a host without edges
 keeps its seed. A host whose distrust exceeds its trust by THRESHOLD is blocked. A round is one join and one sum over
-the table of edges. In the graph, hosts are without user and port.
+the table of edges. Moves shrink by DAMPING a round, so TOLERANCE is reached before ROUNDS are over. In the graph, hosts are
+without user and port.
 """
 
 from __future__ import annotations
@@ -99,7 +100,7 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     host, path = host_and_path(F.col("url"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     placed = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("rule", rule).withColumn("said", verdict).withColumn("node", graph_host(F.col("host")))
-    share = lambda said: F.avg(F.when(F.col("said") == said, 1.0).otherwise(0.0))
+    share = lambda said: F.coalesce(F.avg(F.when(F.col("said").isNotNull(), (F.col("said") == said).cast("double"))), F.lit(0.0))
     seeds = placed.where("node <> ''").groupBy(F.col("node").alias("host")).agg(share("allow").alias("trust"), share("block").alias("distrust"))
     scores = propagate(materialise(seeds, "seeds"), materialise(host_edges(pages, host), "edges"))
     blocked = materialise(scores.where(F.col("distrust") - F.col("trust") > threshold).select(F.col("host").alias("node"), F.lit("block").alias("node_verdict")), "blocked")

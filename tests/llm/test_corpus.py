@@ -227,6 +227,17 @@ def test_passages(spark):
     assert again[9005]["removed_spans"] == [(0, len(rows[-2][1]))]
 
 
+def test_passages_of_rows_with_one_id(spark):
+    """What rows of one id, or without one, share stays once, wherever it stands in them."""
+    passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty."
+    own = [f"Text {w} is here." for w in ("red", "blue", "green", "grey")]
+    rows = [(1, passage), (1, passage), (1, f"{own[0]} {passage}"), (None, f"{own[1]} {passage}"), (None, f"{passage} {own[2]}"), (2, f"{own[3]} {passage}")]
+    for parts in (1, 3):
+        found = [(r["doc_id"], r["text"]) for r in passages.remove_repeats(frame(spark, rows).repartition(parts)).collect()]
+        assert sum(passage in t for _, t in found) == 1 and next(i for i, t in found if passage in t) == 1
+        assert all(sum(w in t for _, t in found) == 1 for w in own) and len(found) == len(rows)
+
+
 def test_quality(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
@@ -291,6 +302,7 @@ def test_graph_on_pages(spark):
     hosts = defaultdict(list)
     for r in found:
         hosts[r["host"]].append({"net/es/": "block", "net/fr/": "block", "example.com/en/": "block", None: None}.get(r["rule"], "allow"))
+    assert any(r["rule"] is None and r["verdict"] == "block" for r in found) and any(r["rule"] is None and r["verdict"] == "allow" for r in found)
     edges = {}
     for h in hosts:
         names = h.split(".")
@@ -298,7 +310,8 @@ def test_graph_on_pages(spark):
             edges[".".join(names), ".".join(names[1:])] = edges[".".join(names[1:]), ".".join(names)] = 1
             names = names[1:]
     assert edges
-    trust, distrust = brute_walks({h: (v.count("allow") / len(v), v.count("block") / len(v)) for h, v in hosts.items()}, edges, 60)
+    judged = {h: max(1, len(v) - v.count(None)) for h, v in hosts.items()}
+    trust, distrust = brute_walks({h: (v.count("allow") / judged[h], v.count("block") / judged[h]) for h, v in hosts.items()}, edges, 60)
     said = {"allow": "allow", "block": "block"}
     for r in found:
         own = "block" if distrust[r["host"]] - trust[r["host"]] > urlgraph.THRESHOLD else "allow"

@@ -51,7 +51,8 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = materialise(found, "found")
     own = rows.select(ROW, F.struct(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.xxhash64("text"), ROW).alias("_rank"))
     worded = own.join(found.where("_n > 0"), ROW).groupBy("_group").agg(F.min("_rank").alias("_rank")).select(F.col(f"_rank.{ROW}"))
-    wordless = rows.join(found.where("_n = 0"), ROW, "left_semi").groupBy("doc_id", F.coalesce("text", F.lit(""))).agg(F.min(ROW).alias(ROW)).select(ROW)
+    blank = rows.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))  # else whole texts would be shuffled to find these
+    wordless = blank.join(found.where("_n = 0"), ROW, "left_semi").groupBy("doc_id", F.coalesce("text", F.lit(""))).agg(F.min(ROW).alias(ROW)).select(ROW)
     later = materialise(found.select(ROW).join(worded.unionByName(wordless), ROW, "left_anti").distinct(), "later")
     held = F.broadcast(later) if later.count() <= MOST_HELD else later  # else whole texts would be shuffled for them
     return rows.join(held, ROW, "left_anti").select(docs.columns)

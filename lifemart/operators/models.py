@@ -130,13 +130,12 @@ def auto_baseline(df: DataFrame, target: str, time: str, cut: str, classes: int
 
 
 def robust_scores(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with score: the largest robust z (0.6745 |x - median| / median deviation) of the columns."""
-    middle = df.agg(*(F.percentile_approx(c, 0.5, ACCURACY).alias(f"_m{i}") for i, c in enumerate(columns)))
-    with_middle = df.crossJoin(F.broadcast(middle))
-    spread = with_middle.agg(*(F.percentile_approx(F.abs(F.col(c) - F.col(f"_m{i}")), 0.5, ACCURACY).alias(f"_d{i}") for i, c in enumerate(columns)))
-    scores = [F.abs(F.col(c) - F.col(f"_m{i}")) / F.nullif(F.col(f"_d{i}"), F.lit(0.0)) for i, c in enumerate(columns)]
-    largest = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return with_middle.crossJoin(F.broadcast(spread)).withColumn("score", 0.6745 * largest).select(*df.columns, "score")
+    """df with score: the largest robust z (0.6745 |x - median| / median deviation) of the columns. Two scans, one for the medians of all columns and one for their deviations."""
+    middle = df.agg(*(F.percentile_approx(c, 0.5, ACCURACY) for c in columns)).first()
+    away = [F.abs(F.col(c) - F.lit(m)) for c, m in zip(columns, middle, strict=True)]
+    spread = df.agg(*(F.percentile_approx(x, 0.5, ACCURACY) for x in away)).first()
+    scores = [x / F.nullif(F.lit(d).cast("double"), F.lit(0.0)) for x, d in zip(away, spread, strict=True)]
+    return df.withColumn("score", 0.6745 * (F.greatest(*scores) if len(scores) > 1 else scores[0]))
 
 
 def lift_by_decile(scored: DataFrame, score: str, label: str, tie: str, by: str) -> DataFrame:

@@ -154,16 +154,15 @@ def logit(df: DataFrame, y: str, columns: list[str], rounds: int = 50, tolerance
 def marginal_effects(df: DataFrame, fit: Fit) -> DataFrame:
     """parameter, effect: the mean change of the probability with each column of a logit fit."""
     p = fit.probability()
-    slope = df.agg(F.avg(p * (1 - p)).alias("s"))
     named = [F.struct(F.lit(c).alias("parameter"), (F.col("s") * F.lit(float(b))).alias("effect")) for c, b in zip(fit.columns[1:], fit.coef[1:], strict=True)]
-    return usable(df, fit.columns[1:]).agg(F.avg(p * (1 - p)).alias("s")).select(F.inline(F.array(*named))) if named else slope.select(F.lit("").alias("parameter"), F.col("s").alias("effect")).limit(0)
+    return usable(df, fit.columns[1:]).agg(F.avg(p * (1 - p)).alias("s")).select(F.inline(F.array(*named)))
 
 
 def logit_by_group(df: DataFrame, group: str, y: str, columns: list[str], rounds: int = 25, least: int = 100) -> DataFrame:
     """group, n, and a coefficient for the intercept and each column, fitted to each group of at least so many rows of both classes.
 
     All groups take their Newton steps together: a pass sums gradient and information by group, so a hot group is partial sums like any
-    other. Its matrices, a small row for each group, are solved group by group in tasks. Groups whose fit doesn't settle are left out.
+    other. A small row for each group is solved on the driver. Groups whose fit doesn't settle are left out.
     """
     rows = usable(df, [y, *columns]).where(F.col(group).isNotNull())
     k = len(columns) + 1
@@ -172,9 +171,9 @@ def logit_by_group(df: DataFrame, group: str, y: str, columns: list[str], rounds
     kind = df.schema[group].dataType.simpleString()
     spark = df.sparkSession
     seen = rows.groupBy(group).agg(F.count("*").alias("n"), F.avg(target).alias("share")).where((F.col("n") >= least) & (F.col("share") > 0) & (F.col("share") < 1))
-    coef = {r[group]: np.array([math.log(r["share"] / (1 - r["share"])), *[0.0] * (k - 1)]) for r in seen.collect()}  # a row for each group
-    n = {r[group]: r["n"] for r in seen.collect()} if coef else {}
-    live, done = dict(coef), {}
+    found = seen.collect()  # a row for each group
+    n = {r[group]: r["n"] for r in found}
+    live, done = {r[group]: np.array([math.log(r["share"] / (1 - r["share"])), *[0.0] * (k - 1)]) for r in found}, {}
     for _ in range(rounds):
         if not live:
             break
@@ -190,6 +189,6 @@ def logit_by_group(df: DataFrame, group: str, y: str, columns: list[str], rounds
                 live.pop(g)
                 continue
             live[g] = live[g] + step
-            if np.abs(step * np.array([1.0, *[1.0] * (k - 1)])).max() < 1e-9:
+            if np.abs(step).max() < 1e-9:
                 done[g] = live.pop(g)
     return spark.createDataFrame([(g, n[g], *map(float, b)) for g, b in done.items()], f"{group} {kind}, n long, {INTERCEPT} double, " + ", ".join(f"{c} double" for c in columns))

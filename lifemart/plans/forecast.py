@@ -119,9 +119,13 @@ SKILL = f"{CELLS}, ps AS (SELECT a.project, a.model, a.h, count(*) AS n, sum(a.e
 
 
 def skill(t: Tables) -> DataFrame:
+    """Each model's errors beside those of the last value in the same cells: the models of a cell become columns in one shuffle, without a join of the pairs to themselves."""
     p = pairs(t).where("actual is not null")
-    naive = p.where("model = 'last'").select("project", "origin", "h", F.col("err").alias("err0"))
-    g = p.where("model <> 'last'").join(naive, ["project", "origin", "h"]).groupBy("project", "model", "h").agg(F.count("*").alias("n"), F.sum("err").alias("e"), F.sum("err0").alias("e0"))
+    of = lambda m: F.max(F.when(F.col("model") == m, F.col("err")))
+    models = ("mean3", "season12")
+    wide = p.groupBy("project", "origin", "h").agg(of("last").alias("err0"), *(of(m).alias(m) for m in models)).where("err0 is not null")
+    rows = wide.select("project", "h", "err0", F.inline(F.array(*(F.struct(F.lit(m).alias("model"), F.col(m).alias("err")) for m in models)))).where("err is not null")
+    g = rows.groupBy("project", "model", "h").agg(F.count("*").alias("n"), F.sum("err").alias("e"), F.sum("err0").alias("e0"))
     return g.withColumn("skill", F.round(1 - ratio(F.col("e"), F.col("e0")), 6))
 
 
@@ -230,7 +234,7 @@ def fc17_origins(t: Tables) -> DataFrame:
     return q.join(fits, ["h", "origin"]).groupBy(part.alias("part"), "h").agg(F.count("*").alias("n"), F.round(F.avg(F.abs(F.col("my") + F.col("b") * (x - F.col("mx")) - y)), 4).alias("mae"))
 
 
-@query("fc18_empirical_intervals", f"WITH {CELLS}, e AS (SELECT project, model, h, quantile_disc(err, 0.8) AS q, count(err) AS support FROM pairs WHERE target<DATE '2000-01-01' AND actual IS NOT NULL GROUP BY 1,2,3) SELECT c.project, c.origin, c.model, c.h, round(greatest(c.prediction-q,0),6) AS low, round(c.prediction+q,6) AS high FROM cells c JOIN e USING (project, model, h) WHERE c.origin>=DATE '2001-01-01' AND support>=10")
+@query("fc18_empirical_intervals", f"WITH {CELLS}, e AS (SELECT project, model, h, quantile_disc(err, 0.8) AS q, count(err) AS support FROM pairs WHERE target<DATE '2000-01-01' AND actual IS NOT NULL GROUP BY 1,2,3), s AS MATERIALIZED (SELECT * FROM e WHERE support>=10), c AS MATERIALIZED (SELECT * FROM cells WHERE origin>=DATE '2001-01-01') SELECT c.project, c.origin, c.model, c.h, round(greatest(c.prediction-s.q,0),6) AS low, round(c.prediction+s.q,6) AS high FROM c JOIN s ON s.project=c.project AND s.model=c.model AND s.h=c.h")
 def fc18(t: Tables) -> DataFrame:
     """The discrete quantile: the first error with at least 80 % at or below it."""
     past = pairs(t).where("target < '2000-01-01' and actual is not null").groupBy("project", "model", "h").agg(F.expr("percentile_disc(0.8) WITHIN GROUP (ORDER BY err)").alias("q"), F.count("err").alias("support"))
@@ -269,10 +273,12 @@ def fc22(t: Tables) -> DataFrame:
     return project_months(t).groupBy("project").agg(F.count("*").alias("months")).withColumn("status", first_of((F.col("months") >= 48, "ACTIVE"), (F.col("months") >= 24, "THIN"), otherwise="INSUFFICIENT"))
 
 
-@query("fc23_paired_baseline", f"WITH {CELLS} SELECT a.project, a.origin, a.h, round(a.prediction,6) AS prediction, round(z.prediction,6) AS baseline FROM cells a JOIN cells z USING (project, origin, h) WHERE a.model='season12' AND z.model='mean3'")
+@query("fc23_paired_baseline", f"WITH {CELLS}, w AS (SELECT project, origin, h, max(prediction) FILTER (model='season12') AS prediction, max(prediction) FILTER (model='mean3') AS baseline FROM cells GROUP BY 1,2,3) SELECT project, origin, h, round(prediction,6) AS prediction, round(baseline,6) AS baseline FROM w WHERE prediction IS NOT NULL AND baseline IS NOT NULL")
 def fc23(t: Tables) -> DataFrame:
-    base = cells(t).where("model = 'mean3'").select("project", "origin", "h", F.round("prediction", 6).alias("baseline"))
-    return cells(t).where("model = 'season12'").join(base, ["project", "origin", "h"]).select("project", "origin", "h", F.round("prediction", 6).alias("prediction"), "baseline")
+    """Both models of a cell in one pass."""
+    of = lambda m: F.max(F.when(F.col("model") == m, F.round("prediction", 6)))
+    wide = cells(t).groupBy("project", "origin", "h").agg(of("season12").alias("prediction"), of("mean3").alias("baseline"))
+    return wide.where("prediction is not null and baseline is not null")
 
 
 @query("ag14_contract_compliance", f"WITH {CELLS} SELECT origin, bool_and(prediction>=0) AS nonnegative, bool_and(target>origin) AS forward, count(*) FILTER (prediction IS NULL) AS missing, CASE WHEN bool_and(prediction>=0) AND bool_and(target>origin) THEN 'PASS' ELSE 'FAIL' END AS status FROM cells GROUP BY 1")

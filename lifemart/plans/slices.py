@@ -74,9 +74,9 @@ def dp08_types(t: Tables) -> DataFrame:
 
 
 CUT_OVER = "2024-01-20"
-#: Evidence of a sale's date: the last extra of a unit, as text; every tenth says nothing and every seventh is not a date.
-EXTRAS_SQL = f"""{PE}, xt AS (SELECT user_id AS unit, event_id, ts, CASE WHEN event_id%7=0 THEN '31-02-2024' WHEN event_id%10=0 THEN '' ELSE strftime(CAST(ts AS DATE)+5, '%d-%m-%Y') END AS written, CASE WHEN event_id%7<>0 AND event_id%10<>0 THEN CAST(ts AS DATE)+5 END AS day FROM events WHERE event_type='view'),
-mi AS (SELECT unit, day AS minuta, event_id AS extra_id FROM xt WHERE unit%3=0 QUALIFY row_number() OVER (PARTITION BY unit ORDER BY ts DESC, event_id DESC)=1),
+#: Evidence of a sale's date: the last large view of a unit, as text; every tenth says nothing and every seventh is not a date.
+EXTRAS_SQL = f"""{PE}, xt AS (SELECT user_id AS unit, event_id, ts, value, CASE WHEN event_id%7=0 THEN '31-02-2024' WHEN event_id%10=0 THEN '' ELSE strftime(CAST(ts AS DATE)+5, '%d-%m-%Y') END AS written, CASE WHEN event_id%7<>0 AND event_id%10<>0 THEN CAST(ts AS DATE)+5 END AS day FROM events WHERE event_type='view'),
+mi AS (SELECT unit, day AS minuta, event_id AS extra_id FROM xt WHERE value>=75 QUALIFY row_number() OVER (PARTITION BY unit ORDER BY ts DESC, event_id DESC)=1),
 en AS (SELECT unit, min(d) AS entered FROM pe WHERE kind='ALTA' GROUP BY 1),
 sb AS (SELECT p.event_id AS cycle, p.unit, p.project, p.d AS reserved_raw, e.entered, greatest(p.d, coalesce(e.entered, p.d)) AS reserved FROM pe p LEFT JOIN en e USING (unit) WHERE kind='SEPARACION'),
 cy AS (SELECT s.*, (SELECT min({{'ts': v.ts, 'id': v.event_id, 'd': v.d}}) FROM pe v WHERE v.kind='VENTA' AND v.unit=s.unit AND v.d>=s.reserved) AS v FROM sb s),
@@ -104,7 +104,7 @@ def dp01_evidence(t: Tables, cut_over: str = CUT_OVER) -> DataFrame:
     falls = pe.where("kind = 'CAIDA'").groupBy("unit", "d").agg(F.count("*").alias("n")).withColumn("d", F.unix_date("d"))
     falls = falls.select("unit", F.col("d").alias("day"), F.sum("n").over(rest).alias("falls"), F.col("d").alias("first_fall"), F.max("d").over(rest).alias("last_fall")).withColumn("when", -F.col("day"))
     both = as_of_before(sold.withColumn("back", -F.unix_date("reserved")), falls, ["unit"], "back", "when", ["first_fall", "last_fall", "falls"], strict=False)
-    extra = t.events.where("event_type = 'view' and user_id % 3 = 0")
+    extra = t.events.where("event_type = 'view' and value >= 75")
     written = F.when(F.col("event_id") % 7 == 0, "31-02-2024").when(F.col("event_id") % 10 == 0, "").otherwise(F.date_format(F.date_add(F.to_date("ts"), 5), "dd-MM-yyyy"))
     minuta = latest(extra.select(F.col("user_id").alias("unit"), "ts", "event_id", written.alias("written")), ["unit"], F.col("ts").desc_nulls_last(), F.col("event_id").desc()).select("unit", business_date(F.col("written")).alias("minuta"))
     rows = both.join(minuta, "unit", "left").withColumn("minuta", F.when(unit_kind() == TYPES[0], F.col("minuta")))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import series
 from ..registry import Tables, query
 from ..session import ship_code
 from ..sources import ingest
@@ -55,9 +55,9 @@ def disordered(t: Tables, days: int = 5) -> str:
 def st02_disorder(t: Tables) -> DataFrame:
     """The ledger of events that come in files, late by up to two days, also across files."""
     ship_code(t.spark)
-    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = t.spark.readStream.schema("unit long, event_id long, ts timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(disordered(t))
-    return streams.run_to_table(exports.ledger_under_disorder(stream, "3 days"))
+    with exports.rocks_state(t.spark):
+        stream = t.spark.readStream.schema("unit long, event_id long, ts timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(disordered(t))
+        return streams.run_to_table(exports.ledger_under_disorder(stream, "3 days"))
 
 
 def timed(df: DataFrame) -> DataFrame:
@@ -224,9 +224,11 @@ def src16(t: Tables) -> DataFrame:
 
 @query("udf04_grouped_series", f"WITH {PM} SELECT project, count(*) AS n, round(sum(sales*sales)/CAST(count(*) AS DOUBLE),4) AS power FROM pm GROUP BY 1")
 def udf04(t: Tables) -> DataFrame:
-    ship_code(t.spark)
+    return project_months(t).groupBy("project").agg(F.count("*").alias("n"), F.round(F.sum(F.col("sales") * F.col("sales")) / F.count("*"), 4).alias("power"))
 
-    def profile(series: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"project": [series["project"].iloc[0]], "n": [len(series)], "power": [round(float((series["sales"] ** 2).sum()) / len(series), 4)]})
 
-    return project_months(t).groupBy("project").applyInPandas(profile, "project int, n long, power double")
+@query("udf04_series_profile")
+def udf04_profile(t: Tables) -> DataFrame:
+    """What each project's months look like and which models they are enough for."""
+    ship_code(t.spark)
+    return series.profiles(project_months(t), "project", "month", "sales")

@@ -143,8 +143,15 @@ def cast_to_contract(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, D
     return cast, lost
 
 
-def evolve_schema(target: DataFrame, source: DataFrame, keys: list[str], watermark: str | None = None) -> DataFrame:
-    """The rows of both under the columns of either; keys and watermark must be there."""
+#: Columns that loads write themselves.
+RESERVED = ("_row_hash", "_rules", "_loaded_at", "_run_id")
+
+
+def evolve_schema(target: DataFrame, source: DataFrame, keys: list[str], watermark: str | None = None, reserved: tuple[str, ...] = RESERVED) -> DataFrame:
+    """The rows of both under the columns of either; keys and watermark must be there, and the source may not have reserved columns."""
+    taken = sorted(c for c in source.columns if c.lower() in reserved)
+    if taken:
+        raise ValueError(f"the source has reserved columns {taken}")
     missing = [c for c in (*keys, *([watermark] if watermark else [])) if c not in source.columns]
     if missing:
         raise ValueError(f"the source lacks {missing}")
@@ -171,6 +178,33 @@ def incremental_by_hash(source: DataFrame, target: DataFrame, keys: list[str], c
     return a.join(b, keys, "full_outer").select(*keys, what.alias("what"))
 
 
+def hashed(df: DataFrame, columns: list[str], rules: str) -> DataFrame:
+    """df as a target: with the hash of each row and the version of the rules that made it."""
+    return df.withColumns({"_row_hash": row_hash(columns), "_rules": F.lit(rules)})
+
+
+def load_plan(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], rules: str) -> DataFrame:
+    """Each key of either side with what a load does: INSERT, DELETE, UPDATE, UNCHANGED, or REBUILD of rows that other rules made, whatever their hash."""
+    a = source.select(*keys, row_hash(columns).alias("_new"))
+    b = target.select(*keys, F.col("_row_hash").alias("_old"), F.col("_rules").alias("_by"))
+    old = ~F.col("_by").eqNullSafe(F.lit(rules))
+    what = F.when(F.col("_old").isNull(), "INSERT").when(F.col("_new").isNull(), "DELETE").when(old, "REBUILD").when(F.col("_new") != F.col("_old"), "UPDATE").otherwise("UNCHANGED")
+    return a.join(b, keys, "full_outer").select(*keys, what.alias("what"))
+
+
+def apply_plan(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], rules: str) -> DataFrame:
+    """The target after the load: unchanged rows as they are, the others from the source, deleted ones gone."""
+    what = load_plan(source, target, keys, columns, rules)
+    kept = target.join(what.where("what = 'UNCHANGED'").select(*keys), keys, "left_semi")
+    new = source.join(what.where("what in ('INSERT', 'UPDATE', 'REBUILD')").select(*keys), keys, "left_semi")
+    return kept.unionByName(hashed(new, columns, rules))
+
+
+def hash_mismatches(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], rules: str) -> DataFrame:
+    """The keys in which a target differs from its source: only on one side, another hash, or other rules. A load passes if there is none."""
+    return load_plan(source, target, keys, columns, rules).where("what <> 'UNCHANGED'")
+
+
 def write_partitions(df: DataFrame, path: str, by: str) -> None:
     """Replaces only the partitions that df has."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)

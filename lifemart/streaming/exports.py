@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -173,12 +175,24 @@ class _Ledger(StatefulProcessor):
         pass
 
 
+@contextlib.contextmanager
+def rocks_state(spark: SparkSession):
+    """Streams that start in here keep their state in RocksDB; afterwards the session is as before."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def ledger_under_disorder(stream: DataFrame, delay: str) -> DataFrame:
     """LEDGER_SHAPE of a stream of unit, event_id, ts, kind whose events may come late by delay, within a batch and across batches.
 
     A unit's events wait in its state until the watermark (the latest time seen less delay) has passed them, by event-time timers, so the result is that
     of the sorted events. What comes later than delay is dropped by the watermark. The last events wait until later ones come. State is what a unit has
-    within delay. Needs the RocksDB state store (spark.sql.streaming.stateStore.providerClass).
+    within delay. Start it in rocks_state.
     """
     rows = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).withColumn("micros", F.unix_micros("ts"))
     return rows.groupBy("unit").transformWithStateInPandas(_Ledger(), LEDGER_SHAPE, "Append", "EventTime")

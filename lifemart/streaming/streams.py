@@ -80,10 +80,10 @@ def ledger_stream(stream: DataFrame) -> DataFrame:
     return stream.groupBy("unit").applyInPandasWithState(advance, "unit long, event_id long, kind string, before_state string, after_state string, applied boolean", "state int", "append", "NoTimeout")
 
 
-def windowed_counts(events: DataFrame, time: str, width: str, key: str, slide: str | None = None, late: str = "1 day") -> DataFrame:
-    """Counts of each key in tumbling or sliding windows, on a table or a stream."""
+def windowed_counts(events: DataFrame, time: str, width: str, key: str, slide: str | None = None, late: str = "1 day", start: str | None = None) -> DataFrame:
+    """Counts of each key in tumbling or sliding windows, on a table or a stream. start: how far windows begin after those that the epoch begins."""
     rows = events.withWatermark(time, late) if events.isStreaming else events
-    g = rows.groupBy(F.window(time, width, slide) if slide else F.window(time, width), key).agg(F.count("*").alias("n"))
+    g = rows.groupBy(F.window(time, width, slide or width, start), key).agg(F.count("*").alias("n"))
     return g.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), key, "n")
 
 

@@ -4,7 +4,10 @@ import datetime
 import difflib
 import random
 
+from pyspark.sql import functions as F
+
 from lifemart import registry
+from lifemart.operators import matching
 from lifemart.operators.models import synthetic_weights
 from lifemart.plans import load_all, models, people
 
@@ -27,8 +30,8 @@ def ratio(a, b):
     return round(100.0 * difflib.SequenceMatcher(None, a, b).ratio(), 2) if a and b else 0.0
 
 
-def scores_of(a, b):
-    """document, name, phone, email score, status and score of two people: (document, name, phone, email)."""
+def similarity(a, b):
+    """document, name, phone and email score of two people: (document, name, phone, email)."""
     name = phone = email = 0.0
     if a[1] and b[1]:
         x, y = (" ".join(sorted(n.split())) for n in (a[1], b[1]))
@@ -39,22 +42,35 @@ def scores_of(a, b):
     if a[3] and b[3]:
         (l1, d1), (l2, d2) = a[3].split("@"), b[3].split("@")
         email = 100.0 if a[3] == b[3] else round(min(max(ratio(a[3], b[3]), 0.8 * ratio(l1, l2) + 20), 100) if d1 == d2 else min(ratio(a[3], b[3]), 92), 2)
-    document = 100.0 if a[0] and a[0] == b[0] else 0.0
-    best, other = max(phone, email), min(phone, email)
-    plain = round(0.45 * best + 0.30 * other + 0.25 * name, 2)
-    if document:
-        out = "CONFIRMADO", 100.0
-    elif email >= 99 and phone >= 99:
-        out = "CONFIRMADO", max(plain, 99.0)
-    elif name >= 92 and best >= 99:
-        out = "CONFIRMADO", max(plain, 97.0)
-    elif name >= 88 and best >= 94 or email >= 97 and phone >= 94:
-        out = "PROBABLE", max(plain, 90.0)
-    elif name >= 82 and best >= 88:
-        out = "REVISAR", max(plain, 80.0)
-    else:
-        out = "NO MATCH", plain
-    return document, name, phone, email, *out
+    return 100.0 if a[0] and a[0] == b[0] else 0.0, name, phone, email
+
+
+#: Scores of document, name, phone and email, and what follows from them.
+GOLDEN = [
+    ((100, 0, 0, 0), "CONFIRMADO", 100.0),
+    ((0, 0, 100, 100), "CONFIRMADO", 99.0),
+    ((0, 0, 98.9, 100), "PROBABLE", 90.0),
+    ((0, 92, 0, 99), "CONFIRMADO", 97.0),
+    ((0, 91.9, 0, 100), "PROBABLE", 90.0),
+    ((0, 100, 100, 100), "CONFIRMADO", 100.0),
+    ((0, 100, 100, 0), "CONFIRMADO", 97.0),
+    ((0, 88, 94, 0), "PROBABLE", 90.0),
+    ((0, 87.9, 94, 0), "REVISAR", 80.0),
+    ((0, 0, 94, 97), "PROBABLE", 90.0),
+    ((0, 0, 97, 94), "NO MATCH", 71.85),
+    ((0, 82, 88, 0), "REVISAR", 80.0),
+    ((0, 82, 87, 80), "NO MATCH", 83.65),
+    ((0, 100, 0, 0), "NO MATCH", 25.0),
+    ((99, 100, 50, 50), "NO MATCH", 62.5),
+    ((0, 0, 0, 0), "NO MATCH", 0.0),
+]
+
+
+def test_match_rules(spark):
+    rows = spark.createDataFrame([(i, *map(float, scores)) for i, (scores, _, _) in enumerate(GOLDEN)], "i int, d double, n double, p double, e double")
+    status, score = matching.match(*map(F.col, "dnpe"))
+    found = {r["i"]: (r["status"], r["score"]) for r in rows.select("i", status.alias("status"), score.alias("score")).collect()}
+    assert found == {i: (status, score) for i, (_, status, score) in enumerate(GOLDEN)}
 
 
 def test_people(spark):
@@ -68,12 +84,15 @@ def test_people(spark):
 
     lead_blocks, buyer_blocks = {r["lead"]: blocks(r) for r in leads}, {r["buyer"]: blocks(r) for r in buyers}
     lead_of, buyer_of = {r["lead"]: who(r) for r in leads}, {r["buyer"]: who(r) for r in buyers}
-    wanted = {(i, j): scores_of(lead_of[i], buyer_of[j]) for i, x in lead_blocks.items() for j, y in buyer_blocks.items() if x & y}
-    found = {(r["lead"], r["buyer"]): tuple(r[2:]) for r in registry.QUERIES["sc09_match_scores"](spark, FOLDER).collect()}
+    wanted = {(i, j): similarity(lead_of[i], buyer_of[j]) for i, x in lead_blocks.items() for j, y in buyer_blocks.items() if x & y}
+    scored = registry.QUERIES["sc09_match_scores"](spark, FOLDER)
+    found = {(r["lead"], r["buyer"]): tuple(r[2:]) for r in scored.collect()}
     assert found.keys() == wanted.keys()
     for k, v in wanted.items():
-        assert found[k][4] == v[4] and all(abs(x - y) < 0.011 for x, y in zip((*found[k][:4], found[k][5]), (*v[:4], v[5]))), (k, found[k], v)
-    assert {v[4] for v in wanted.values()} >= {"CONFIRMADO", "PROBABLE"}
+        assert all(abs(x - y) < 0.011 for x, y in zip(found[k][:4], v, strict=True)), (k, found[k], v)
+    status, score = matching.match(*(F.col(f"{c}_score") for c in ("document", "name", "phone", "email")))
+    assert scored.where((F.col("status") != status) | (F.abs(F.col("score") - score) > 0.011)).count() == 0
+    assert {v[4] for v in found.values()} >= {"CONFIRMADO", "PROBABLE"}
     rank = {"NO MATCH": 0, "REVISAR": 1, "PROBABLE": 2, "CONFIRMADO": 3}
     best = {}
     for (i, j), v in found.items():

@@ -49,6 +49,7 @@ HELD_BY = {
     "src13_sanitized_project_month": "test_values.py::test_sanitized_project_month",
     "tk07_best_person": "test_pairs.py::test_people",
     "udf03_pair_similarity": "test_pairs.py::test_name_pairs",
+    "udf04_series_profile": "test_series.py::test_profiles_of_projects",
 }
 
 

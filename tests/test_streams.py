@@ -89,7 +89,6 @@ def drawn_events(seed, n=400, units=6):
 
 def test_ledger_under_disorder(spark):
     ship_code(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     events, path = drawn_events(1), folder()
     draw = random.Random(2)
     arrival = sorted(events, key=lambda e: e[2] + dt.timedelta(hours=draw.randrange(30)))
@@ -99,7 +98,11 @@ def test_ledger_under_disorder(spark):
     for rows in [*files, [(-1, -1, dt.datetime(2024, 3, 1), "END")]]:
         spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(path)
     stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(path)
-    found = streams.run_to_table(exports.ledger_under_disorder(stream, "2 days")).collect()
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    with exports.rocks_state(spark):
+        found = streams.run_to_table(exports.ledger_under_disorder(stream, "2 days")).collect()
+    assert spark.conf.get(key) == before
     assert len(found) == len(events)
     assert {r["event_id"]: (r["unit"], r["kind"], r["before_state"], r["after_state"], r["applied"]) for r in found} == states(events)
 

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 SHAPE = "n long, missing long, zero_rate double, acf1 double, acf12 double, slope double, seasonal_strength double, adi double, cv2 double, pattern string, adf_t double, kpss double, models array<string>"
 
 
+def _flat(y: np.ndarray, scale: np.ndarray) -> bool:
+    """Whether y varies by no more than rounding does to numbers like those in scale."""
+    return bool(y.std() <= 1e-9 * max(1.0, np.abs(scale).max(initial=0.0)))
+
+
 def _corr(y: np.ndarray, lag: int) -> float:
     """The correlation of a series with itself so many steps before; NaN where there is none."""
-    if len(y) <= lag + 1 or y[:-lag].std() == 0 or y[lag:].std() == 0:
+    if len(y) <= lag + 1 or _flat(y[:-lag], y) or _flat(y[lag:], y):
         return np.nan
     return float(np.corrcoef(y[:-lag], y[lag:])[0, 1])
 
@@ -24,8 +29,7 @@ def seasonal_strength(y: np.ndarray, period: int = 12) -> float:
     x = np.arange(len(y))
     rest = y - np.polyval(np.polyfit(x, y, 1), x)
     means = np.array([rest[x % period == k].mean() for k in range(period)])
-    total = rest.var()
-    return float(max(0.0, 1 - (rest - means[x % period]).var() / total)) if total > 0 else 0.0
+    return 0.0 if _flat(rest, y) else float(max(0.0, 1 - (rest - means[x % period]).var() / rest.var()))
 
 
 def demand_pattern(y: np.ndarray) -> tuple[float, float, str]:
@@ -41,7 +45,7 @@ def demand_pattern(y: np.ndarray) -> tuple[float, float, str]:
 def dickey_fuller(y: np.ndarray, lags: int = 1) -> float:
     """The t-value of the level in a regression of steps on level, a constant and earlier steps: far below zero where the series returns to its mean."""
     d = np.diff(y)
-    if len(d) < lags + 8:
+    if len(d) < lags + 8 or _flat(y, y):
         return np.nan
     x = np.column_stack([y[lags:-1], np.ones(len(d) - lags), *(d[lags - k : -k] for k in range(1, lags + 1))])
     target = d[lags:]
@@ -56,7 +60,7 @@ def dickey_fuller(y: np.ndarray, lags: int = 1) -> float:
 def kpss(y: np.ndarray) -> float:
     """How far the running sums of what the mean leaves wander, against the long-run variance (Bartlett weights): large where the level moves."""
     n = len(y)
-    if n < 10:
+    if n < 10 or _flat(y, y):
         return np.nan
     e = y - y.mean()
     lags = int(np.ceil(12 * (n / 100) ** 0.25))

@@ -36,27 +36,33 @@ def st01_buckets(t: Tables) -> DataFrame:
     return exports.upsert_buckets(event_stream(t), ["user_id"], F.col("ts").desc_nulls_last(), F.col("event_id").desc()).read().select("user_id", "event_id", "event_type")
 
 
-def disordered(t: Tables, days: int = 5) -> str:
-    """A folder of the process events in files of so many days, an event up to two days late; then a mark far ahead that says that no more come."""
-    path = streams.shared(t.spark, "disorder")
+def disordered(t: Tables, days: int = 5, rows_of_file: int = 1_000_000) -> tuple[str, int]:
+    """(folder, files of a step): the process events in steps of so many days, an event up to two days late; then a mark far ahead that says that no more come.
+
+    A step has the same number of files as the others, so that a batch of so many is one step; no file is made of all rows by one task.
+    """
+    path, staged = streams.shared(t.spark, "disorder"), streams.shared(t.spark, "steps")
     kinds = F.create_map(*(F.lit(x) for pair in KINDS.items() for x in pair))
     rows = t.events.where(F.col("event_type").isin(*KINDS)).select(F.col("user_id").alias("unit"), "event_id", F.col("ts").cast("timestamp").alias("ts"), kinds[F.col("event_type")].alias("kind"))
     late = F.unix_date(F.to_date("ts")) + F.pmod(F.xxhash64("event_id"), F.lit(3))
-    rows = rows.withColumn("file", F.floor(late / days))
-    files = sorted(r[0] for r in rows.select("file").distinct().collect())  # one for each step of days
-    for f in files:
-        rows.where(F.col("file") == f).drop("file").coalesce(1).write.mode("append").parquet(path)
+    rows.withColumn("step", F.floor(late / days)).write.partitionBy("step").parquet(staged)
+    rows = t.spark.read.schema("unit long, event_id long, ts timestamp, kind string, step long").parquet(staged)
+    steps = dict(rows.groupBy("step").count().collect())  # one for each step of days
+    files = 1 + min(steps.values(), default=0) // rows_of_file
+    for step in sorted(steps):
+        rows.where(F.col("step") == step).drop("step").repartition(files).write.mode("append").parquet(path)
     end = rows.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts")).select(F.lit(-1).cast("long").alias("unit"), F.lit(-1).cast("long").alias("event_id"), "ts", F.lit("END").alias("kind"))
     end.coalesce(1).write.mode("append").parquet(path)
-    return path
+    return path, files
 
 
 @query("st02_disordered_ledger", f"WITH RECURSIVE {LEDGER} SELECT unit, event_id, kind, before_state, after_state, applied FROM ledger")
 def st02_disorder(t: Tables) -> DataFrame:
     """The ledger of events that come in files, late by up to two days, also across files."""
     ship_code(t.spark)
+    path, files = disordered(t)
     with exports.rocks_state(t.spark):
-        stream = t.spark.readStream.schema("unit long, event_id long, ts timestamp, kind string").option("maxFilesPerTrigger", 1).parquet(disordered(t))
+        stream = t.spark.readStream.schema("unit long, event_id long, ts timestamp, kind string").option("maxFilesPerTrigger", files).parquet(path)
         return streams.run_to_table(exports.ledger_under_disorder(stream, "3 days"))
 
 

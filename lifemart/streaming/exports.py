@@ -133,43 +133,53 @@ def load_exports(stream: DataFrame, source: str, place: str, content: list[str])
 
 
 class _Ledger(StatefulProcessor):
-    """Holds a unit's events until the watermark has passed them, then applies them in the order of time and id."""
+    """Holds the events of a bucket of units until the watermark has passed them, then applies each unit's in the order of time and id.
+
+    A bucket has one value of state and at most one timer, at the earliest event that it holds, so a batch calls it once with rows and once as its timer expires.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.now = handle.getValueState("now", "state int")
-        self.held = handle.getListState("held", "ts long, event_id long, kind string")
+        held = "held_units array<string>, micros array<long>, events array<long>, kinds array<string>"
+        self.kept = handle.getValueState("kept", f"due long, units array<string>, states array<int>, {held}")
+
+    def read(self) -> tuple[int | None, dict[str | None, int], list[tuple]]:
+        """The timer that stands, the state of each unit, and the events held: time, id, unit, kind."""
+        if not (row := self.kept.get()):
+            return None, {}, []
+        due, units, states, held, micros, events, kinds = row
+        return due, dict(zip(units, states, strict=True)), list(zip(micros, events, held, kinds, strict=True))
+
+    def keep(self, due: int | None, now: dict[str | None, int], held: list[tuple]) -> None:
+        first = min(e[0] for e in held) // 1000 + 1 if held else None
+        if due != first:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if first is not None:
+                self.handle.registerTimer(first)
+        columns = [[e[i] for e in held] for i in (2, 0, 1, 3)]
+        self.kept.update((first, list(now), list(now.values()), *columns))
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        due, now, held = self.read()
         for frame in rows:
-            micros = [int(v) for v in frame["micros"]]
-            for event in zip(micros, frame["event_id"], frame["kind"], strict=True):
-                self.held.appendValue((event[0], int(event[1]), event[2]))
-            for ms in {m // 1000 + 1 for m in micros}:
-                self.handle.registerTimer(ms)
+            held += zip(frame["micros"].tolist(), frame["event_id"].tolist(), frame["unit"].tolist(), frame["kind"].tolist(), strict=True)
+        self.keep(due, now, held)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
         import pandas as pd
 
         limit = timerValues.getCurrentWatermarkInMs() * 1000
-        held = sorted(tuple(e) for e in self.held.get())
-        ripe = [e for e in held if e[0] <= limit]
-        if not ripe:
-            return
-        now = self.now.get()[0] if self.now.exists() else 0
+        _, now, held = self.read()
         out = []
-        for _, event, kind in ripe:
-            new = STEPS.get((kind, now), now)
-            out.append((key[0], event, kind, STATES[now], STATES[new], new != now))
-            now = new
-        self.now.update((now,))
-        rest = held[len(ripe) :]
-        if rest:
-            self.held.put(rest)
-        else:
-            self.held.clear()
-        yield pd.DataFrame(out, columns=["unit", "event_id", "kind", "before_state", "after_state", "applied"])
+        for _, event, unit, kind in sorted((e for e in held if e[0] <= limit), key=lambda e: e[:2]):
+            old = now.get(unit, 0)
+            new = now[unit] = STEPS.get((kind, old), old)
+            out.append((None if unit is None else int(unit), event, kind, STATES[old], STATES[new], new != old))
+        self.keep(None, now, [e for e in held if e[0] > limit])  # the timer that expired is gone
+        frame = pd.DataFrame(out, columns=["unit", "event_id", "kind", "before_state", "after_state", "applied"])
+        yield frame.astype({"unit": "Int64"})
 
     def close(self) -> None:
         pass
@@ -187,12 +197,13 @@ def rocks_state(spark: SparkSession):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def ledger_under_disorder(stream: DataFrame, delay: str) -> DataFrame:
+def ledger_under_disorder(stream: DataFrame, delay: str, buckets: int = 1024) -> DataFrame:
     """LEDGER_SHAPE of a stream of unit, event_id, ts, kind whose events may come late by delay, within a batch and across batches.
 
-    A unit's events wait in its state until the watermark (the latest time seen less delay) has passed them, by event-time timers, so the result is that
-    of the sorted events. What comes later than delay is dropped by the watermark. The last events wait until later ones come. State is what a unit has
-    within delay. Start it in rocks_state.
+    Events wait in the state of their unit's bucket until the watermark (the latest time seen less delay) has passed them, by event-time timers, so the
+    result is that of the sorted events. What comes later than delay is dropped by the watermark. The last events wait until later ones come. A bucket's
+    state is the state of its units and what they have within delay, and a batch rewrites it; buckets should grow with the units. Start it in rocks_state.
     """
     rows = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).withColumn("micros", F.unix_micros("ts"))
-    return rows.groupBy("unit").transformWithStateInPandas(_Ledger(), LEDGER_SHAPE, "Append", "EventTime")
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("unit"), F.lit(buckets))).withColumn("unit", F.col("unit").cast("string"))
+    return rows.groupBy("bucket").transformWithStateInPandas(_Ledger(), LEDGER_SHAPE, "Append", "EventTime")

@@ -107,6 +107,56 @@ def test_ledger_under_disorder(spark):
     assert {r["event_id"]: (r["unit"], r["kind"], r["before_state"], r["after_state"], r["applied"]) for r in found} == states(events)
 
 
+class Handle:
+    """What a stateful processor asks of its handle, for one key."""
+
+    def __init__(self):
+        self.timers, self.calls = set(), 0
+
+    def getValueState(self, name, shape):  # noqa: N802
+        held = type("Value", (), {"row": None, "get": lambda self: self.row, "exists": lambda self: self.row is not None})()
+        held.update = lambda row: setattr(held, "row", row)
+        return held
+
+    def getListState(self, name, shape):  # noqa: N802
+        rows = []
+        return type("List", (), {"get": lambda self: iter(rows), "appendValue": lambda self, row: rows.append(row), "put": lambda self, new: rows.__setitem__(slice(None), new), "clear": lambda self: rows.clear()})()
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+
+def test_ledger_has_one_timer_at_a_time():
+    import pandas as pd
+
+    handle, out = Handle(), []
+    ledger_of = exports._Ledger()
+    ledger_of.init(handle)
+    events = drawn_events(4, units=5) + [(None, 1000 + i, dt.datetime(2024, 1, 2 + i), k) for i, k in enumerate(["ALTA", "SEPARACION", "CAIDA"])]
+    micros = lambda e: int((e[2] - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+    arrival = sorted(events, key=lambda e: e[2] + dt.timedelta(hours=e[1] % 30))
+    batches, top = [arrival[i : i + 90] for i in range(0, len(arrival), 90)], 0
+    for limit, batch in [*((None, b) for b in batches), (10**13, [])]:
+        before = handle.calls
+        if batch:
+            ledger_of.handleInputRows((1,), iter([pd.DataFrame([(str(e[0]) if e[0] is not None else None, e[1], micros(e), e[3]) for e in batch], columns=["unit", "event_id", "micros", "kind"])]), None)
+            top = max([top, *map(micros, batch)])
+            assert handle.calls - before <= 1 and len(handle.timers) == 1
+        limit = limit or top // 1000 - 2 * 86_400_000
+        watermark = type("Times", (), {"getCurrentWatermarkInMs": lambda self, at=limit: at})()
+        for at in [x for x in handle.timers if x <= limit]:
+            handle.timers.remove(at)
+            out += [tuple(r) for f in ledger_of.handleExpiredTimer((1,), watermark, None) for r in f.itertuples(index=False)]
+        assert len(handle.timers) <= 1
+    assert not handle.timers
+    found = {event: (None if unit is pd.NA else unit, kind, before, after, applied) for unit, event, kind, before, after, applied in out}
+    assert len(out) == len(events) and found == states(events)
+
+
 @pytest.mark.parametrize("hot", [0, 70, 1_000_000])
 def test_ledger_of_hot_keys(spark, hot):
     events = drawn_events(3) + [(99, 1000 + i, dt.datetime(2024, 1, 1) + dt.timedelta(days=i), k) for i, k in enumerate(["VENTA", "CAIDA", "ALTA", "VENTA", "SEPARACION", "CAIDA", "SEPARACION", "VENTA", "VENTA", "CAIDA", "ALTA"])]

@@ -77,7 +77,7 @@ def src12(t: Tables) -> DataFrame:
 def src13(t: Tables) -> DataFrame:
     """No key leaves in the clear; the hash covers what is published. (HMAC has no SQL twin; tests hold it against Python's.)"""
     rows = project_months(t).select(text.hmac_sha256(b"secret", F.col("project").cast("string")).alias("project_hash"), "month", "sales", "falls")
-    return rows.withColumn("content_hash", ingest.row_hash(["project_hash", "month", "sales", "falls"]))
+    return rows.withColumn("content_hash", ingest.row_hash(rows, ["project_hash", "month", "sales", "falls"]))
 
 
 @query("src14_next_month_pairs", f"WITH {PM} SELECT a.project, a.month, a.sales, b.sales AS next_sales FROM pm a JOIN pm b ON a.project=b.project AND b.month=CAST(a.month + INTERVAL 1 MONTH AS DATE) WHERE a.n_lines>1 AND b.n_lines>1")

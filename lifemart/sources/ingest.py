@@ -166,26 +166,29 @@ def key_audit(df: DataFrame, keys: list[str], watermark: str) -> DataFrame:
     return groups.agg(F.sum("nulls").alias("null_keys"), F.count_if(F.col("n") > 1).alias("duplicate_groups"), F.min("lo").alias("min_watermark"), F.max("hi").alias("max_watermark"))
 
 
-def row_hash(columns: list[str]) -> Column:
-    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+def row_hash(df: DataFrame, columns: list[str]) -> Column:
+    """The hash of the values of columns of df; equal numbers have equal hashes, so a zero of either sign is 0."""
+    kinds = dict(df.dtypes)
+    value = lambda c: (F.when(F.col(c) == 0, F.lit(0).cast(kinds[c])).otherwise(F.col(c)) if kinds[c] in ("float", "double") else F.col(c)).alias(c)
+    return F.sha2(F.to_json(F.struct(*map(value, sorted(columns))), {"ignoreNullFields": "false"}), 256)
 
 
 def incremental_by_hash(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Each key of either side with what happens to it: INSERT, UPDATE, DELETE or UNCHANGED."""
-    a = source.select(*keys, row_hash(columns).alias("_new"))
-    b = target.select(*keys, row_hash(columns).alias("_old"))
+    a = source.select(*keys, row_hash(source, columns).alias("_new"))
+    b = target.select(*keys, row_hash(target, columns).alias("_old"))
     what = F.when(F.col("_old").isNull(), "INSERT").when(F.col("_new").isNull(), "DELETE").when(F.col("_new") != F.col("_old"), "UPDATE").otherwise("UNCHANGED")
     return a.join(b, keys, "full_outer").select(*keys, what.alias("what"))
 
 
 def hashed(df: DataFrame, columns: list[str], rules: str) -> DataFrame:
     """df as a target: with the hash of each row and the version of the rules that made it."""
-    return df.withColumns({"_row_hash": row_hash(columns), "_rules": F.lit(rules)})
+    return df.withColumns({"_row_hash": row_hash(df, columns), "_rules": F.lit(rules)})
 
 
 def load_plan(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], rules: str) -> DataFrame:
     """Each key of either side with what a load does: INSERT, DELETE, UPDATE, UNCHANGED, or REBUILD of rows that other rules made, whatever their hash."""
-    a = source.select(*keys, row_hash(columns).alias("_new"))
+    a = source.select(*keys, row_hash(source, columns).alias("_new"))
     b = target.select(*keys, F.col("_row_hash").alias("_old"), F.col("_rules").alias("_by"))
     old = ~F.col("_by").eqNullSafe(F.lit(rules))
     what = F.when(F.col("_old").isNull(), "INSERT").when(F.col("_new").isNull(), "DELETE").when(old, "REBUILD").when(F.col("_new") != F.col("_old"), "UPDATE").otherwise("UNCHANGED")

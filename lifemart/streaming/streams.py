@@ -22,9 +22,14 @@ def shared(spark: SparkSession, label: str) -> str:
 
 
 def file_stream(df: DataFrame, path: str) -> DataFrame:
-    """The rows of a parquet file or folder as a stream with the table's schema."""
+    """The rows of a parquet file, or of a folder of such files under any name, as a stream with the table's schema."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(df.schema)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.option("pathGlobFilter", "*.parquet").parquet(path)
     folder, _, name = path.rpartition("/")
-    return df.sparkSession.readStream.schema(df.schema).option("pathGlobFilter", name if name.endswith(".parquet") else "*.parquet").parquet(folder if name.endswith(".parquet") else path)
+    return reader.option("pathGlobFilter", name).parquet(folder)
 
 
 def run_to_table(stream: DataFrame, mode: str = "append") -> DataFrame:

@@ -31,3 +31,9 @@ def test_zeros_of_both_signs_are_equal(spark, tmp_path, name):
     rows = [(k, -0.0 if k % 3 else 0.0) for k in range(60)]
     spark.createDataFrame(rows, "c_custkey long, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     assert held(spark, name, tmp_path, customer=f"{tmp_path}/customer.parquet/*.parquet")
+
+
+@pytest.mark.parametrize("name", ["st03_conversation_reactions", "st06_message_events"])
+def test_streams_read_tables_that_are_folders(spark, tmp_path, name):
+    spark.read.parquet(f"{SMALL}/conversations.parquet").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    assert held(spark, name, tmp_path, conversations=f"{SMALL}/conversations.parquet")

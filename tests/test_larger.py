@@ -37,3 +37,11 @@ def test_zeros_of_both_signs_are_equal(spark, tmp_path, name):
 def test_streams_read_tables_that_are_folders(spark, tmp_path, name):
     spark.read.parquet(f"{SMALL}/conversations.parquet").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
     assert held(spark, name, tmp_path, conversations=f"{SMALL}/conversations.parquet")
+
+
+def test_identity_counts_every_client_of_a_document(spark, tmp_path):
+    clients, users = [*range(300), None], [5, 5, 96, 298, 400, 10_000, None]
+    spark.createDataFrame([(k,) for k in clients], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k,) for k in users], "user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    found = {r["source"]: (r["candidates"], r["evidence"]) for r in registry.QUERIES["jn16_multi_key_identity"](spark, str(tmp_path)).collect()}
+    assert found == {u: (sum(c % 97 == u % 97 for c in clients[:-1]), 1 + (u < 300)) for u in users[:-1]}

@@ -16,8 +16,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Quantiles are right to one rank in so many of the rows.
-ACCURACY = 1_000_000
+from .quantiles import discrete_quantiles
 
 
 def assembled(df: DataFrame, numeric: list[str]) -> DataFrame:
@@ -130,11 +129,11 @@ def auto_baseline(df: DataFrame, target: str, time: str, cut: str, classes: int
 
 
 def robust_scores(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with score: the largest robust z (0.6745 |x - median| / median deviation) of the columns. Two scans, one for the medians of all columns and one for their deviations."""
-    middle = df.agg(*(F.percentile_approx(c, 0.5, ACCURACY) for c in columns)).first()
-    away = [F.abs(F.col(c) - F.lit(m)) for c, m in zip(columns, middle, strict=True)]
-    spread = df.agg(*(F.percentile_approx(x, 0.5, ACCURACY) for x in away)).first()
-    scores = [x / F.nullif(F.lit(d).cast("double"), F.lit(0.0)) for x, d in zip(away, spread, strict=True)]
+    """df with score: the largest robust z (0.6745 |x - median| / median deviation) of the columns. Both medians are exact values of the columns (discrete_quantiles)."""
+    middle = discrete_quantiles(df, columns, 0.5)
+    away = {f"_away{i}": F.abs(F.col(c) - F.lit(middle[c]).cast("double")) for i, c in enumerate(columns)}
+    spread = discrete_quantiles(df.select(*(x.alias(name) for name, x in away.items())), list(away), 0.5)
+    scores = [x / F.nullif(F.lit(spread[name]).cast("double"), F.lit(0.0)) for name, x in away.items()]
     return df.withColumn("score", 0.6745 * (F.greatest(*scores) if len(scores) > 1 else scores[0]))
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,6 +116,14 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     return out
 
 
+def discrete_quantiles(df: DataFrame, columns: list[str], probability: float, small: int = SMALL) -> dict[str, float | None]:
+    """The least value of each column that a share of probability of its values does not exceed; nulls and NaN are no values, None where a column has none."""
+    counts = dict(zip(columns, df.agg(*(F.count(_number(c)) for c in columns)).first(), strict=True))
+    ranks = {c: max(1, math.ceil(Fraction(str(probability)) * n)) - 1 for c, n in counts.items() if n}
+    found = exact_ranks(df, {c: [r] for c, r in ranks.items()}, counts, small) if ranks else {}
+    return {c: found[c, ranks[c]] if c in ranks else None for c in columns}
+
+
 def numeric_profile(df: DataFrame, columns: list[str], small: int = SMALL) -> DataFrame:
     """A row for each column: observations, null and zero rates, moments, quantiles. NaN counts as null.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import first_of, ratio
 from ..operators import models
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import discrete_quantiles, exact_quantiles
 from ..registry import Tables, query
 from ..session import ship_code
 from .forecast import fc02
@@ -336,9 +336,9 @@ def ml28(t: Tables) -> DataFrame:
 
 @query("ml28_contamination", "WITH m AS (SELECT quantile_disc(l_extendedprice,0.5) AS a, quantile_disc(l_quantity,0.5) AS b FROM lineitem), d AS (SELECT quantile_disc(abs(l_extendedprice-a),0.5) AS da, quantile_disc(abs(l_quantity-b),0.5) AS db, any_value(a) AS a, any_value(b) AS b FROM lineitem, m), s AS (SELECT l_orderkey, l_linenumber, l_partkey, 0.6745*greatest(abs(l_extendedprice-a)/nullif(da,0), abs(l_quantity-b)/nullif(db,0)) AS score FROM lineitem, d), c AS (SELECT quantile_disc(score,0.99) AS cut FROM s) SELECT l_orderkey, l_linenumber, l_partkey, round(score,6) AS score FROM s, c WHERE score>cut")
 def ml28_contamination(t: Tables, contamination: float = 0.01) -> DataFrame:
-    """The share of lines with the largest robust z of price or quantity. Quantiles are ranks to one in ACCURACY. Four scans, no join."""
+    """The share of lines with the largest robust z of price or quantity. Quantiles are exact."""
     scored = models.robust_scores(t.lineitem, ["l_extendedprice", "l_quantity"])
-    cut = scored.agg(F.percentile_approx("score", 1 - contamination, models.ACCURACY)).first()[0]
+    cut = discrete_quantiles(scored, ["score"], 1 - contamination)["score"]
     return scored.where(F.col("score") > F.lit(cut).cast("double")).select("l_orderkey", "l_linenumber", "l_partkey", F.round("score", 6).alias("score"))
 
 

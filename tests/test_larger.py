@@ -45,3 +45,10 @@ def test_identity_counts_every_client_of_a_document(spark, tmp_path):
     spark.createDataFrame([(k,) for k in users], "user_id long").write.parquet(f"{tmp_path}/events.parquet")
     found = {r["source"]: (r["candidates"], r["evidence"]) for r in registry.QUERIES["jn16_multi_key_identity"](spark, str(tmp_path)).collect()}
     assert found == {u: (sum(c % 97 == u % 97 for c in clients[:-1]), 1 + (u < 300)) for u in users[:-1]}
+
+
+def test_contamination_by_exact_ranks(spark, tmp_path):
+    draw = lambda seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 52)) / float(1 << 44)
+    lines = spark.range(2_500_000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 1000).alias("l_partkey"), draw(1).alias("l_extendedprice"), draw(2).alias("l_quantity"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert held(spark, "ml28_contamination", tmp_path, lineitem=f"{tmp_path}/lineitem.parquet/*.parquet")

@@ -5,18 +5,22 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.rules import first_of
+from ..session import written
 
 STATUSES = ("NO MATCH", "REVISAR", "PROBABLE", "CONFIRMADO")
 #: Texts that say nothing.
 EMPTY = ("", "-", "none", "null", "nan", "n/a")
 #: Pairs of a block that one task makes; a block of more is dealt to several.
 PAIRS = 1_000_000
+#: Texts shorter than this are compared many pairs at a time, so many at once; difflib counts frequent letters of longer ones differently.
+SHORT, BATCH = 200, 4096
 
 
 def normal_email(email: Column) -> Column:
@@ -53,29 +57,34 @@ def block_keys() -> Column:
 
 def _keyed(df: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
     """key, keys of each record that shares a block: its shared blocks with their pairs, rarest first."""
-    blocks = df.select(key, F.explode(block_keys()).alias("block")).join(sizes, "block")
+    blocks = df.select(key, F.explode("blocks").alias("block")).join(sizes, "block")
     return blocks.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("pairs", "block", "parts", "left_larger"))).alias("keys"))  # as many as kinds of keys and words
 
 
-def candidates(left: DataFrame, right: DataFrame, left_key: str, right_key: str, pairs_of_task: int = PAIRS) -> DataFrame:
-    """left_key, right_key of every pair that shares a block key, once. Keys should be each record's own.
+def candidates(left: DataFrame, right: DataFrame, left_key: str, right_key: str, pairs_of_task: int = PAIRS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """left_key, right_key of every pair that shares a block key, once, with the columns in carried as l_ and r_ ones. Keys should be each record's own.
 
     A pair is made in the rarest block that both records have, which each task sees from the blocks that come with the records, so no pair is
-    made twice and pairs are never shuffled. A block of more than pairs_of_task pairs is dealt: the larger side's records go to one part each, the
-    smaller side's to every part. No block is cut.
+    made twice and pairs are never shuffled, nor joined to what is carried. A block of more than pairs_of_task pairs is dealt: the larger side's
+    records go to one part each, the smaller side's to every part. No block is cut. Records are put in normal form and keyed once.
     """
-    n = lambda df, name: df.select(F.explode(block_keys()).alias("block")).groupBy("block").agg(F.count("*").alias(name))
+    left, right = (written(df.select(key, *carried, block_keys().alias("blocks")), "people") for df, key in ((left, left_key), (right, right_key)))
+    n = lambda df, name: df.select(F.explode("blocks").alias("block")).groupBy("block").agg(F.count("*").alias(name))
     sizes = n(left, "a").join(n(right, "b"), "block").select("block", (F.col("a") * F.col("b")).alias("pairs"), F.least(F.greatest("a", "b"), F.ceil(F.col("a") * F.col("b") / pairs_of_task)).cast("int").alias("parts"), (F.col("a") >= F.col("b")).alias("left_larger"))
 
-    def dealt(df: DataFrame, key: str, name: str, larger: Column) -> DataFrame:
-        rows = _keyed(df, key, sizes).select(key, F.col("keys").alias(name), F.explode("keys").alias("own"))
+    def dealt(df: DataFrame, key: str, side: str, larger: Column) -> DataFrame:
+        rows = _keyed(df, key, sizes)
+        if carried:
+            rows = rows.join(df.select(key, *(F.col(c).alias(f"{side}_{c}") for c in carried)), key)
+        kept = [key, *(f"{side}_{c}" for c in carried)]
+        rarer = F.slice(F.transform("keys", lambda x: x["block"]), F.lit(1), F.col("place")).alias(f"{side}_rarer")
+        rows = rows.select(*kept, "keys", F.posexplode("keys").alias("place", "own")).select(*kept, rarer, "own")
         own = F.pmod(F.xxhash64(key), F.col("own.parts")).cast("int")
         places = F.when(larger, F.array(own)).otherwise(F.sequence(F.lit(0), F.col("own.parts") - 1))
-        return rows.select(key, name, F.col("own.block").alias("block"), F.explode(places).alias("part"))
+        return rows.select(*kept, f"{side}_rarer", F.col("own.block").alias("block"), F.explode(places).alias("part"))
 
-    a, b = dealt(left, left_key, "left_keys", F.col("own.left_larger")), dealt(right, right_key, "right_keys", ~F.col("own.left_larger"))
-    rarest = F.array_intersect("left_keys", "right_keys")[0]["block"]
-    return a.join(b, ["block", "part"]).where(rarest == F.col("block")).select(left_key, right_key)
+    a, b = dealt(left, left_key, "l", F.col("own.left_larger")), dealt(right, right_key, "r", ~F.col("own.left_larger"))
+    return a.join(b, ["block", "part"]).where(~F.arrays_overlap("l_rarer", "r_rarer")).select(left_key, right_key, *(f"{side}_{c}" for side in "lr" for c in carried))
 
 
 def block_report(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -85,14 +94,78 @@ def block_report(left: DataFrame, right: DataFrame) -> DataFrame:
     return pairs.groupBy("kind").agg(F.count("*").alias("blocks"), F.sum("pairs").alias("pairs"), F.max("pairs").alias("largest"))
 
 
-@lru_cache(maxsize=1 << 16)
 def ratio(x: str, y: str) -> float:
     """The share of letters in matching blocks (Ratcliff and Obershelp), in percent; it depends on the order."""
     return round(100.0 * SequenceMatcher(None, x, y).ratio(), 2) if x and y else 0.0
 
 
+@lru_cache(maxsize=1)
+def _percents() -> np.ndarray:
+    """The ratio by letters in matching blocks and letters of both texts, rounded as ratio does."""
+    return np.array([[round(100.0 * (2.0 * m / n), 2) if n else 0.0 for n in range(2 * SHORT)] for m in range(SHORT)])
+
+
+def _letters(texts: list[str]) -> np.ndarray:
+    """The code points of each text in a column, zeros behind its end."""
+    width = max(map(len, texts))
+    codes = np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width)
+    return np.ascontiguousarray(codes.T)
+
+
+def _pieces(letters: np.ndarray, pair: np.ndarray, low: np.ndarray, high: np.ndarray, behind: int) -> np.ndarray:
+    """letters of each piece from low to high in a column, behind where it has ended."""
+    place = low + np.arange((high - low).max())[:, None]
+    return np.where(place < high, letters[np.minimum(place, len(letters) - 1), pair], letters.dtype.type(behind))
+
+
+def _longest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(length, begin in a, begin in b) of the longest common run of each column; the first in a, then in b, of equal ones."""
+    n = a.shape[1]
+    best, end_a, end_b = (np.zeros(n, np.int64) for _ in range(3))
+    last, run = np.zeros((len(b) + 1, n), np.uint8), np.zeros((len(b) + 1, n), np.uint8)
+    for i, letter in enumerate(a):
+        np.add(last[:-1], 1, out=run[1:])
+        run[1:] *= (b == letter).view(np.uint8)
+        longest = run.max(axis=0)
+        better = np.flatnonzero(longest > best)
+        if len(better):
+            best[better], end_a[better], end_b[better] = longest[better], i + 1, run[:, better].argmax(axis=0)
+        last, run = run, last
+    return best, end_a - best, end_b - best
+
+
+def _matching(x: list[str], y: list[str]) -> np.ndarray:
+    """Letters in matching blocks of each pair of texts, neither empty nor of SHORT letters: the longest common run, then those left and right of it, of all pairs together."""
+    a, b = _letters(x), _letters(y)
+    bare = max(a.max(), b.max()) < 254
+    a, b = (v.astype(np.uint8 if bare else np.uint32) for v in (a, b))
+    over = (254, 255) if bare else (0xFFFFFFFE, 0xFFFFFFFF)  # no letters
+    found = np.zeros(len(x), np.int64)
+    pair = np.arange(len(x))
+    a_low, b_low = np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
+    a_high, b_high = (np.fromiter(map(len, v), np.int64, len(x)) for v in (x, y))
+    while len(pair):
+        length, i, j = _longest(_pieces(a, pair, a_low, a_high, over[0]), _pieces(b, pair, b_low, b_high, over[1]))
+        found += np.bincount(pair, length, len(x)).astype(np.int64)
+        i, j = i + a_low, j + b_low
+        left, right = (length > 0) & (i > a_low) & (j > b_low), (length > 0) & (i + length < a_high) & (j + length < b_high)
+        ends = i + length, j + length
+        pair, a_low, a_high, b_low, b_high = (np.concatenate((u[left], v[right])) for u, v in ((pair, pair), (a_low, ends[0]), (i, a_high), (b_low, ends[1]), (j, b_high)))
+    return found
+
+
 def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+    """ratio of each pair of texts. Short ones, as names, phones and emails are, are compared together."""
+    x, y = a.fillna("").to_numpy(object), b.fillna("").to_numpy(object)
+    m, n = (np.fromiter(map(len, v), np.int64, len(v)) for v in (x, y))
+    out = np.zeros(len(x))
+    for k in np.flatnonzero((m > 0) & (n > 0) & ((m >= SHORT) | (n >= SHORT))):
+        out[k] = ratio(x[k], y[k])
+    short = np.flatnonzero((m > 0) & (n > 0) & (m < SHORT) & (n < SHORT))
+    for begin in range(0, len(short), BATCH):
+        k = short[begin : begin + BATCH]
+        out[k] = _percents()[_matching(x[k].tolist(), y[k].tolist()), m[k] + n[k]]
+    return pd.Series(out)
 
 
 def word_jaccard(x: Column, y: Column) -> Column:
@@ -136,11 +209,9 @@ def match(document: Column, name: Column, phone: Column, email: Column) -> tuple
     return first_of(*((c, s) for c, s, _ in cases), otherwise="NO MATCH"), first_of(*((c, v) for c, _, v in cases), otherwise=plain)
 
 
-def matched(pairs: DataFrame, left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """pairs with document_score, name_score, phone_score, email_score, status and score."""
-    names = ("document", "name", "canonical", "phone", "email")
-    side = lambda df, key, p: df.select(key, *(F.col(c).alias(f"{p}_{c}") for c in names))
-    both = pairs.join(side(left, left_key, "l"), left_key).join(side(right, right_key, "r"), right_key)
+def matched(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """The candidates of both sides with document_score, name_score, phone_score, email_score, status and score."""
+    both = candidates(left, right, left_key, right_key, carried=("document", "name", "canonical", "phone", "email"))
     scores = both.select(left_key, right_key, F.when(F.col("l_document") == F.col("r_document"), 100.0).otherwise(0.0).alias("document_score"), name_score("l", "r").alias("name_score"), phone_score("l", "r").alias("phone_score"), email_score("l", "r").alias("email_score"))
     status, score = match(F.col("document_score"), F.col("name_score"), F.col("phone_score"), F.col("email_score"))
     return scores.withColumns({"status": status, "score": score})

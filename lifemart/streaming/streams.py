@@ -2,23 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ledger import STATES
-
-
-def shared(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="streams-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+from ..session import shared
 
 
 def file_stream(df: DataFrame, path: str) -> DataFrame:

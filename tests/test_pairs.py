@@ -4,6 +4,7 @@ import datetime
 import difflib
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lifemart import registry
@@ -45,6 +46,28 @@ def similarity(a, b):
     return 100.0 if a[0] and a[0] == b[0] else 0.0, name, phone, email
 
 
+def test_short_texts_are_compared_together(monkeypatch):
+    """The ratio is difflib's, for texts of any letters, but short texts don't go through it one pair at a time."""
+    draw = random.Random(11)
+    word = lambda letters, n: "".join(draw.choice(letters) for _ in range(draw.randrange(n)))
+    for letters, n in (("ab", 40), ("BCDFGH ", 25), ("0123456789", 12), ("\u00e1\U0001f600b\0", 20), ("ab", 199)):
+        x, y = ([word(letters, n) for _ in range(500)] for _ in "xy")
+        want = [ratio(a, b) for a, b in zip(x, y)]
+        with monkeypatch.context() as m:
+            m.setattr(matching, "SequenceMatcher", None)
+            assert matching.ratios(pd.Series(x), pd.Series(y)).tolist() == want
+    x, y = ["ab" * 120, "ab", None, ""], ["ba" * 130, "b" * 300, "a", None]
+    assert matching.ratios(pd.Series(x), pd.Series(y)).tolist() == [ratio(a, b) for a, b in zip(x, y)]
+
+
+def test_records_of_pairs_are_prepared_once(spark, monkeypatch):
+    """Candidates read records that were keyed once; neither normal forms nor joins follow the pairs."""
+    kept = []
+    monkeypatch.setattr(matching, "written", lambda df, label: kept.append(label) or df)
+    registry.QUERIES["jn20_blocked_fuzzy"](spark, FOLDER)
+    assert kept == ["people", "people"]
+
+
 #: Scores of document, name, phone and email, and what follows from them.
 GOLDEN = [
     ((100, 0, 0, 0), "CONFIRMADO", 100.0),

@@ -69,21 +69,30 @@ def _number(column: str) -> Column:
 def _rounds(df: DataFrame, searches: list[_Search], small: int) -> None:
     """Narrows searches until each is found or has at most small rows inside."""
     while live := [s for s in searches if s.value is None and s.inside > small]:
-        shares = []
+        spans: dict[tuple, list[_Search]] = {}  # searches of one interval share a sketch and counts
         for s in live:
-            p = (s.rank - s.below + 0.5) / s.inside
-            ends = [max(0.0, p - APART / ACCURACY), min(1.0, p + APART / ACCURACY)]
-            shares.append(F.percentile_approx(F.when(s.within(_number(s.column)), _number(s.column)), F.array(*map(F.lit, ends)), ACCURACY))
-        for s, ends in zip(live, df.agg(*(x.alias(f"s{i}") for i, x in enumerate(shares))).first(), strict=True):
-            s.ends = (ends[0], ends[1])
-        counts = []
-        for i, s in enumerate(live):
-            x, (a, b) = _number(s.column), s.ends
-            inside = s.within(x)
-            counts += [F.count_if(inside & (x < a)).alias(f"l{i}"), F.count_if(inside & (x == a)).alias(f"f{i}"), F.count_if(inside & (x > a) & (x < b)).alias(f"b{i}"), F.count_if(inside & (x == b) & F.lit(a < b)).alias(f"h{i}")]
-        found = df.agg(*counts).first()
-        for i, s in enumerate(live):
-            s.narrow(*found[4 * i : 4 * i + 4])
+            spans.setdefault((s.column, s.low, s.high), []).append(s)
+        groups, shares = list(spans.values()), []
+        for group in groups:
+            places = [(s.rank - s.below + 0.5) / s.inside for s in group]
+            ends = [x for p in places for x in (max(0.0, p - APART / ACCURACY), min(1.0, p + APART / ACCURACY))]
+            shares.append(F.percentile_approx(F.when(group[0].within(_number(group[0].column)), _number(group[0].column)), F.array(*map(F.lit, ends)), ACCURACY))
+        for group, ends in zip(groups, df.agg(*(x.alias(f"s{i}") for i, x in enumerate(shares))).first(), strict=True):
+            for k, s in enumerate(group):
+                s.ends = (ends[2 * k], ends[2 * k + 1])
+        points, counts = [(group, sorted({e for s in group for e in s.ends})) for group in groups], []
+        for i, (group, ends) in enumerate(points):
+            x = _number(group[0].column)
+            inside = group[0].within(x)
+            for k, e in enumerate(ends):
+                counts += [F.count_if(inside & (x < e)).alias(f"l{i}_{k}"), F.count_if(inside & (x == e)).alias(f"e{i}_{k}")]
+        found = iter(df.agg(*counts).first())
+        for group, ends in points:
+            seen = {e: (next(found), next(found)) for e in ends}  # below it and at it
+            for s in group:
+                (less, first), (upto, last) = (seen[e] for e in s.ends)
+                a, b = s.ends
+                s.narrow(less, first, max(0, upto - less - first), last if a < b else 0)
 
 
 def exact_ranks(df: DataFrame, ranks: dict[str, list[int]], counts: dict[str, int], small: int = SMALL) -> dict[tuple[str, int], float]:
@@ -116,6 +125,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     return out
 
 
+def grouped_quantiles(df: DataFrame, group: str, column: str, probabilities: list[float], name: str, small: int = SMALL) -> DataFrame:
+    """group, name: the interpolated quantiles of column in each group, an array. Groups should be few: each is a column of the search, and none is held by a task."""
+    values = [r[group] for r in df.select(group).distinct().collect()]  # a value for each group
+    parts = {f"_x{i}": F.when(F.col(group).eqNullSafe(F.lit(v)), F.col(column)) for i, v in enumerate(values)}
+    found = exact_quantiles(df.select(*(x.alias(c) for c, x in parts.items())), list(parts), probabilities, small)
+    rows = [(v, q if None not in (q := [found[f"_x{i}", p] for p in probabilities]) else None) for i, v in enumerate(values)]
+    return df.sparkSession.createDataFrame(rows, f"{group} {df.schema[group].dataType.simpleString()}, {name} array<double>")
+
+
 def discrete_quantiles(df: DataFrame, columns: list[str], probability: float, small: int = SMALL) -> dict[str, float | None]:
     """The least value of each column that a share of probability of its values does not exceed; nulls and NaN are no values, None where a column has none."""
     counts = dict(zip(columns, df.agg(*(F.count(_number(c)) for c in columns)).first(), strict=True))

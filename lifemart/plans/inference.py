@@ -11,7 +11,8 @@ from ..functions.rules import first_of
 from ..operators import outliers, regression, survival
 from ..operators.quantiles import exact_quantiles
 from ..registry import Tables, query
-from .mapping import LEADS
+from ..session import written
+from .mapping import LEADS, leads
 from .marts import LC, lead_conversions
 from .models import S, scored_leads
 
@@ -19,11 +20,15 @@ FEATURES = ("amount_k", "weekend", "prior")
 
 
 def lead_features(t: Tables) -> DataFrame:
-    """Leads with a ripe label y, their amount in 100,000, whether they came at a weekend, and the client's leads of the 180 days before."""
+    """Leads with a ripe label y, their amount in 100,000, whether they came at a weekend, and the client's leads of the 180 days before.
+
+    A written table: every step of a fit passes over it.
+    """
     day = F.unix_date("d")
     before = Window.partitionBy("client").orderBy(day).rangeBetween(-180, -1)
-    prior = lead_conversions(t).select("lead", F.count("*").over(before).cast("double").alias("prior"))
-    return scored_leads(t).join(prior, "lead").select("lead", "project", "channel", "days", "y", (F.col("amount") / 1e5).alias("amount_k"), F.dayofweek("d").isin(1, 7).cast("double").alias("weekend"), "prior")
+    prior = leads(t).select("lead", F.count("*").over(before).cast("double").alias("prior"))
+    rows = scored_leads(t).join(prior, "lead").select("lead", "project", "channel", "days", "y", (F.col("amount") / 1e5).alias("amount_k"), F.dayofweek("d").isin(1, 7).cast("double").alias("weekend"), "prior")
+    return written(rows, "features")
 
 
 @query("ml06_ols_table")

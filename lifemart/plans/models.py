@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import first_of, ratio
 from ..operators import models
-from ..operators.quantiles import discrete_quantiles, exact_quantiles
+from ..operators.quantiles import discrete_quantiles, exact_quantiles, grouped_quantiles
 from ..registry import Tables, query
-from ..session import ship_code
+from ..session import ship_code, written
 from .forecast import fc02
 from .mapping import PM, leads, project_months
 from .marts import LC, landmarks, lead_conversions
@@ -54,8 +54,9 @@ def ml02(t: Tables) -> DataFrame:
 def ml03(t: Tables) -> DataFrame:
     """For each landmark: the model, or the base rate where the model's Brier score isn't below 98 % of the base rate's."""
     out = None
+    every = written(landmarks(t).where(F.col("l").isin(0, 30, 60) & F.col("label").isNotNull()).join(leads(t).select("lead", "d", "amount", "channel"), "lead"), "landmarks")
     for lm in (0, 30, 60):
-        rows = landmarks(t).where((F.col("l") == lm) & F.col("label").isNotNull()).join(leads(t).select("lead", "d", "amount", "channel"), "lead")
+        rows = every.where(F.col("l") == lm)
         train = rows.where("d < '1999-01-01'")
         base = train.agg(F.avg("label")).first()[0] or 0.0
         model = models.balanced_logistic(train, "label", ["amount"], ["channel"])
@@ -69,14 +70,14 @@ def ml03(t: Tables) -> DataFrame:
 @query("ml04_fall_risk_benchmark")
 def ml04(t: Tables) -> DataFrame:
     """Three models and the base rate on later leads: areas, Brier score, calibration error, and precision among the 100 likeliest."""
-    s = models.assembled(scored_leads(t).withColumn("label", F.col("y").cast("double")), ["amount", "project"])
+    s = models.assembled(written(scored_leads(t).select("lead", "d", "amount", "project", F.col("y").cast("double").alias("label")), "leads"), ["amount", "project"])
     train, test = s.where("d < '1999-01-01'"), s.where("d >= '1999-01-01'")
     base = train.agg(F.avg("label")).first()[0] or 0.0
     fits = {"logistic": LogisticRegression(maxIter=50, regParam=0.01, labelCol="label"), "forest": RandomForestClassifier(labelCol="label", numTrees=20, maxDepth=5, seed=7), "boosted": GBTClassifier(labelCol="label", maxIter=5, maxDepth=3, seed=7)}
     scored = {name: f.fit(train).transform(test).select("lead", "label", vector_to_array("probability")[1].alias("p")) for name, f in fits.items()} | {"base_rate": test.select("lead", "label", F.lit(base).alias("p"))}
     out = None
     for name, p in scored.items():
-        one = models.binary_metrics(p, "lead").withColumn("model", F.lit(name))
+        one = models.binary_metrics(written(p, "scored"), "lead").withColumn("model", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -167,7 +168,7 @@ def ml13(t: Tables) -> DataFrame:
     words = StopWordsRemover(inputCol="all", outputCol="one", stopWords=[w for language in ("english", "spanish", "german", "french") for w in StopWordsRemover.loadDefaultStopWords(language)]).transform(words)
     terms = NGram(n=2, inputCol="one", outputCol="two").transform(words).select("doc_id", F.concat("one", "two").alias("words"))
     counts = CountVectorizer(inputCol="words", outputCol="tf", vocabSize=3000, minDF=5, maxDF=0.6).fit(terms)
-    tf = counts.transform(terms)
+    tf = written(counts.transform(terms).select("doc_id", "tf"), "terms")  # the rounds of the fit read counts, not texts
     idf = IDF(inputCol="tf", outputCol="features").fit(tf).transform(tf)
     fit = LDA(k=3, maxIter=20, seed=7).fit(idf)
     vocabulary = F.array(*map(F.lit, counts.vocabulary))
@@ -265,11 +266,12 @@ def ml21(t: Tables, treated: int = 0, date: str = "2000-01-01") -> DataFrame:
 
 @query("ml22_t_learner")
 def ml22(t: Tables) -> DataFrame:
-    s = scored_leads(t).withColumn("treated", (F.col("channel") == "BUILDING").cast("int"))
+    s = written(scored_leads(t).select("lead", "seller", "amount", "y", (F.col("channel") == "BUILDING").cast("int").alias("treated")), "leads")
     arms = [models.balanced_logistic(s.where(F.col("treated") == k), "y", ["amount"], ["seller"]) for k in (1, 0)]
     keep = ["lead", "seller", "amount", "y"]
     a = models.probability(arms[0], s.select(*keep)).select(*keep, F.col("p").alias("p1"))
-    return models.probability(arms[1], a).select("seller", (F.col("p1") - F.col("p")).alias("uplift")).groupBy("seller").agg(F.percentile("uplift", [0.1, 0.5, 0.9]).alias("q"))
+    lift = written(models.probability(arms[1], a).select("seller", (F.col("p1") - F.col("p")).alias("uplift")), "uplift")
+    return grouped_quantiles(lift, "seller", "uplift", [0.1, 0.5, 0.9], "q")
 
 
 @query("ml23_role_inference", " UNION ALL ".join(f"SELECT '{c}' AS column_name, CASE WHEN {numeric} AND count(DISTINCT {c})>0.9*count(*) THEN 'id' WHEN {numeric} THEN 'numeric' WHEN count(DISTINCT {c})<0.2*count(*) THEN 'categorical' ELSE 'text' END AS role FROM customer" for c, numeric in (("c_custkey", "TRUE"), ("c_name", "FALSE"), ("c_nationkey", "TRUE"), ("c_mktsegment", "FALSE"))))

@@ -3,11 +3,14 @@
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lifemart import registry
-from lifemart.plans import load_all
+from lifemart.operators import quantiles
+from lifemart.plans import inference, load_all, models
+from lifemart.session import written
 
 load_all()
 SMALL = "/root/testdata/sf0.001"
@@ -52,3 +55,29 @@ def test_contamination_by_exact_ranks(spark, tmp_path):
     lines = spark.range(2_500_000).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), (F.col("id") % 1000).alias("l_partkey"), draw(1).alias("l_extendedprice"), draw(2).alias("l_quantity"))
     lines.write.parquet(f"{tmp_path}/lineitem.parquet")
     assert held(spark, "ml28_contamination", tmp_path, lineitem=f"{tmp_path}/lineitem.parquet/*.parquet")
+
+
+@pytest.mark.parametrize("name", ["ml03_unit_sale_probability", "ml04_fall_risk_benchmark", "ml06_logit_table", "ml13_reason_topics", "ml22_t_learner", "ml29_partial_dependence", "ml29_permutation_all"])
+def test_fits_pass_over_a_written_table(spark, monkeypatch, name):
+    """The rounds of a fit must not repeat the joins or the reading of texts before it."""
+    labels = []
+    for plans in (models, inference):
+        monkeypatch.setattr(plans, "written", lambda df, label: labels.append(label) or written(df, label))
+    registry.QUERIES[name](spark, SMALL)
+    assert labels
+
+
+def test_ranks_of_a_column_share_a_sketch(spark, monkeypatch):
+    """Ten ranks of a column are one sketch a round, and the values are those of numpy."""
+    sketches, real = [], F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *x: sketches.append(1) or real(*x))
+    rows = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"), (F.col("id") % 3).alias("g"))
+    wanted = [0.05, 0.25, 0.5, 0.75, 0.95]
+    found = quantiles.exact_quantiles(rows, ["x", "y"], wanted, small=15_000)
+    assert len(sketches) == 2
+    found |= quantiles.exact_quantiles(rows, ["x", "y"], [0.1], small=10)
+    held = rows.collect()
+    for (c, p), v in found.items():
+        assert v == pytest.approx(np.quantile([r[c] for r in held], p), rel=1e-12)
+    for r in quantiles.grouped_quantiles(rows.withColumn("g", F.nullif("g", F.lit(2))), "g", "x", wanted, "q", small=10).collect():
+        assert r["q"] == pytest.approx(list(np.quantile([h["x"] for h in held if h["g"] == (2 if r["g"] is None else r["g"])], wanted)), rel=1e-12)

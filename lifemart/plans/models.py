@@ -163,7 +163,7 @@ def ml13(t: Tables) -> DataFrame:
     Terms are words and word pairs without stop words, in 5 texts at least and 60 % of them at most, the 3,000 most frequent (a parameter
     of the fit). All texts take part in counts, topics and weights. A text without terms has no topic.
     """
-    texts = t.documents.where("text is not null").select("doc_id", "text")
+    texts = t.documents.where("text is not null").select("doc_id", "text").repartition("doc_id")  # a file of few row groups would be as few tasks
     words = RegexTokenizer(inputCol="text", outputCol="all", pattern=r"\P{L}+").transform(texts)
     words = StopWordsRemover(inputCol="all", outputCol="one", stopWords=[w for language in ("english", "spanish", "german", "french") for w in StopWordsRemover.loadDefaultStopWords(language)]).transform(words)
     terms = NGram(n=2, inputCol="one", outputCol="two").transform(words).select("doc_id", F.concat("one", "two").alias("words"))

@@ -16,8 +16,12 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
 from .quantiles import discrete_quantiles
 
+#: Different points of a mixture that a task holds at least.
+POINTS = 10_000
+
 
 def assembled(df: DataFrame, numeric: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="skip").transform(df)
@@ -76,12 +80,24 @@ def holt(df: DataFrame, key: str, time: str, value: str, horizon: int) -> DataFr
     return df.groupBy(key).applyInPandas(fit, f"{key} {df.schema[key].dataType.simpleString()}, h long, forecast double, low double, high double")
 
 
+def points(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(features, n: each different point of rows once with the number of its rows; the number of rows). Weighted by n, a mixture of the points is one of the rows.
+
+    A small file is few tasks however many rows it has, so points are dealt to as many tasks as run at once, POINTS at least to each; they are
+    sorted there, since a fit draws its start by place.
+    """
+    different = written(rows.groupBy("features").agg(F.count("*").alias("n")), "points")
+    size, n = different.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    tasks = min(max(1, size // POINTS), rows.sparkSession.sparkContext.defaultParallelism)
+    return different.repartition(tasks, "features").sortWithinPartitions(vector_to_array("features")), n
+
+
 def choose_mixture(rows: DataFrame, ks, least: float = 30.0, seed: int = 7):
     """(k, mixture) of the smallest BIC among those whose every component has the support of so many rows; the least k where none has."""
-    n, d, found = rows.count(), rows.schema["features"].metadata.get("ml_attr", {}).get("num_attrs", 2), []
+    (different, n), d, found = points(rows), rows.schema["features"].metadata.get("ml_attr", {}).get("num_attrs", 2), []
     for k in ks:
-        fit = GaussianMixture(k=k, seed=seed, featuresCol="features", predictionCol="component", probabilityCol="posterior").fit(rows)
-        support = fit.transform(rows).select(F.posexplode(vector_to_array("posterior")).alias("c", "p")).groupBy("c").agg(F.sum("p").alias("s")).agg(F.min("s")).first()[0] or 0.0
+        fit = GaussianMixture(k=k, seed=seed, weightCol="n", featuresCol="features", predictionCol="component", probabilityCol="posterior").fit(different)
+        support = fit.transform(different).select("n", F.posexplode(vector_to_array("posterior")).alias("c", "p")).groupBy("c").agg(F.sum(F.col("n") * F.col("p")).alias("s")).agg(F.min("s")).first()[0] or 0.0
         parameters = k - 1 + k * d + k * d * (d + 1) // 2
         found.append((support < least, -2 * fit.summary.logLikelihood + parameters * math.log(max(n, 1)), k, fit))
     return min(found, key=lambda x: x[:3])[2:] if any(not x[0] for x in found) else found[0][2:]

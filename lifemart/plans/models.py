@@ -140,12 +140,13 @@ def ml11(t: Tables) -> DataFrame:
 
 @query("ml12_latent_segments")
 def ml12(t: Tables) -> DataFrame:
-    rows = models.assembled(t.customer, ["c_acctbal", "c_nationkey"])
-    n = rows.count()
-    fits = [(k, GaussianMixture(k=k, seed=7).fit(rows)) for k in (2, 3, 4)]
+    """Fits and segments are those of all rows: equal rows are one point that weighs as many."""
+    rows, n = models.points(models.assembled(t.customer, ["c_acctbal", "c_nationkey"]))
+    fits = [(k, GaussianMixture(k=k, seed=7, weightCol="n").fit(rows)) for k in (2, 3, 4)]
     bic = {k: -2 * m.summary.logLikelihood + (6 * k - 1) * math.log(max(n, 1)) for k, m in fits}
     best = min(bic, key=bic.get)
-    return dict(fits)[best].transform(rows).groupBy(F.col("prediction").alias("segment")).agg(F.count("*").alias("n"), F.avg("c_acctbal").alias("mean_balance")).withColumn("components", F.lit(best))
+    balance = F.sum(F.col("n") * vector_to_array("features")[0])
+    return dict(fits)[best].transform(rows).groupBy(F.col("prediction").alias("segment")).agg(F.sum("n").alias("n"), (balance / F.sum("n")).alias("mean_balance")).withColumn("components", F.lit(best))
 
 
 @query("ml12_calibration_bins")

@@ -70,6 +70,50 @@ def test_latent_segments_keep_the_mean(tables):
     assert sum(r["n"] * r["mean_balance"] for r in found) / len(balances) == pytest.approx(np.mean(balances))
 
 
+def test_latent_segments_are_those_of_all_rows(spark, tmp_path, monkeypatch):
+    """Rounds pass over each different point once, dealt to all tasks, and fits, criterion and segments are those of the rows, which repeat unevenly here."""
+    rows = spark.read.parquet(f"{FOLDER}/customer.parquet").withColumn("c_acctbal", F.when(F.col("c_custkey") % 50 > 0, F.col("c_acctbal")))
+    rows = rows.where("c_acctbal is not null").withColumn("copy", F.explode(F.expr("sequence(1, 1 + c_custkey % 7)"))).unionByName(rows.where("c_acctbal is null").withColumn("copy", F.lit(1)))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    seen = []
+
+    class Recorded(models.GaussianMixture):
+        def fit(self, data):
+            seen.append((data, super().fit(data)))
+            return seen[-1][1]
+
+    monkeypatch.setattr(models, "GaussianMixture", Recorded)
+    monkeypatch.setattr(fits, "POINTS", 20, raising=False)
+    found = {r["segment"]: r for r in models.ml12(Tables(spark, str(tmp_path))).collect()}
+    x = np.array([[r["c_acctbal"], r["c_nationkey"]] for r in rows.where("c_acctbal is not null").collect()])
+    assert len(seen) == 3 and len(x) > len(np.unique(x, axis=0))
+    bic = {}
+    for data, fit in seen:
+        assert data.count() == len(np.unique(x, axis=0)) and data.rdd.getNumPartitions() > 1
+        means, spreads = ([g.toArray() for g in fit.gaussiansDF.toPandas()[c]] for c in ("mean", "cov"))
+        means = [m.ravel() for m in means]
+        assert sum(w * m for w, m in zip(fit.weights, means, strict=True)) == pytest.approx(x.mean(0))  # as after each step of a fit
+        away = [x - m for m in means]
+        part = np.array([w * np.exp(-0.5 * np.sum(a @ np.linalg.inv(v) * a, axis=1)) / (2 * np.pi * np.sqrt(np.linalg.det(v))) for w, a, v in zip(fit.weights, away, spreads, strict=True)])
+        k = len(fit.weights)
+        bic[k] = (-2 * np.log(part.sum(0)).sum() + (6 * k - 1) * np.log(len(x)), part.argmax(0))
+        assert -2 * fit.summary.logLikelihood + (6 * k - 1) * np.log(len(x)) == pytest.approx(bic[k][0], abs=1)
+    best = min(bic, key=lambda k: bic[k][0])
+    segment = bic[best][1]
+    assert {(s, r["n"], r["components"]) for s, r in found.items()} == {(s, int((segment == s).sum()), best) for s in np.unique(segment)}
+    assert all(r["mean_balance"] == pytest.approx(x[segment == s, 0].mean()) for s, r in found.items())
+
+
+def test_mixtures_weigh_points_by_their_rows(spark):
+    """A chosen mixture is the same whether rows come in one partition or several, keeps their mean, and has their support, not that of different points."""
+    rows = fits.assembled(spark.range(4_000, numPartitions=1).select((F.col("id") % 40 / 8.0 + F.when(F.col("id") % 4 == 0, 50).otherwise(0)).alias("a"), (F.col("id") * 7 % 5 + 0.0).alias("b")), ["a", "b"])
+    k, mixture = fits.choose_mixture(rows, (2, 3), least=900)
+    again = fits.choose_mixture(rows.repartition(5), (2, 3), least=900)[1]
+    assert k == 2 and sorted(mixture.weights) == pytest.approx([0.25, 0.75]) and mixture.weights == pytest.approx(again.weights)
+    mean = sum(w * m.toArray() for w, m in zip(mixture.weights, mixture.gaussiansDF.toPandas()["mean"], strict=True))
+    assert mean == pytest.approx(np.mean([r["features"].toArray() for r in rows.collect()], axis=0))
+
+
 def test_censored_durations(tables):
     count, events = defaultdict(int), defaultdict(int)
     for r in marts.lead_conversions(tables).where("d < '2001-06-01'").select("channel", "days").collect():
